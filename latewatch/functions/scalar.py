@@ -174,9 +174,12 @@ def truth_struct(label: ColumnLike, event_id: ColumnLike) -> Column:
     )
 
 
-# Folder layout of ground-truth uploads and the pattern that reads the time back.
+# Folder layouts of ground-truth uploads and the patterns that read the time back. One upload lies under
+# its own second; a table of uploads is partitioned by hour.
 TRUTH_PATH_FORMAT = "yyyy/MM/dd/HH/mmss"
 TRUTH_PATH_PATTERN = r"(\d{4}/\d{2}/\d{2}/\d{2}/\d{4})\.jsonl"
+TRUTH_HOUR_FORMAT = "yyyy-MM-dd HH"
+TRUTH_HOUR_PATTERN = r"upload_date=(\d{4}-\d{2}-\d{2})/upload_hour=(\d{2})"
 
 
 def truth_path(ts: ColumnLike) -> Column:
@@ -184,6 +187,10 @@ def truth_path(ts: ColumnLike) -> Column:
 
 
 def truth_time(path: ColumnLike) -> Column:
-    """Upload time from a ground-truth file path; NULL when the path has no such part."""
+    """Upload time from a ground-truth file path of either layout; NULL when the path has no such part."""
     stamp = F.regexp_extract(_col(path), TRUTH_PATH_PATTERN, 1)
-    return F.when(stamp != "", F.to_timestamp(stamp, TRUTH_PATH_FORMAT))
+    day, hour = (F.regexp_extract(_col(path), TRUTH_HOUR_PATTERN, i) for i in (1, 2))
+    return (
+        F.when(stamp != "", F.to_timestamp(stamp, TRUTH_PATH_FORMAT))
+        .when(day != "", F.to_timestamp(F.concat(day, F.lit(" "), hour), TRUTH_HOUR_FORMAT))
+    )

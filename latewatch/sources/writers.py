@@ -83,3 +83,15 @@ def write_ground_truth(
     path = f"{directory}/{at:%Y/%m/%d/%H/%M%S}.jsonl"
     df.select(truth_struct(label, id).alias("t")).select("t.*").write.mode("append").json(path)
     return path
+
+
+def write_ground_truth_table(
+    df: DataFrame, directory: str, ts: str, id: str = "id", label: str = "label", if_exists: str = "append"
+) -> None:
+    """Labels of many uploads in one job, partitioned by the hour of ``ts``; the readers accept both layouts."""
+    rows = df.select(
+        truth_struct(label, id).alias("t"),
+        F.date_format(ts, "yyyy-MM-dd").alias("upload_date"), F.date_format(ts, "HH").alias("upload_hour"),
+    )
+    writer = _writer(rows.select("t.*", "upload_date", "upload_hour"), if_exists)
+    writer.partitionBy("upload_date", "upload_hour").json(directory)
