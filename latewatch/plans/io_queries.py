@@ -1,3 +1,218 @@
 """Registered queries that write, read back and stream; files go to a fresh path in the shared folder."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from latewatch.operators import metrics as mt
+from latewatch.operators.profile import prediction_summary
+from latewatch.operators.matrix import add_distance_features, add_temporal_features, select_matrix
+from latewatch.plans.model_queries import _ACC, _F1, _FOUR, _PREC, _REC, _confusion_sql, _evaluate_ctes
+from latewatch.plans.registry import query, rounded
+from latewatch.plans.tables import FEATURED, FLIGHTS, LABELLED, SCORED, flights, labelled, scored, table
+from latewatch.runtime import scratch_path
+from latewatch.schemas import AIRPORT_COLUMNS, FEATURE_SETS, FLIGHT_COLUMNS, matrix_schema
+from latewatch.sources import catalog, readers, writers
+from latewatch.streaming import quality_stream, run_available, scored_stream, truth_stream
+
+# ---------------------------------------------------------------- files
+
+_FLIGHT_PART = [
+    "YEAR", "MONTH", "DAY", "DAY_OF_WEEK", "AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT", "SCHEDULED_DEPARTURE",
+    "SCHEDULED_TIME", "DISTANCE", "ARRIVAL_DELAY", "CANCELLED", "DIVERTED",
+]
+
+
+def _raw_csv(spark: SparkSession, sf: str) -> str:
+    """Flights in the full raw layout: columns not derived are empty, departure hours print as ``930.0``."""
+    df = flights(spark, sf).withColumn("SCHEDULED_DEPARTURE", F.col("SCHEDULED_DEPARTURE").cast("double"))
+    path = scratch_path(spark, "flights-csv")
+    have = set(df.columns)
+    df.select(*[
+        F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in FLIGHT_COLUMNS
+    ]).write.option("header", True).csv(path)
+    return path
+
+
+_PART_SQL = ", ".join(f'"{c}"' for c in _FLIGHT_PART)
+
+
+@query("io_flights_csv", f"WITH {FLIGHTS} SELECT {_PART_SQL} FROM flights")
+def io_flights_csv(spark, sf):
+    return readers.read_flights(spark, _raw_csv(spark, sf)).select(*_FLIGHT_PART)
+
+
+@query("io_external_table", f"""
+WITH {FLIGHTS} SELECT 'external' AS kind, COUNT(*) AS n, COUNT("SCHEDULED_TIME") AS n_time,
+  round(AVG("ARRIVAL_DELAY"), 6) AS mean_delay, SUM("SCHEDULED_DEPARTURE")::BIGINT AS departures FROM flights""")
+def io_external_table(spark, sf):
+    """All-text external table over the CSV, typed on the way out."""
+    catalog.ensure_database(spark, "latewatch_io", scratch_path(spark, "database"))
+    raw = catalog.register_external(spark, "latewatch_io.flights", _raw_csv(spark, sf), FLIGHT_COLUMNS)
+    typed = catalog.typed_view(raw, FLIGHT_COLUMNS)
+    return rounded(typed.agg(
+        F.lit("external").alias("kind"), F.count("*").alias("n"), F.count("SCHEDULED_TIME").alias("n_time"),
+        F.avg("ARRIVAL_DELAY").alias("mean_delay"), F.sum("SCHEDULED_DEPARTURE").alias("departures"),
+    ).select("kind", "n", "n_time", "mean_delay", "departures"))
+
+
+_BROKEN = "CASE WHEN c_custkey % 10 = 3 THEN 'unknown' ELSE CAST(c_custkey AS VARCHAR) END"
+
+
+@query("io_bad_casts", f"""
+WITH t AS (SELECT {_BROKEN} AS code FROM customer)
+SELECT 'LATITUDE' AS "column", COUNT(*) FILTER (code = 'unknown') AS n_bad FROM t
+UNION ALL SELECT 'LONGITUDE', CAST(0 AS BIGINT)""")
+def io_bad_casts(spark, sf):
+    text = F.when(F.col("c_custkey") % 10 == 3, "unknown").otherwise(F.col("c_custkey").cast("string"))
+    path = scratch_path(spark, "bad-casts")
+    table(spark, sf, "customer").select(text.alias("LATITUDE"), F.lit("1.5").alias("LONGITUDE")).write.csv(path)
+    raw = catalog.register_external(
+        spark, "lw_bad_casts", path, ["LATITUDE", "LONGITUDE"], header=False
+    )
+    return catalog.bad_casts(raw, {"LATITUDE": "double", "LONGITUDE": "double"})
+
+
+@query("io_lookup_csv", f"""
+SELECT c_name AS "IATA_CODE", c_mktsegment AS "AIRPORT",
+  CASE WHEN c_custkey % 10 <> 3 THEN CAST(c_custkey AS DOUBLE) END AS "LATITUDE", c_acctbal AS "LONGITUDE"
+FROM customer""")
+def io_lookup_csv(spark, sf):
+    """A lookup file with coordinates that do not all parse."""
+    path = scratch_path(spark, "lookup-csv")
+    values = {
+        "IATA_CODE": F.col("c_name"), "AIRPORT": F.col("c_mktsegment"),
+        "LATITUDE": F.when(F.col("c_custkey") % 10 == 3, "unknown").otherwise(F.col("c_custkey").cast("string")),
+        "LONGITUDE": F.col("c_acctbal").cast("string"),
+    }
+    table(spark, sf, "customer").select(*[
+        values.get(c, F.lit("")).alias(c) for c in AIRPORT_COLUMNS
+    ]).write.option("header", True).csv(path)
+    return readers.read_airports(spark, path).select(*values)
+
+
+@query("io_splits_csv", f"WITH {LABELLED} SELECT * FROM labelled")
+def io_splits_csv(spark, sf):
+    path = scratch_path(spark, "splits-csv")
+    writers.write_splits(labelled(spark, sf), path)
+    return readers.read_splits(spark, path)
+
+
+def _basic(spark: SparkSession, sf: str) -> DataFrame:
+    return add_distance_features(add_temporal_features(labelled(spark, sf)))
+
+
+_RAW_SQL = ", ".join(f'"{c}"' for c in FEATURE_SETS["raw"])
+
+
+@query("io_matrix_csv", f"""
+WITH {FEATURED} SELECT "DELAYED", {_RAW_SQL} FROM featured WHERE split IN ('val', 'test', 'prod')""")
+def io_matrix_csv(spark, sf):
+    """Headerless matrices in one folder per split, read back as one tree. A second write skips what exists."""
+    path = scratch_path(spark, "matrix-csv")
+    for _ in range(2):
+        writers.write_matrix_csv(_basic(spark, sf), path, "raw", splits=["val", "test", "prod"], if_exists="skip")
+    return readers.read_tree(spark, path, "csv", matrix_schema(FEATURE_SETS["raw"]))
+
+
+@query("io_features_parquet", f"""
+WITH {FEATURED} SELECT "DEP_HOUR", "DISTANCE", "DELAYED" FROM featured WHERE split = 'val'""")
+def io_features_parquet(spark, sf):
+    """Partitioned features; the reader touches one split and three columns."""
+    path = scratch_path(spark, "features")
+    writers.write_features(_basic(spark, sf), path)
+    wanted = readers.read_features(spark, path, ["split", "DEP_HOUR", "DISTANCE", "DELAYED"])
+    return wanted.where("split = 'val'").drop("split")
+
+
+@query("io_inference_input", f"""
+WITH {FEATURED} SELECT "MONTH", "DISTANCE", "DEP_HOUR" FROM featured WHERE split = 'test'""")
+def io_inference_input(spark, sf):
+    path = scratch_path(spark, "inference")
+    features = ["MONTH", "DISTANCE", "DEP_HOUR"]
+    writers.write_inference_input(_basic(spark, sf).where("split = 'test'"), path, features)
+    return readers.read_matrix_csv(spark, path, features, label=None)
+
+
+@query("io_scored_csv", f"WITH {SCORED} SELECT probability, CAST(probability >= 0.5 AS INTEGER) AS prediction, label FROM scored")
+def io_scored_csv(spark, sf):
+    path = scratch_path(spark, "scored-csv")
+    rows = scored(spark, sf).withColumn("prediction", (F.col("probability") >= 0.5).cast("int"))
+    writers.write_scored(rows, path)
+    return spark.read.schema("probability double, prediction int, label int").option("header", True).csv(path)
+
+
+@query("io_predictions", f"""
+WITH {SCORED}, c AS (
+  SELECT COUNT(*) AS total, COUNT(*) FILTER (probability < 0.5) AS on_time,
+         COUNT(*) FILTER (probability >= 0.5) AS delayed FROM scored)
+SELECT total, on_time, delayed, round(on_time * 100 / CAST(total AS DOUBLE), 6) AS on_time_pct,
+  round(delayed * 100 / CAST(total AS DOUBLE), 6) AS delayed_pct FROM c""")
+def io_predictions(spark, sf):
+    path = scratch_path(spark, "predictions")
+    scored(spark, sf).select("probability").write.csv(path)
+    return rounded(prediction_summary(readers.read_predictions(spark, path)))
+
+
+@query("io_report_json", f"""
+WITH {SCORED}, {_evaluate_ctes('scored', 'segment')} SELECT segment, f1_score, auc, false_positive FROM evaluated""")
+def io_report_json(spark, sf):
+    path = scratch_path(spark, "reports")
+    report = mt.evaluation_report(rounded(mt.evaluate(scored(spark, sf), by=["segment"])), ["segment"])
+    writers.write_report(report, path)
+    return spark.read.schema(report.schema).json(path).select(
+        "segment", mt.metric("f1_score").alias("f1_score"), mt.metric("auc").alias("auc"),
+        F.col("confusion_matrix.false_positive").alias("false_positive"),
+    )
+
+
+# ---------------------------------------------------------------- ground truth and streams
+
+# Labels are uploaded at the midnight after the event; every 53rd comes three days later, every 17th never.
+_UPLOADS = f"""{SCORED}, uploads AS (
+  SELECT id, label, date_trunc('day', ts) + CASE WHEN seq % 53 = 0 THEN INTERVAL 4 DAY ELSE INTERVAL 1 DAY END AS truth_ts
+  FROM scored WHERE seq % 17 <> 0)"""
+
+
+def _write_uploads(spark: SparkSession, sf: str) -> str:
+    rows = scored(spark, sf).where(F.col("seq") % 17 != 0)
+    days = F.when(F.col("seq") % 53 == 0, 4).otherwise(1)
+    rows = rows.withColumn("at", F.date_trunc("day", "ts") + F.make_dt_interval(days=days))
+    path = scratch_path(spark, "ground-truth")
+    writers.write_ground_truth_table(rows.select("id", "label", "at"), path, "at")
+    return path
+
+
+@query("io_ground_truth", f"""
+WITH {_UPLOADS} SELECT id, label, strftime(truth_ts, '%Y-%m-%d %H:%M:%S') AS truth_ts FROM uploads""")
+def io_ground_truth(spark, sf):
+    truth = readers.read_ground_truth(spark, _write_uploads(spark, sf))
+    return truth.withColumn("truth_ts", F.date_format("truth_ts", "yyyy-MM-dd HH:mm:ss"))
+
+
+def _streamed_quality(spark: SparkSession, sf: str) -> DataFrame:
+    source, out, state = (scratch_path(spark, f"stream-{p}") for p in ("scored", "out", "state"))
+    scored(spark, sf).select("id", F.col("ts").cast("timestamp").alias("ts"), "probability").write.parquet(source)
+    quality = quality_stream(
+        scored_stream(spark, source, fmt="parquet"), truth_stream(spark, _write_uploads(spark, sf)), "1 day", "2 days"
+    )
+    run_available(quality, out, state)
+    return spark.read.schema(quality.schema).parquet(out)
+
+
+# A window is emitted once the watermark (an hour behind the slower stream) rules out any further match for it.
+@query("stream_quality", f"""
+WITH {_UPLOADS}, joined AS (
+  SELECT date_trunc('day', s.ts) AS window_start, probability, u.label FROM scored AS s JOIN uploads AS u
+    ON s.id = u.id AND u.truth_ts >= s.ts AND u.truth_ts <= s.ts + INTERVAL 2 DAY),
+closed AS (
+  SELECT * FROM joined WHERE window_start + INTERVAL 1 DAY <=
+    (SELECT least((SELECT max(ts) FROM scored), (SELECT max(truth_ts) FROM uploads))) - INTERVAL 1 HOUR - INTERVAL 2 DAY),
+c AS ({_confusion_sql('closed', 'window_start')})
+SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, {_FOUR}, {_ACC} AS accuracy, {_PREC} AS precision,
+  {_REC} AS recall, {_F1} AS f1_score FROM c""")
+def stream_quality(spark, sf):
+    """Scored rows and late labels as streams, joined and evaluated per day; closed windows as Parquet files."""
+    closed = rounded(_streamed_quality(spark, sf))
+    return closed.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))

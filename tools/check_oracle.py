@@ -47,8 +47,27 @@ def _normal(columns, rows):
     return [columns[i] for i in order], sorted(out, key=repr)
 
 
+_KINDS = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_differences(spark_df, con, sql: str) -> list[str]:
+    """Columns whose type differs between the two engines. (A HUGEINT sum counts as a difference.)"""
+    other = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [
+        f"{f.name}: {f.dataType.simpleString()} vs {other.get(f.name)}"
+        for f in spark_df.schema
+        if _KINDS.get(f.dataType.simpleString(), f.dataType.simpleString()) != other.get(f.name)
+    ]
+
+
 def compare(spark_df, con, sql: str) -> str:
     """Empty if equal, else what differs."""
+    types = type_differences(spark_df, con, sql)
+    if types:
+        return f"types differ: {types}"
     rows = [tuple(r) for r in spark_df.collect()]
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
