@@ -23,5 +23,5 @@ def with_names(
 
 
 def missing(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
-    """Keys that are expected but not found."""
-    return expected.select(key).distinct().join(found.select(key), key, "left_anti")
+    """Keys that are expected but not found. Both sides are reduced to their keys first, so a hot key is one row."""
+    return expected.select(key).distinct().join(found.select(key).distinct(), key, "left_anti")

@@ -14,7 +14,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from latewatch.runtime import BROADCAST_LIMIT_BYTES, BROADCAST_ROW_BYTES, pin
+
 RANGE = "_range"
+GROUP = "_group"
 # Leading hex digits of an md5 digest used as a range: 65,536 equal ranges by construction.
 HASH_PREFIX_DIGITS = 4
 MIN_RANGES = 64
@@ -42,7 +45,31 @@ def with_range(df: DataFrame, column: str, edges: Sequence[float]) -> DataFrame:
     source = "_range_source"
     cut = Bucketizer(splits=splits, inputCol=source, outputCol=RANGE, handleInvalid="keep")
     ranged = cut.transform(df.withColumn(source, F.col(column).cast("double")))
-    return ranged.withColumn(RANGE, F.col(RANGE).cast("int")).drop(source)
+    # never NULL, or joins on it would infer an IS NOT NULL filter and evaluate the cut once more per input row
+    return ranged.withColumn(RANGE, F.coalesce(F.col(RANGE).cast("int"), F.lit(-1))).drop(source)
+
+
+def with_group(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add the group columns as one struct. A struct of NULLs equals itself, so plain equi-joins keep NULL groups and
+    reuse the partitioning of the windows before them."""
+    return df.withColumn(GROUP, F.struct(*[F.col(c) for c in by]) if by else F.lit(0))
+
+
+def _ungroup(by: Sequence[str]) -> list[Column]:
+    return [F.col(f"{GROUP}.{c}").alias(c) for c in by]
+
+
+def _rows_in(rows: DataFrame, hit: DataFrame, groups_bounded: bool) -> DataFrame:
+    """Rows that lie in one of the few hit ranges.
+
+    Without groups there are at most as many hits as ranks asked for. With groups their number is measured first: a
+    small table is broadcast and the rows stay where they are, a large one is joined by shuffle.
+    """
+    if not groups_bounded:
+        hit = pin(hit)
+        if hit.count() * 4 * BROADCAST_ROW_BYTES > BROADCAST_LIMIT_BYTES:
+            return rows.join(hit, [GROUP, RANGE])
+    return rows.join(F.broadcast(hit), [GROUP, RANGE])
 
 
 def exact_quantile(
@@ -59,38 +86,35 @@ def exact_quantile(
     value. No task ever holds more than one range.
     """
     by, name = list(by), name or f"{column}_q"
-    values = df.select(*by, F.col(column).cast("double").alias("_value")).where("_value IS NOT NULL")
+    values = with_group(df, by).select(GROUP, F.col(column).cast("double").alias("_value")).where("_value IS NOT NULL")
     edges = range_edges(values, "_value") if edges is None else edges
     ranged = with_range(values, "_value", edges)
 
-    upto = Window.partitionBy(*by).orderBy(RANGE)
-    whole = Window.partitionBy(*by)
-    place = F.col("_rank")
+    upto, whole = Window.partitionBy(GROUP).orderBy(RANGE), Window.partitionBy(GROUP)
     totals = (
-        ranged.groupBy(*by, RANGE).agg(F.count("*").alias("_n"))
+        ranged.groupBy(GROUP, RANGE).agg(F.count("*").alias("_n"))
         .withColumn("_end", F.sum("_n").over(upto))
         .withColumn("_start", F.col("_end") - F.col("_n"))
         .withColumn("_rank", F.lit(float(q)) * (F.sum("_n").over(whole) - 1))
-        .withColumn("_low", F.floor(place)).withColumn("_high", F.ceil(place))
+        .withColumn("_low", F.floor("_rank")).withColumn("_high", F.ceil("_rank"))
     )
 
     def holds(rank: str) -> Column:
         return (F.col("_start") <= F.col(rank)) & (F.col(rank) < F.col("_end"))
 
-    hit = totals.where(holds("_low") | holds("_high")).select(*by, RANGE, "_start", "_rank", "_low", "_high")
-    if not by:
-        hit = F.broadcast(hit)  # at most two rows
-    inside = Window.partitionBy(*by, RANGE).orderBy("_value")
+    hit = totals.where(holds("_low") | holds("_high")).select(GROUP, RANGE, "_start", "_rank", "_low", "_high")
+    inside = Window.partitionBy(GROUP, RANGE).orderBy("_value")
     ranks = (
-        _null_safe_join(ranged, hit, [*by, RANGE])
-        .groupBy(*by, RANGE, "_start", "_rank", "_low", "_high", "_value").agg(F.count("*").alias("_n"))
+        _rows_in(ranged, hit, not by)
+        .groupBy(GROUP, RANGE, "_start", "_rank", "_low", "_high", "_value").agg(F.count("*").alias("_n"))
         .withColumn("_end", F.col("_start") + F.sum("_n").over(inside))
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )
     low = F.max(F.when(holds("_low"), F.col("_value")))
     high = F.max(F.when(holds("_high"), F.col("_value")))
     share = F.max(F.col("_rank") - F.col("_low"))
-    return ranks.groupBy(*by).agg((low + (high - low) * share).alias(name))
+    result = (low + (high - low) * share).alias(name)
+    return ranks.agg(result) if not by else ranks.groupBy(GROUP).agg(result).select(*_ungroup(by), name)
 
 
 def prefix_sums(
@@ -107,33 +131,34 @@ def prefix_sums(
     """
     by = list(by)
     toward = F.desc if descending else F.asc
-    step = Window.partitionBy(*by, RANGE).orderBy(toward(order))
+    keyed = with_group(counts, by)
+    step = Window.partitionBy(GROUP, RANGE).orderBy(toward(order))
     running = step.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = counts
-    for m in measures:
-        inside = (
-            inside.withColumn(f"{m}_in", F.sum(m).over(running)).withColumn(f"{m}_lead", F.lead(m).over(step))
-        )
-
-    first = (F.max_by if descending else F.min_by)(F.struct(*measures), F.col(order))
-    totals = counts.groupBy(*by, RANGE).agg(*[F.sum(m).alias(f"{m}_range") for m in measures], first.alias("_first"))
-    across = Window.partitionBy(*by).orderBy(toward(RANGE))
+    inside = keyed.withColumns(
+        {f"{m}_in": F.sum(m).over(running) for m in measures} | {f"{m}_lead": F.lead(m).over(step) for m in measures}
+    )
+
+    first = F.max_by if descending else F.min_by
+    totals = keyed.groupBy(GROUP, RANGE).agg(
+        *[F.sum(m).alias(f"{m}_range") for m in measures],
+        *[first(m, order).alias(f"{m}_first") for m in measures],
+    )
+    across = Window.partitionBy(GROUP).orderBy(toward(RANGE))
     before = across.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy(*by)
+    everything = Window.partitionBy(GROUP)
     offsets = totals.select(
-        *by, RANGE,
+        GROUP, RANGE,
         *[F.coalesce(F.sum(f"{m}_range").over(before), F.lit(0)).alias(f"{m}_before") for m in measures],
         *[F.sum(f"{m}_range").over(everything).alias(f"{m}_all") for m in measures],
-        F.lead("_first").over(across).alias("_following"),
+        *[F.lead(f"{m}_first").over(across).alias(f"{m}_following") for m in measures],
     )
     if not by:
         offsets = F.broadcast(offsets)  # at most one row per range
-    joined = _null_safe_join(inside, offsets, [*by, RANGE])
-    return joined.select(
+    return inside.join(offsets, [GROUP, RANGE]).select(
         *counts.columns,
         *[(F.col(f"{m}_in") + F.col(f"{m}_before")).alias(f"{m}_upto") for m in measures],
         *[F.col(f"{m}_all") for m in measures],
-        *[F.coalesce(F.col(f"{m}_lead"), F.col(f"_following.{m}")).alias(f"{m}_next") for m in measures],
+        *[F.coalesce(f"{m}_lead", f"{m}_following").alias(f"{m}_next") for m in measures],
     )
 
 
@@ -144,12 +169,12 @@ def hash_cutoffs(df: DataFrame, digest: str, shares: Sequence[float], by: Sequen
     sampling pass is needed. Equal digests (repeated keys) always fall on the same side.
     """
     by = list(by)
-    ranged = df.select(*by, F.col(digest).alias("_digest")).withColumn(
-        RANGE, F.substring("_digest", 1, HASH_PREFIX_DIGITS)
+    ranged = with_group(df, by).select(
+        GROUP, F.col(digest).alias("_digest"), F.substring(digest, 1, HASH_PREFIX_DIGITS).alias(RANGE)
     )
-    upto, whole = Window.partitionBy(*by).orderBy(RANGE), Window.partitionBy(*by)
+    upto, whole = Window.partitionBy(GROUP).orderBy(RANGE), Window.partitionBy(GROUP)
     totals = (
-        ranged.groupBy(*by, RANGE).agg(F.count("*").alias("_n"))
+        ranged.groupBy(GROUP, RANGE).agg(F.count("*").alias("_n"))
         .withColumn("_end", F.sum("_n").over(upto))
         .withColumn("_start", F.col("_end") - F.col("_n"))
         .withColumn("_all", F.sum("_n").over(whole))
@@ -157,31 +182,22 @@ def hash_cutoffs(df: DataFrame, digest: str, shares: Sequence[float], by: Sequen
     places = [f"_place_{i}" for i in range(len(shares))]
     for p, share in zip(places, shares):
         totals = totals.withColumn(p, F.round(F.col("_all") * F.lit(float(share))).cast("bigint"))
+
+    def at(place: str) -> Column:
+        return (F.col("_start") < F.col(place)) & (F.col(place) <= F.col("_end"))
+
     wanted = F.lit(False)
     for p in places:
-        wanted = wanted | ((F.col("_start") < F.col(p)) & (F.col(p) <= F.col("_end")))
-    hit = totals.where(wanted).select(*by, RANGE, "_start", *places)
-    inside = Window.partitionBy(*by, RANGE).orderBy("_digest")
+        wanted = wanted | at(p)
+    hit = totals.where(wanted).select(GROUP, RANGE, "_start", *places)
+    inside = Window.partitionBy(GROUP, RANGE).orderBy("_digest")
     ranks = (
-        _null_safe_join(ranged, hit, [*by, RANGE])
-        .groupBy(*by, RANGE, "_start", *places, "_digest").agg(F.count("*").alias("_n"))
+        _rows_in(ranged, hit, not by)
+        .groupBy(GROUP, RANGE, "_start", *places, "_digest").agg(F.count("*").alias("_n"))
         .withColumn("_end", F.col("_start") + F.sum("_n").over(inside))
         .withColumn("_start", F.col("_end") - F.col("_n"))
     )
-
-    def at(place: str) -> Column:
-        return (F.col("_start") < F.col(place)) & (F.col(place) <= F.col("_end"))
-
-    return ranks.groupBy(*by).agg(
-        *[F.max(F.when(at(p), F.col("_digest"))).alias(f"cut_{i}") for i, p in enumerate(places)]
+    cuts = [F.max(F.when(at(p), F.col("_digest"))).alias(f"cut_{i}") for i, p in enumerate(places)]
+    return ranks.agg(*cuts) if not by else ranks.groupBy(GROUP).agg(*cuts).select(
+        *_ungroup(by), *[f"cut_{i}" for i in range(len(places))]
     )
-
-
-def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner equi-join in which a NULL group key meets itself; keeps the left copy of the keys."""
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    on = None
-    for k in keys:
-        same = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-        on = same if on is None else on & same
-    return left.join(renamed, on, "inner").drop(*[f"_r_{k}" for k in keys])

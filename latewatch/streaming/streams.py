@@ -44,19 +44,29 @@ def truth_stream(
     return flatten_truth(reader.json(path)).withWatermark("truth_ts", watermark)
 
 
-def join_streams(scored: DataFrame, truth: DataFrame, max_delay: str = "1 day") -> DataFrame:
-    """Inner stream–stream join on id within a time range; the range lets both sides forget old rows."""
+def join_streams(scored: DataFrame, truth: DataFrame, max_delay: str = "1 day", salts: int = 1) -> DataFrame:
+    """Inner stream–stream join on id within a time range; the range lets both sides forget old rows.
+
+    Where one id carries much of the traffic, ``salts`` spreads its scored rows over that many state partitions; the
+    truth rows, one per label, are kept once per salt.
+    """
     t = truth.withColumnRenamed("id", "_id")
+    on = F.col("id") == F.col("_id")
+    if salts > 1:
+        scored = scored.withColumn("_salt", F.pmod(F.xxhash64("id", "ts", "probability"), F.lit(salts)).cast("int"))
+        t = t.withColumn("_salt_r", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+        on = on & (F.col("_salt") == F.col("_salt_r"))
     on = (
-        (F.col("id") == F.col("_id"))
+        on
         & (F.col("truth_ts") >= F.col("ts"))
         & (F.col("truth_ts") <= F.col("ts") + F.expr(f"INTERVAL {max_delay}"))
     )
-    return scored.join(t, on, "inner").drop("_id")
+    return scored.join(t, on, "inner").drop("_id", "_salt", "_salt_r")
 
 
 def quality_stream(
-    scored: DataFrame, truth: DataFrame, every: str = "1 hour", max_delay: str = "1 day", threshold: float = 0.5
+    scored: DataFrame, truth: DataFrame, every: str = "1 hour", max_delay: str = "1 day", threshold: float = 0.5,
+    salts: int = 1,
 ) -> DataFrame:
     """Confusion counts and metrics per tumbling window of the scored time. Use append mode.
 
@@ -64,7 +74,7 @@ def quality_stream(
     window and is left to the batch evaluation.
     """
     hit, real = F.col("probability") >= threshold, F.col("label") == 1
-    counts = join_streams(scored, truth, max_delay).groupBy(F.window("ts", every).alias("_w")).agg(
+    counts = join_streams(scored, truth, max_delay, salts).groupBy(F.window("ts", every).alias("_w")).agg(
         F.count_if(~hit & ~real).alias("true_negative"),
         F.count_if(hit & ~real).alias("false_positive"),
         F.count_if(~hit & real).alias("false_negative"),

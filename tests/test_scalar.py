@@ -1,0 +1,99 @@
+"""Column functions on hand-made edge rows."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from latewatch import functions as fn
+from latewatch.operators.matrix import add_distance_features, add_temporal_features
+
+
+def one(spark, expr, **values):
+    cols = [F.lit(v).alias(k) for k, v in values.items()] or [F.lit(1).alias("_")]
+    return spark.range(1).select(*cols).select(expr.alias("x")).first()["x"]
+
+
+@pytest.mark.parametrize("hhmm,hour", [(5, 0), (559, 5), (600, 6), (959, 9), (1000, 10), (2059, 20), (2100, 21), (2359, 23), (2400, 24)])
+def test_dep_hour(spark, hhmm, hour):
+    assert one(spark, fn.dep_hour("h"), h=hhmm) == hour
+
+
+def test_hour_flags(spark):
+    df = spark.createDataFrame([(h * 100, d) for h in range(25) for d in (5, 6)], "SCHEDULED_DEPARTURE int, DAY_OF_WEEK int")
+    for r in add_temporal_features(df, late_night=True).collect():
+        h = r.DEP_HOUR
+        assert r.IS_PEAK_HOUR == int(6 <= h <= 9 or 16 <= h <= 20)
+        assert r.IS_LATE_NIGHT == int(h >= 21)
+        assert r.IS_WEEKEND == int(r.DAY_OF_WEEK >= 6)
+        assert r.HOUR_SIN == pytest.approx(math.sin(2 * math.pi * h / 24), abs=1e-12)
+        assert r.HOUR_COS == pytest.approx(math.cos(2 * math.pi * h / 24), abs=1e-12)
+
+
+@pytest.mark.parametrize("distance,band,long_haul", [
+    (0.0, None, 0), (-5.0, None, 0), (0.5, 0, 0), (500.0, 0, 0), (501.0, 1, 0), (1500.0, 1, 0), (1501.0, 2, 1),
+    (5000.0, 2, 1), (5001.0, None, 1), (None, None, None),
+])
+def test_distance_bands_are_right_closed(spark, distance, band, long_haul):
+    r = add_distance_features(spark.createDataFrame([(distance,)], "DISTANCE double")).first()
+    assert (r.DISTANCE_BUCKET, r.IS_LONG_HAUL) == (band, long_haul)
+
+
+def test_strict_band_raises_outside_only(spark):
+    ok = spark.createDataFrame([(500.0,), (None,)], "d double")
+    assert [r.x for r in ok.select(fn.band_right_closed("d", strict=True).alias("x")).collect()] == [0, None]
+    with pytest.raises(Exception, match="outside all bands"):
+        spark.createDataFrame([(0.0,)], "d double").select(fn.band_right_closed("d", strict=True)).collect()
+
+
+def test_label_and_rates_treat_null_as_documented(spark):
+    df = spark.createDataFrame([(15.0,), (16.0,), (None,)], "d double")
+    assert [tuple(r) for r in df.select(fn.label_gt("d"), fn.exceeds("d", 15)).collect()] == [
+        (0, False), (1, True), (None, False)]
+
+
+def test_safe_ratio(spark):
+    df = spark.createDataFrame([(10.0, 4.0), (10.0, 0.0), (10.0, None)], "n double, d double")
+    assert [tuple(r) for r in df.select(fn.safe_ratio("n", "d"), fn.ratio_or_zero("n", "d")).collect()] == [
+        (2.5, 2.5), (None, 0.0), (None, 0.0)]
+
+
+def test_flight_id_pads_without_cutting(spark):
+    cols = [F.lit(v) for v in (3, 7, "AA", "JFK", "LAX")]
+    assert one(spark, fn.flight_id(2015, *cols, F.lit(5))) == "2015-03-07-AA-JFK-LAX-0005"
+    assert one(spark, fn.flight_id(2015, *cols, F.lit(12345))) == "2015-03-07-AA-JFK-LAX-12345"
+
+
+def test_event_time_is_utc_in_any_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            assert one(spark, fn.event_time(2015, F.lit(1), F.lit(1))) == 1420070400.0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_route_is_null_with_a_null_end(spark):
+    df = spark.createDataFrame([("A", "B"), ("A", None)], "o string, d string")
+    assert [r[0] for r in df.select(fn.route("o", "d")).collect()] == ["A_B", None]
+
+
+def test_severity_name_classify_log(spark):
+    assert [one(spark, fn.severity(F.lit(x))) for x in (20.1, 20.0, 15.1, 15.0)] == ["high", "medium", "medium", "low"]
+    assert one(spark, fn.short_name(F.lit("x" * 40), F.lit("C"))) == "x" * 25
+    assert one(spark, fn.short_name(F.lit(None).cast("string"), F.lit("C"))) == "C"
+    assert [one(spark, fn.classify(F.lit(p))) for p in (0.4999, 0.5)] == [0, 1]
+    assert one(spark, fn.log_count(F.lit(None).cast("int"))) == 0.0
+    assert one(spark, fn.log_count(F.lit(9))) == pytest.approx(math.log(10))
+
+
+def test_truth_json_and_paths(spark):
+    assert one(spark, fn.truth_json(F.lit(1), F.lit(7))) == (
+        '{"groundTruthData":{"data":"1","encoding":"CSV"},"eventMetadata":{"eventId":"7"},"eventVersion":"0"}')
+    for path in ("/x/2024/01/02/03/0405.jsonl", "/x/2024/01/02/03/0405.jsonl/part-0.json"):
+        assert str(one(spark, fn.truth_time(F.lit(path)))) == "2024-01-02 03:04:05"
+    hourly = "/x/upload_date=2024-01-02/upload_hour=03/part-0.json"
+    assert str(one(spark, fn.truth_time(F.lit(hourly)))) == "2024-01-02 03:00:00"
+    assert one(spark, fn.truth_time(F.lit("/x/part-0.json"))) is None
+    assert one(spark, fn.truth_path(F.to_timestamp(F.lit("2024-01-02 03:04:05")))) == "2024/01/02/03/0405.jsonl"
