@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -104,10 +105,14 @@ def train_gbt(
     label: str = "DELAYED",
     preset: str | None = None,
     val_flag: str | None = None,
+    partitions: int | None = None,
     **overrides: object,
 ) -> PipelineModel:
     """Train on ``df``. Positives weigh ``scale_pos_weight``.
 
+    Boosting passes over the rows many times, so rows that come in few or uneven partitions are worth one round-robin
+    shuffle into ``partitions`` even parts first. The order of rows then may differ between runs, and with it sampling.
+
     Rows whose boolean ``val_flag`` is true are not trained on; boosting stops when their loss no longer falls (Spark
     stops on loss, at the first round without a gain, so ``early_stopping_rounds`` only documents intent).
     """
@@ -118,7 +123,13 @@ def train_gbt(
     weight = F.when(F.col(label) == 1, F.lit(float(params["scale_pos_weight"]))).otherwise(F.lit(1.0))
     flag = [F.col(val_flag)] if val_flag else []
     rows = df.select(*columns, F.col(label).cast(T.DoubleType()).alias(label), weight.alias("_weight"), *flag)
-    return gbt_pipeline(features, label, params, "_weight", val_flag).fit(rows)
+    if partitions is not None:
+        rows = rows.repartition(partitions)
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # metadata, training and validation passes all read them
+    try:
+        return gbt_pipeline(features, label, params, "_weight", val_flag).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame, threshold: float = 0.5) -> DataFrame:

@@ -12,7 +12,8 @@ from latewatch.operators import monitor as mo
 from latewatch.operators import profile as pf
 from latewatch.operators.matrix import add_distance_features, add_temporal_features
 from latewatch.plans.registry import query, rounded
-from latewatch.plans.tables import SCORED, TRUTH, labelled, scored, truth
+from latewatch.plans.tables import SCORED, TRUTH, labelled, scored, table, truth
+from latewatch.runtime import pin
 from latewatch.schemas import FEATURE_SETS
 
 # ---------------------------------------------------------------- SQL building blocks
@@ -267,7 +268,7 @@ SELECT event_type, event_id, user_id, value FROM events WHERE value > 50
 QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) = 1""")
 def latest_version(spark, sf):
     """The latest row that qualifies, per group: each event type's last event above 50."""
-    events = spark.read.parquet(f"{sf}/events.parquet").select("event_type", "event_id", "user_id", "value", "ts")
+    events = table(spark, sf, "events").select("event_type", "event_id", "user_id", "value", "ts")
     return gt.latest_by(events, ["event_type"], ["ts", "event_id"], F.col("value") > 50).drop("ts")
 
 
@@ -372,14 +373,19 @@ def _trained(spark: SparkSession, sf: str):
     df = add_distance_features(add_temporal_features(labelled(spark, sf)))
     features = FEATURE_SETS["basic"]
     train = df.where("split IN ('train', 'val')").withColumn("is_val", F.col("split") == "val")
-    return ml.train_gbt(train, features, preset="baseline", val_flag="is_val", seed=42), df, features
+    model = ml.train_gbt(
+        train, features, preset="baseline", val_flag="is_val", seed=42, partitions=spark.sparkContext.defaultParallelism
+    )
+    return model, df, features
 
 
 @query("train_score_gbt")
 def train_score_gbt(spark, sf):
     """Train on two splits with early stopping, score all four, evaluate side by side."""
     model, df, _ = _trained(spark, sf)
-    return rounded(mt.evaluate_by(ml.score(model, df), "split", label="DELAYED"))
+    # scores are dear and read twice: keep the three columns that are evaluated
+    kept = pin(ml.score(model, df).select("split", "probability", "DELAYED"))
+    return rounded(mt.evaluate_by(kept, "split", label="DELAYED"))
 
 
 @query("importances")

@@ -9,8 +9,28 @@ from latewatch.operators.clean import clean, select_model_columns, with_label
 from latewatch.operators.splits import temporal_split
 
 
+# Columns of the driver tables that are read here. A known schema saves a footer-reading job per table.
+TABLES = {
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+        "o_orderpriority string"
+    ),
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,21 +44,20 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     )
-    order, part, supp, ship = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"), F.col("l_shipdate")
-    late = ((order * 7 + part * 13 + supp * 3) % 90 - 50).cast("double")
-    return joined.select(
-        F.year(ship).alias("YEAR"), F.month(ship).alias("MONTH"), F.day(ship).alias("DAY"),
-        (F.weekday(ship) + 1).alias("DAY_OF_WEEK"),
-        F.concat(F.lit("A"), (part % 14).cast("string")).alias("AIRLINE"),
-        F.col("n_name").alias("ORIGIN_AIRPORT"),
-        F.concat(F.lit("D"), (F.col("o_custkey") % 400).cast("string")).alias("DESTINATION_AIRPORT"),
-        ((part % 24) * 100 + order % 60).cast("int").alias("SCHEDULED_DEPARTURE"),
-        F.when(order % 101 != 0, F.col("l_quantity") * 12 + 30).alias("SCHEDULED_TIME"),
-        (F.col("l_quantity") * 100).alias("DISTANCE"),
-        F.when(order % 97 != 0, late).alias("ARRIVAL_DELAY"),
-        (part % 50 == 0).cast("int").alias("CANCELLED"),
-        (supp % 50 == 1).cast("int").alias("DIVERTED"),
-        order.alias("FLIGHT_KEY"),
+    return joined.selectExpr(
+        "year(l_shipdate) AS YEAR", "month(l_shipdate) AS MONTH", "day(l_shipdate) AS DAY",
+        "weekday(l_shipdate) + 1 AS DAY_OF_WEEK",
+        "concat('A', l_partkey % 14) AS AIRLINE",
+        "n_name AS ORIGIN_AIRPORT",
+        "concat('D', o_custkey % 400) AS DESTINATION_AIRPORT",
+        "CAST((l_partkey % 24) * 100 + l_orderkey % 60 AS INT) AS SCHEDULED_DEPARTURE",
+        "CASE WHEN l_orderkey % 101 <> 0 THEN l_quantity * 12 + 30 END AS SCHEDULED_TIME",
+        "l_quantity * 100 AS DISTANCE",
+        "CASE WHEN l_orderkey % 97 <> 0 "
+        "THEN CAST((l_orderkey * 7 + l_partkey * 13 + l_suppkey * 3) % 90 - 50 AS DOUBLE) END AS ARRIVAL_DELAY",
+        "CAST(l_partkey % 50 = 0 AS INT) AS CANCELLED",
+        "CAST(l_suppkey % 50 = 1 AS INT) AS DIVERTED",
+        "l_orderkey AS FLIGHT_KEY",
     )
 
 
@@ -53,17 +72,15 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One scored row per event. Scores have three digits, so many rows tie."""
-    e = table(spark, sf_dir, "events")
-    eid = F.col("event_id")
-    cents = F.round(F.col("value") * 100).cast("bigint")
-    version = (eid % 2).cast("int")
-    p = ((cents * 7 + F.col("user_id") * 13 + version * 331) % 1000) / 1000.0
-    bias = F.when(F.col("event_type") == "error", 150).otherwise(0)
-    draw = (eid * 7919) % 1000
-    label = (draw < F.floor(p * 500) + 150 + bias).cast("int")
-    return e.select(
-        eid.cast("string").alias("id"), eid.alias("seq"), "ts", version.alias("version"),
-        F.col("event_type").alias("segment"), p.alias("probability"), label.alias("label"),
+    drawn = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "ts", "event_type", "CAST(event_id % 2 AS INT) AS version",
+        "((CAST(round(value * 100) AS BIGINT) * 7 + user_id * 13 + (event_id % 2) * 331) % 1000) / 1000D AS p",
+    )
+    return drawn.selectExpr(
+        "CAST(event_id AS STRING) AS id", "event_id AS seq", "ts", "version", "event_type AS segment",
+        "p AS probability",
+        "CAST((event_id * 7919) % 1000 "
+        "< floor(p * 500) + 150 + CASE WHEN event_type = 'error' THEN 150 ELSE 0 END AS INT) AS label",
     )
 
 

@@ -28,6 +28,8 @@ def build_session(name: str = "latewatch", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # the plans are built from many small expressions; do not look up the call site of each one
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():
