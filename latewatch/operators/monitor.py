@@ -16,6 +16,7 @@ PRODUCTION_SIZE = 500
 ALARM_PERIOD_SECONDS = 600
 ALARM_THRESHOLD = 0.20
 BELOW, ABOVE = "LessThanThreshold", "GreaterThanThreshold"
+MAX_CONSTRAINTS = 1000
 BASELINE_METRICS = ("f1_score", "precision", "recall", "accuracy", "auc")
 
 
@@ -38,18 +39,33 @@ def violations(
     current: DataFrame, constraints: DataFrame, ids: Sequence[str] = (), names: Sequence[str] = BASELINE_METRICS,
     only_violated: bool = True,
 ) -> DataFrame:
-    """Compare a wide metrics table, one row per ``ids``, with the constraints, metric by metric."""
-    compared = unpivot_metrics(current, list(ids), names).join(constraints, "metric")
-    broken = (
-        F.when(F.col("comparison_operator") == BELOW, F.col("value") < F.col("threshold"))
-        .when(F.col("comparison_operator") == ABOVE, F.col("value") > F.col("threshold"))
-    )
-    compared = compared.select(
-        *ids, "metric", "value", "threshold", "comparison_operator", F.coalesce(broken, F.lit(False)).alias("violated")
-    )
+    """Compare a wide metrics table, one row per ``ids``, with the constraints, metric by metric.
+
+    Constraints are settings, a few rows: they are read first and become literals, so the metrics table, which may have a
+    row per version, segment and window, is only mapped. (A join on the metric name would squeeze it into five tasks.)
+    """
+    limit = MAX_CONSTRAINTS + 1
+    settings = constraints.select("metric", "threshold", "comparison_operator").limit(limit).collect()
+    if len(settings) == limit:
+        raise ValueError(f"more than {MAX_CONSTRAINTS} constraints")
+    checks = [_check(r["metric"], r["threshold"], r["comparison_operator"]) for r in settings if r["metric"] in names]
+    if not checks:
+        raise ValueError("no constraint names a known metric")
+    compared = current.select(*ids, F.inline(F.array(*checks)))
     return compared.where("violated") if only_violated else compared
 
 
+def _check(metric: str, threshold: float | None, operator: str) -> Column:
+    value, bound = F.col(metric).cast("double"), F.lit(threshold).cast("double")
+    broken = {BELOW: value < bound, ABOVE: value > bound}.get(operator)
+    if broken is None:
+        raise ValueError(f"unknown comparison operator: {operator}")
+    return F.struct(
+        F.lit(metric).alias("metric"), value.alias("value"), bound.alias("threshold"),
+        F.lit(operator).alias("comparison_operator"), F.coalesce(broken, F.lit(False)).alias("violated"),
+    )
+
+
 def join_ground_truth(
     scored: DataFrame,
     truth: DataFrame,

@@ -28,6 +28,9 @@ def build_session(name: str = "latewatch", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # join state of a day of traffic belongs on disk, not on the heap
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         # the plans are built from many small expressions; do not look up the call site of each one
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **{k.replace("__", "."): v for k, v in conf.items()},
@@ -84,6 +87,7 @@ def lookup_join(
     on = list(on)
     if table_bytes <= limit_bytes:
         return df.join(F.broadcast(table), on, "left")
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int"))
+    hashable = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
     copies = table.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     return salted.join(copies, [*on, "_salt"], "left").drop("_salt")

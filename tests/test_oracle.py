@@ -15,7 +15,12 @@ def con(sf):
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_twin(spark, sf, con, name):
-    assert compare(QUERIES[name](spark, sf), con, SQL[name]) == ""
+    """Equal results, and a plan without Python workers or cross products."""
+    df = QUERIES[name](spark, sf)
+    assert compare(df, con, SQL[name]) == ""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for bad in ("PythonUDF", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert bad not in plan
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))

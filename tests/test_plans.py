@@ -10,6 +10,8 @@ from conftest import ROOT
 from latewatch.operators import metrics as mt
 from latewatch.operators.encoders import KeyStatistics
 from latewatch.operators.clean import clean_funnel
+from latewatch.operators.matrix import non_numeric_columns
+from latewatch.operators.monitor import violations
 from latewatch.operators.profile import rates_by_each
 from latewatch.plans.flight_queries import featured
 from latewatch.plans.tables import cleaned, flights, scored
@@ -72,14 +74,16 @@ def test_only_range_totals_meet_in_one_task(spark, sf):
     assert single and all("_range" in lines[i + 1] or "Aggregate" in lines[i + 1] for i in single)
 
 
-def test_no_python_and_no_cross_join_in_any_query(spark, sf):
-    from latewatch.plans import QUERIES
-    for name, q in QUERIES.items():
-        if name.startswith("io_") or name in ("stream_quality", "train_score_gbt", "importances"):
-            continue
-        p = plan(q(spark, sf))
-        for bad in ("PythonUDF", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
-            assert bad not in p, (name, bad)
+def test_samples_of_all_columns_come_from_one_scan(spark, sf):
+    p = plan(non_numeric_columns(featured(spark, sf)))
+    assert sum("FileScan" in l and "l_orderkey" in l for l in p.splitlines()) == 1
+    assert p.count("WindowGroupLimit") == 2  # before and after the shuffle
+
+
+def test_constraints_are_only_mapped(spark):
+    metrics = spark.range(3).select("id", *[F.rand().alias(n) for n in mt.METRIC_NAMES])
+    cons = spark.createDataFrame([("auc", 0.5, "LessThanThreshold")], "metric string, threshold double, comparison_operator string")
+    assert "Exchange" not in plan(violations(metrics, cons, ["id"]))
 
 
 def test_source_has_no_forbidden_calls():
