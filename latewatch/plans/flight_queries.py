@@ -509,14 +509,14 @@ def matrix_frame(spark: SparkSession, sf: str, features: str) -> DataFrame:
     """Everything a named feature set needs, with only the lookups it uses."""
     df = featured(spark, sf)
     names = FEATURE_SETS[features]
+    if "SPEED" in names:  # fitted before the lookups, which its passes would otherwise repeat
+        df = df.withColumn("SPEED", safe_ratio("DISTANCE", "SCHEDULED_TIME"))
+        df = MedianImputer.fit(df.where("split = 'train'"), "SPEED").transform(df)
     rates = {f: k for f, k in {**RATE_FEATURES, **HOUR_RATE_FEATURES}.items() if f in names}
     counts = {f: k for f, k in COUNT_FEATURES.items() if f in names}
     if rates or counts:
         stats = KeyStatistics.fit(df.where("split = 'train'"), [*rates.values(), *counts.values()])
         df = stats.encode(df, rates, counts, smoothing=100 if features == "smoothed" else 0)
-    if "SPEED" in names:
-        df = df.withColumn("SPEED", safe_ratio("DISTANCE", "SCHEDULED_TIME"))
-        df = MedianImputer.fit(df.where("split = 'train'"), "SPEED").transform(df)
     return df
 
 

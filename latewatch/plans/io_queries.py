@@ -197,7 +197,7 @@ def _streamed_quality(spark: SparkSession, sf: str) -> DataFrame:
     quality = quality_stream(
         scored_stream(spark, source, fmt="parquet"), truth_stream(spark, _write_uploads(spark, sf)), "1 day", "2 days"
     )
-    run_available(quality, out, state)
+    run_available(quality, out, state, state_partitions=spark.sparkContext.defaultParallelism)
     return spark.read.schema(quality.schema).parquet(out)
 
 

@@ -83,11 +83,25 @@ def quality_stream(
     return metrics_from_counts(counts).withColumn("window_start", F.col("_w.start")).drop("_w")
 
 
-def run_available(stream: DataFrame, output: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Process all data present now into Parquet files and stop; rerunning continues from the checkpoint."""
-    query = (
+def run_available(
+    stream: DataFrame, output: str, checkpoint: str, mode: str = "append", state_partitions: int | None = None
+) -> StreamingQuery:
+    """Process all data present now into Parquet files and stop; rerunning continues from the checkpoint.
+
+    ``state_partitions`` fixes how many parts the state is kept in. It is settled by the first run of a checkpoint and is
+    worth choosing apart from the batch shuffles of the session, whose setting is left as it was.
+    """
+    conf, key = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
+    writer = (
         stream.writeStream.outputMode(mode).format("parquet").option("path", output)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True)
     )
+    try:
+        if state_partitions is not None:
+            conf.set(key, str(state_partitions))
+        query = writer.start()  # the stream keeps its own copy of the settings
+    finally:
+        conf.set(key, before)
     query.awaitTermination()
     return query
