@@ -20,21 +20,40 @@ RANGE = "_range"
 GROUP = "_group"
 # Leading hex digits of an md5 digest used as a range: 65,536 equal ranges by construction.
 HASH_PREFIX_DIGITS = 4
-MIN_RANGES = 64
+# Ranges taken from the sketch; each is divided further. The sketch resolves MAX_RANGES of equal weight.
+MIN_RANGES, MAX_RANGES = 64, 2048
+SUBDIVISIONS = 16
+SKETCH_GROUPS = 256
 
 
 def range_edges(df: DataFrame, column: str, ranges: int | None = None) -> list[float]:
-    """Ascending cut values that leave about equally many rows in each range.
+    """Ascending cut values that leave few distinct values in each range.
 
-    One map-side-combined pass over one column. Only the cuts, a number set by the cluster and not by the data, come
-    to the driver. A value too frequent for one range yields equal cuts, which collapse; it then sits in a range with
-    few *distinct* values.
+    One pass over one column. Every task fills one small quantile sketch of fixed size; sketches are merged in two levels,
+    so the last task merges ``SKETCH_GROUPS`` of them and not one per input split. The sketch gives cuts of about equal
+    weight, and each gap between two cuts is divided evenly once more, which multiplies the ranges without a larger
+    sketch. Only the cuts, a number set by the cluster and not by the data, come to the driver. A value too frequent for one
+    range yields equal cuts, which collapse; it then sits in a range with few *distinct* values.
     """
     if ranges is None:
-        ranges = max(MIN_RANGES, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    shares = [i / ranges for i in range(1, ranges)]
-    row = df.agg(F.percentile_approx(F.col(column).cast("double"), shares, 8 * ranges).alias("cuts")).first()
-    return sorted({float(v) for v in row["cuts"] or [] if v is not None and math.isfinite(v)})
+        ranges = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    ranges = max(MIN_RANGES, min(MAX_RANGES, ranges))
+    k = F.lit(max(200, 4 * ranges))
+    value = F.col(column).cast("double")
+    sketch = (
+        df.select(value.alias("_v"), F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_g"))
+        .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
+        .groupBy("_g").agg(F.kll_sketch_agg_double("_v", k).alias("_s"))
+        .agg(F.kll_merge_agg_double("_s", k).alias("_s"))
+    )
+    shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    filled = F.kll_sketch_get_n_double("_s") > 0
+    row = sketch.select(F.when(filled, F.kll_sketch_get_quantile_double("_s", shares)).alias("cuts")).first()
+    cuts = sorted({float(v) for v in row["cuts"] or [] if math.isfinite(v)})
+    finer = set(cuts)
+    for lo, hi in zip(cuts, cuts[1:]):
+        finer.update(lo + (hi - lo) * i / SUBDIVISIONS for i in range(1, SUBDIVISIONS))
+    return sorted(v for v in finer if math.isfinite(v))
 
 
 def with_range(df: DataFrame, column: str, edges: Sequence[float]) -> DataFrame:
