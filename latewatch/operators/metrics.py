@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from latewatch.functions import ratio_or_zero, safe_ratio
-from latewatch.operators.ranges import RANGE, prefix_sums, range_edges, with_range
+from latewatch.operators.ranges import RANGE, finer, prefix_sums, range_edges, with_range
 
 METRIC_NAMES = ("accuracy", "precision", "recall", "f1_score", "auc")
 # The threshold grid of the sweep and the guard in the F1 of the threshold search.
@@ -67,7 +67,7 @@ def score_counts(
     counts = rows.groupBy(*by, "_score").agg(
         F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") != 1).alias("neg")
     )
-    return with_range(counts, "_score", edges)
+    return with_range(counts, "_score", finer(edges))
 
 
 def evaluate(

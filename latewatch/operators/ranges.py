@@ -18,9 +18,9 @@ from latewatch.runtime import BROADCAST_LIMIT_BYTES, BROADCAST_ROW_BYTES, pin
 
 RANGE = "_range"
 GROUP = "_group"
-# Leading hex digits of an md5 digest used as a range: 65,536 equal ranges by construction.
-HASH_PREFIX_DIGITS = 4
-# Ranges taken from the sketch; each is divided further. The sketch resolves MAX_RANGES of equal weight.
+# Hex digits of an md5 digest used as a range: 4,096 equal ranges by construction, each with 4,096 fine ones.
+HASH_PREFIX_DIGITS = 3
+# Coarse ranges come from a sketch, which resolves up to MAX_RANGES of equal weight; fine ones divide them further.
 MIN_RANGES, MAX_RANGES = 64, 2048
 SUBDIVISIONS = 16
 SKETCH_GROUPS = 256
@@ -30,10 +30,9 @@ def range_edges(df: DataFrame, column: str, ranges: int | None = None) -> list[f
     """Ascending cut values that leave few distinct values in each range.
 
     One pass over one column. Every task fills one small quantile sketch of fixed size; sketches are merged in two levels,
-    so the last task merges ``SKETCH_GROUPS`` of them and not one per input split. The sketch gives cuts of about equal
-    weight, and each gap between two cuts is divided evenly once more, which multiplies the ranges without a larger
-    sketch. Only the cuts, a number set by the cluster and not by the data, come to the driver. A value too frequent for one
-    range yields equal cuts, which collapse; it then sits in a range with few *distinct* values.
+    so the last task merges ``SKETCH_GROUPS`` of them and not one per input split. Only the cuts, a number set by the cluster
+    and not by the data, come to the driver. A value too frequent for one range yields equal cuts, which collapse; it then
+    sits in a range with few *distinct* values.
     """
     if ranges is None:
         ranges = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -49,11 +48,15 @@ def range_edges(df: DataFrame, column: str, ranges: int | None = None) -> list[f
     shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
     filled = F.kll_sketch_get_n_double("_s") > 0
     row = sketch.select(F.when(filled, F.kll_sketch_get_quantile_double("_s", shares)).alias("cuts")).first()
-    cuts = sorted({float(v) for v in row["cuts"] or [] if math.isfinite(v)})
-    finer = set(cuts)
-    for lo, hi in zip(cuts, cuts[1:]):
-        finer.update(lo + (hi - lo) * i / SUBDIVISIONS for i in range(1, SUBDIVISIONS))
-    return sorted(v for v in finer if math.isfinite(v))
+    return sorted({float(v) for v in row["cuts"] or [] if math.isfinite(v)})
+
+
+def finer(edges: Sequence[float]) -> list[float]:
+    """The cuts with every gap between two of them divided evenly: many more ranges without a larger sketch."""
+    out = set(edges)
+    for lo, hi in zip(edges, edges[1:]):
+        out.update(lo + (hi - lo) * i / SUBDIVISIONS for i in range(1, SUBDIVISIONS))
+    return sorted(v for v in out if math.isfinite(v))
 
 
 def with_range(df: DataFrame, column: str, edges: Sequence[float]) -> DataFrame:
@@ -101,8 +104,8 @@ def exact_quantile(
 ) -> DataFrame:
     """Exact interpolated quantile per group; one row per group, NULLs ignored.
 
-    Counts per range find the one or two ranges that hold the wanted ranks; only rows of those ranges are counted by
-    value. No task ever holds more than one range.
+    Counts per coarse range find the one or two ranges that hold the wanted ranks; only rows of those are counted by
+    value, and these counts are summed along finer ranges. No task ever holds more than one fine range.
     """
     by, name = list(by), name or f"{column}_q"
     values = with_group(df, by).select(GROUP, F.col(column).cast("double").alias("_value")).where("_value IS NOT NULL")
@@ -122,12 +125,15 @@ def exact_quantile(
         return (F.col("_start") <= F.col(rank)) & (F.col(rank) < F.col("_end"))
 
     hit = totals.where(holds("_low") | holds("_high")).select(GROUP, RANGE, "_start", "_rank", "_low", "_high")
-    inside = Window.partitionBy(GROUP, RANGE).orderBy("_value")
-    ranks = (
-        _rows_in(ranged, hit, not by)
-        .groupBy(GROUP, RANGE, "_start", "_rank", "_low", "_high", "_value").agg(F.count("*").alias("_n"))
-        .withColumn("_end", F.col("_start") + F.sum("_n").over(inside))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
+    state = ["_start", "_rank", "_low", "_high"]
+    counts = (
+        _rows_in(ranged, hit, not by).select(F.struct(GROUP, RANGE, *state).alias("_hit"), "_value")
+        .groupBy("_hit", "_value").agg(F.count("*").alias("_n"))
+    )
+    ranks = prefix_sums(with_range(counts, "_value", finer(edges)), "_value", ["_n"], ["_hit"], descending=False).select(
+        F.col(f"_hit.{GROUP}").alias(GROUP), "_value", *[F.col(f"_hit.{c}").alias(c) for c in ("_rank", "_low", "_high")],
+        (F.col("_hit._start") + F.col("_n_upto")).alias("_end"),
+        (F.col("_hit._start") + F.col("_n_upto") - F.col("_n")).alias("_start"),
     )
     low = F.max(F.when(holds("_low"), F.col("_value")))
     high = F.max(F.when(holds("_high"), F.col("_value")))
@@ -184,8 +190,8 @@ def prefix_sums(
 def hash_cutoffs(df: DataFrame, digest: str, shares: Sequence[float], by: Sequence[str]) -> DataFrame:
     """Per group, the digests that cut it into parts of the cumulative ``shares``; columns ``cut_0 … cut_k``.
 
-    A row with ``digest <= cut_i`` lies in the first ``i + 1`` parts. The digest's leading digits are the ranges, so no
-    sampling pass is needed. Equal digests (repeated keys) always fall on the same side.
+    A row with ``digest <= cut_i`` lies in the first ``i + 1`` parts. The digest's leading digits are the coarse ranges and
+    its next digits the fine ones, so no sketch is needed. Equal digests (repeated keys) always fall on the same side.
     """
     by = list(by)
     ranged = with_group(df, by).select(
@@ -209,12 +215,15 @@ def hash_cutoffs(df: DataFrame, digest: str, shares: Sequence[float], by: Sequen
     for p in places:
         wanted = wanted | at(p)
     hit = totals.where(wanted).select(GROUP, RANGE, "_start", *places)
-    inside = Window.partitionBy(GROUP, RANGE).orderBy("_digest")
-    ranks = (
-        _rows_in(ranged, hit, not by)
-        .groupBy(GROUP, RANGE, "_start", *places, "_digest").agg(F.count("*").alias("_n"))
-        .withColumn("_end", F.col("_start") + F.sum("_n").over(inside))
-        .withColumn("_start", F.col("_end") - F.col("_n"))
+    counts = (
+        _rows_in(ranged, hit, not by).select(F.struct(GROUP, RANGE, "_start", *places).alias("_hit"), "_digest")
+        .groupBy("_hit", "_digest").agg(F.count("*").alias("_n"))
+        .withColumn(RANGE, F.substring("_digest", HASH_PREFIX_DIGITS + 1, HASH_PREFIX_DIGITS))
+    )
+    ranks = prefix_sums(counts, "_digest", ["_n"], ["_hit"], descending=False).select(
+        F.col(f"_hit.{GROUP}").alias(GROUP), "_digest", *[F.col(f"_hit.{p}").alias(p) for p in places],
+        (F.col("_hit._start") + F.col("_n_upto")).alias("_end"),
+        (F.col("_hit._start") + F.col("_n_upto") - F.col("_n")).alias("_start"),
     )
     cuts = [F.max(F.when(at(p), F.col("_digest"))).alias(f"cut_{i}") for i, p in enumerate(places)]
     return ranks.agg(*cuts) if not by else ranks.groupBy(GROUP).agg(*cuts).select(
