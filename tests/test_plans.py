@@ -12,9 +12,9 @@ from latewatch.operators.encoders import KeyStatistics
 from latewatch.operators.clean import clean_funnel
 from latewatch.operators.matrix import non_numeric_columns
 from latewatch.operators.monitor import violations
-from latewatch.operators.profile import rates_by_each
+from latewatch.operators.profile import rates_by_each, split_summary
 from latewatch.plans.flight_queries import featured
-from latewatch.plans.tables import cleaned, flights, scored
+from latewatch.plans.tables import cleaned, flights, labelled, scored
 from latewatch.runtime import lookup_join, pin, scratch_path, shared_dir
 
 
@@ -53,6 +53,8 @@ def test_one_pass_profiles(spark, sf):
     assert sum("FileScan" in l and "l_orderkey" in l for l in plan(clean_funnel(flights(spark, sf))).splitlines()) == 1
     p = plan(rates_by_each(flights(spark, sf), ["MONTH", "DAY_OF_WEEK"]))
     assert sum("FileScan" in l and "l_orderkey" in l for l in p.splitlines()) == 1
+    p = plan(split_summary(labelled(spark, sf)))
+    assert sum("FileScan" in l and "l_orderkey" in l for l in p.splitlines()) == 1 and "Subquery" not in p
 
 
 def test_curves_reuse_the_counts_and_never_sort_raw_rows(spark, sf):

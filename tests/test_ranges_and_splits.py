@@ -40,6 +40,19 @@ def test_exact_quantile_per_group_with_null_group(skewed):
         assert got[g] == pytest.approx(np.quantile(vs, 0.3), rel=1e-12)
 
 
+def test_cuts_are_ascending_bounded_and_follow_the_weight(spark):
+    df = spark.range(20000).select((F.pmod(F.xxhash64("id"), F.lit(10**9)) / 1e12).alias("v")).repartition(7)
+    cuts = rg.range_edges(df, "v")
+    fine = rg.finer(cuts)
+    assert cuts == sorted(set(cuts)) and len(cuts) < rg.MIN_RANGES
+    assert fine == sorted(set(fine)) and set(cuts) <= set(fine) and len(fine) <= len(cuts) * rg.SUBDIVISIONS
+    largest = rg.with_range(df, "v", cuts).groupBy(rg.RANGE).count().agg(F.max("count")).first()[0]
+    assert largest < 3 * 20000 / rg.MIN_RANGES
+    order = rg.with_range(df, "v", fine).orderBy("v").select(rg.RANGE).collect()
+    assert [r[0] for r in order] == sorted(r[0] for r in order)
+    assert rg.range_edges(df.where("v < 0"), "v") == []
+
+
 def test_quantile_of_any_cuts_is_the_same(skewed):
     """Cuts only balance the work; the result does not depend on them."""
     a = rg.exact_quantile(skewed, "v", 0.5, edges=[]).first()[0]
