@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latewatch.llm import bpe, html_content
+from latewatch.llm import bpe, html_content, pii
 from latewatch.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -17,6 +17,15 @@ def op1_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return out.select(
+        "doc_id", *[count(k) for k in pii.KINDS], F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"),
+        pii.spans_text(F.concat("base", "found")).alias("spans"), F.size("found").cast("long").alias("n_found"),
+    )
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = bpe.round_trip(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
@@ -26,5 +35,5 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_html_content, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op9_bpe)}
 SQL: dict[str, str] = {}
