@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latewatch.llm import bpe, html_content, pii
+from latewatch.llm import bpe, html_content, pii, quality
 from latewatch.llm.common import table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -26,6 +26,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = bpe.round_trip(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
@@ -35,5 +39,5 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op6_quality, op9_bpe)}
 SQL: dict[str, str] = {}
