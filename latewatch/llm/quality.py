@@ -150,7 +150,7 @@ def train(stats: DataFrame, labels: DataFrame, held_out_mod: int = HELD_OUT_MOD,
         stats.join(known, F.col("doc_id") == F.col("_id")).select(F.xxhash64("_id").alias("h"), "_id", "statistics", "_y")
         .orderBy("h", "_id", "statistics", "_y").limit(sample).select("statistics", "_y").collect()
     )
-    x = np.array([r[0] for r in rows], np.float64).reshape(len(rows), -1)
+    x = np.array([r[0] for r in rows], np.float64).reshape(len(rows), len(STATISTICS))
     return fit(x, np.array([r[1] for r in rows], np.float64))
 
 
@@ -168,7 +168,7 @@ def _scored_text(model: Trees):
     @F.pandas_udf("double")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in parts:
-            x = np.array([statistics(t) for t in texts], np.float64).reshape(len(texts), -1)
+            x = np.array([statistics(t) for t in texts], np.float64).reshape(len(texts), len(STATISTICS))
             yield pd.Series(model.score(x) if len(texts) else np.zeros(0))
 
     return run
