@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latewatch.llm import bpe, html_content, pii, quality
-from latewatch.llm.common import table
+from latewatch.llm import bpe, html_content, pii, quality, rules
+from latewatch.llm.common import table, written
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -39,5 +39,16 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op6_quality, op9_bpe)}
+def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    stats = written(rules.with_statistics(docs).select("doc_id", "statistics"), "rules-statistics")
+    learned = rules.train(stats, table(spark, sf_dir, "labels"))
+    out = stats.select("*", *rules.shares()).withColumn("base_failed", rules.base_failed())
+    return out.select(
+        "doc_id", *[F.col(f"statistics.{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+        "base_failed", (~F.col("base_failed") & rules.verdict(learned)).alias("kept"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op6_quality, op9_bpe, op10_rules)}
 SQL: dict[str, str] = {}
