@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latewatch.llm import bpe, html_content, pii, quality, rules
+from latewatch.llm import bpe, html_content, pii, quality, rules, secret_scan
 from latewatch.llm.common import table, written
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -30,6 +30,15 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.find(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return out.select(
+        "doc_id", *[count(k) for k in secret_scan.KINDS], F.sha2(secret_scan.spans_text(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.spans_text(F.concat("base", "found")).alias("spans"), F.size("found").cast("long").alias("n_linked"),
+    )
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = bpe.round_trip(docs, public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
@@ -50,5 +59,5 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op6_quality, op9_bpe, op10_rules)}
+QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op6_quality, op8_secrets, op9_bpe, op10_rules)}
 SQL: dict[str, str] = {}
