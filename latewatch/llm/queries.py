@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latewatch.llm import bpe, html_content, pii, quality, rules, secret_scan
+from latewatch.llm import bpe, decontaminate, html_content, pii, quality, rules, secret_scan
 from latewatch.llm.common import table, written
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -26,6 +26,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaks: one row per document and item."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -59,5 +64,5 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op6_quality, op8_secrets, op9_bpe, op10_rules)}
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op3_decontaminate, op6_quality, op8_secrets, op9_bpe, op10_rules)}
+SQL: dict[str, str] = {"op3_decontaminate": decontaminate.SQL}
