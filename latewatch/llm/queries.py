@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latewatch.llm import bpe, decontaminate, html_content, pii, quality, rules, secret_scan
+from latewatch.llm import bpe, decontaminate, html_content, line_dedup, pii, quality, rules, secret_scan
 from latewatch.llm.common import table, written
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -31,6 +31,16 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_key")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = line_dedup.dedup(docs.withColumn("n_chunks", F.size(line_dedup.chunks(F.col("text"))).cast("long")))
+    text = F.coalesce("text", F.lit(""))
+    return out.select(
+        "doc_id", "n_chunks", F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"), F.length(text).cast("long").alias("n_chars"),
+        F.sha2(text.cast("binary"), 256).alias("text_sha256"),
+    )
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -64,5 +74,5 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op3_decontaminate, op6_quality, op8_secrets, op9_bpe, op10_rules)}
-SQL: dict[str, str] = {"op3_decontaminate": decontaminate.SQL}
+QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op3_decontaminate, op4_line_dedup, op6_quality, op8_secrets, op9_bpe, op10_rules)}
+SQL: dict[str, str] = {"op3_decontaminate": decontaminate.SQL, "op4_line_dedup": line_dedup.SQL}
