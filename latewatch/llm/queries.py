@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latewatch.llm import bpe, decontaminate, html_content, line_dedup, pii, quality, rules, secret_scan
+from latewatch.llm import bpe, decontaminate, html_content, line_dedup, near_dedup, pii, quality, rules, secret_scan
 from latewatch.llm.common import table, written
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -45,6 +45,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two-word shingles, as the contract has it; the stage of the pipeline takes five."""
+    return near_dedup.find(table(spark, sf_dir, "documents"), size=2).drop("text_key")
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret_scan.find(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -74,5 +79,5 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op3_decontaminate, op4_line_dedup, op6_quality, op8_secrets, op9_bpe, op10_rules)}
+QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op3_decontaminate, op4_line_dedup, op6_quality, op7_near_dedup, op8_secrets, op9_bpe, op10_rules)}
 SQL: dict[str, str] = {"op3_decontaminate": decontaminate.SQL, "op4_line_dedup": line_dedup.SQL}
