@@ -69,11 +69,10 @@ def token_counts(df: DataFrame, text: str = "text") -> DataFrame:
 class Vocabulary:
     """Frequent words with counts and classes, and what the buckets hold. Its size is bounded by ``FREQUENT``."""
 
-    def __init__(self, frequent: list[tuple[str, int]], buckets: dict[int, tuple[int, int]], total: int, distinct: int):
+    def __init__(self, frequent: list[tuple[str, int]], buckets: dict[int, tuple[int, int]], end_count: int):
         ordered = sorted((x for x in frequent if x[0] != END), key=lambda x: (-x[1], x[0]))
-        self.total, self.distinct = total, distinct
         self.known = {w: (k, n) for k, (w, n) in enumerate(ordered)}
-        self.end_count = dict(frequent).get(END, 0)
+        self.end_count = end_count
         self.bucket_log = np.array([np.log10(sum(buckets.get(b, (0, 0))) + 1) for b in range(BUCKETS)])
 
     def look_up(self, words: list[str]) -> tuple[np.ndarray, ...]:
@@ -168,7 +167,9 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     rows = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("text"))
     training = rows.where(crc_mod("d", HELD_OUT_MOD) != HELD_OUT)
     counts = written(token_counts(training), "token-counts")
-    total, distinct = counts.select(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    total, distinct, ends = counts.select(
+        F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.coalesce(F.sum(F.when(F.col("token") == END, F.col("n"))), F.lit(0)),
+    ).first()
 
     # the smallest count with at most FREQUENT words from it on, found among a few hundred steps
     step = F.floor(F.log2("n") * 16)
@@ -182,7 +183,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
     top = {w for w, _ in sorted((x for x in frequent if x[0] != END), key=lambda x: (-x[1], x[0]))[:WORDS]} | {END}
     bucket = F.pmod(F.crc32(F.expr("right(token, 3)").cast("binary")), F.lit(BUCKETS))
     held = counts.where(~F.col("token").isin(*top)).groupBy(bucket.alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
-    vocabulary = spark.sparkContext.broadcast(Vocabulary(frequent, {r["b"]: (r["n"], r["v"]) for r in held}, total, distinct))
+    vocabulary = spark.sparkContext.broadcast(Vocabulary(frequent, {r["b"]: (r["n"], r["v"]) for r in held}, ends))
 
     pairs = class_pairs(training, vocabulary).toPandas()
     table = spark.sparkContext.broadcast(train(pairs["pair"].to_numpy(np.int64), pairs["n"].to_numpy(np.float64)))
