@@ -1,17 +1,18 @@
 """Near-duplicates by MinHash bands, odd sketches and exact confirmation.
 
 A document is the set of its distinct word shingles (64-bit hashes). Equal sets are one node from the start, so groups of copies cost
-one node. Each node has ``BANDS`` x ``ROWS`` MinHash samples; the samples are also folded into an odd sketch, a bitmap of ``BITS`` parities: the
-population count of the XOR of two sketches estimates how many samples differ, most precisely for high similarities.
+one node. Each node has ``BANDS`` x ``ROWS`` MinHash samples for its bands. Its odd sketch folds the samples of a one-permutation MinHash (the
+least hash in each of ``BINS`` bins) into a bitmap of ``BITS`` parities: the population count of the XOR of two sketches tells how many samples
+differ, most precisely for high similarities.
 
-Candidates are nodes that share a band. First every node is paired with the smallest node of each of its buckets, the sketch picks
-the most similar of these, and that pair is confirmed on the full sets; the links give components. Then only pairs of one bucket in different
-components are left to decide: members outside the bucket's largest component against the other members, those with a sketch far
-below the threshold set aside, the rest confirmed on full sets. So a large group of near copies costs a few pairs per member, and still every
-candidate link between components is looked at.
+Candidates are nodes that share a band. First every node is paired with the most central node (the one with most bucket mates) of each of its
+buckets, the sketch picks the most similar of these, and that pair is confirmed on the full sets; the links give components. Then only pairs of
+one bucket in different components are left to decide: members outside the bucket's largest component against the other members, each pair in the
+first band it shares. Those with a sketch ``SIGMAS`` standard deviations worse than what a pair at the threshold has are set aside, the rest
+confirmed on full sets. So a large group of near copies costs a few pairs per member, and still every candidate link between components is looked at.
 
-A pair at the threshold shares no band with probability (1 - 0.8^5)^36 = 6e-7, and is set aside by its sketch with about the same (the estimate
-would be five standard deviations too low). Two different sets or shingles get one 64-bit hash with a probability of 5e-20 a pair.
+A pair at the threshold shares no band with probability (1 - 0.8^5)^36 = 6e-7, and is set aside by its sketch with about 3e-7. Two
+different sets or shingles get one 64-bit hash with a probability of 5e-20 a pair.
 
 Words are lower-cased (A-Z) and cut at ASCII white space; with fewer words than a shingle has, the whole sequence is the one shingle. Null and
 wordless texts have an empty set and are linked with nothing. Rows with equal id and text are the same document. Null ids are never the
@@ -29,15 +30,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from latewatch.llm.common import groups, written
+from latewatch.llm.common import groups, small, written
 from latewatch.llm.components import components
 
-BANDS, ROWS, BITS = 36, 5, 512
+BANDS, ROWS = 36, 5
+BINS, BITS = 4096, 2048
 PERCENT = 80
-# Pairs whose sketches put them below this similarity are not confirmed.
-SKETCH_FLOOR = 0.6
-# Below this number of ids a list of ids is broadcast (16 MB), above it is shuffled.
-BROADCAST_IDS = 1_000_000
+SIGMAS = 5.0
 WORDS = BITS // 64
 SKETCH = [f"s{k}" for k in range(WORDS)]
 
@@ -85,42 +84,35 @@ def samples(s: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketch(m: np.ndarray) -> np.ndarray:
-    """Odd sketch: one parity bit per hash value of the samples."""
-    bit = (_mix(m + np.arange(len(m), dtype=_U) * _U(0x9E3779B97F4A7C15)) >> _U(64 - BITS.bit_length() + 1)).astype(np.int64)
+def sketch(s: np.ndarray) -> tuple[int, np.ndarray]:
+    """Number of one-permutation samples of a sorted set, and their odd sketch: one parity bit per hash value of the samples."""
+    bins = s >> _U(64 - BINS.bit_length() + 1)
+    least = s[np.flatnonzero(np.diff(bins, prepend=_U(BINS)))]
+    bit = (_mix(least ^ _U(0x9E3779B97F4A7C15)) >> _U(64 - BITS.bit_length() + 1)).astype(np.int64)
     odd = (np.bincount(bit, minlength=BITS) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64)
-
-
-def estimate(differing_bits: float) -> float:
-    """Similarity from the population count of the XOR of two sketches."""
-    inner = max(1e-9, 1 - 2 * differing_bits / BITS)
-    return 1 + BITS / (4 * len(_A)) * float(np.log(inner))
-
-
-# The largest population count with an estimate of at least the floor.
-MOST_BITS = max(z for z in range(BITS // 2) if estimate(z) >= SKETCH_FLOOR)
+    return len(least), np.packbits(odd).view(np.int64)
 
 
 def signatures(df: DataFrame, size: int, text: str = "text") -> DataFrame:
-    """``df`` with ``sig``: n (size of the set), node (hash of the set), s0.. (sketch), bands (bucket numbers)."""
+    """``df`` with ``sig``: n (size of the set), node (hash of the set), held (samples in the sketch), s0.. (sketch), bands (bucket numbers)."""
     band = np.arange(1, BANDS + 1, dtype=_U) * _U(0x9E3779B97F4A7C15)
 
-    @F.pandas_udf(f"n long, node long, {', '.join(f'{s} long' for s in SKETCH)}, bands array<long>")
+    @F.pandas_udf(f"n long, node long, held long, {', '.join(f'{s} long' for s in SKETCH)}, bands array<long>")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in parts:
             rows = []
             for group in groups(texts.tolist()):
                 for s in shingle_sets(group, size):
                     if not len(s):
-                        rows.append((0, 0, *[0] * WORDS, []))
+                        rows.append((0, 0, 0, *[0] * WORDS, []))
                         continue
                     m = samples(s)
                     acc = band.copy()
                     for k in range(ROWS):
                         acc = _mix(acc ^ m[k::ROWS])
-                    rows.append((len(s), xxhash.xxh64_intdigest(s.tobytes()), *sketch(m).tolist(), acc.view(np.int64)))
-            out = pd.DataFrame(rows, columns=["n", "node", *SKETCH, "bands"])
+                    held, bits = sketch(s)
+                    rows.append((len(s), xxhash.xxh64_intdigest(s.tobytes()), held, *bits.tolist(), acc.view(np.int64)))
+            out = pd.DataFrame(rows, columns=["n", "node", "held", *SKETCH, "bands"])
             out["node"] = out["node"].astype("uint64").to_numpy().view("int64")
             yield out
 
@@ -155,45 +147,81 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _bits(left: str, right: str) -> Column:
+    """Parities in which two sketches differ."""
     total = F.lit(0)
     for s in SKETCH:
         total = total + F.bit_count(F.col(f"{left}{s}").bitwiseXOR(F.col(f"{right}{s}")))
     return total
 
 
+def most_bits(n: Column, held: Column) -> Column:
+    """Parities in which a pair at the threshold differs, ``SIGMAS`` standard deviations above the mean. ``n``, ``held``: sums of both sizes
+    and of both numbers of samples.
+
+    At the threshold the union has n / (1 + 0.8) elements, of which u are the least of their bin (expected in the same proportion to the samples of
+    both as in the mean), and 0.8 u of those are common. Taking u of the union without replacement, filling the bins, and throwing the
+    differing samples into the bitmap, each have a variance.
+    """
+    share = PERCENT / 100
+    union = n / (1 + share)
+    empty = F.exp(-union / BINS)
+    u = held * (1 - empty) / (2 * (1 - F.exp(-n / (2 * BINS))))
+    differing = F.greatest(held - 2 * share * u, F.lit(0.0))
+    left = F.exp(-2 * differing / BITS)
+    drawn = 4 * share * (1 - share) * u * F.greatest(union - u, F.lit(0.0)) / union
+    filled = share * share * BINS * (empty - (1 + union / BINS) * empty * empty)
+    thrown = F.greatest(BITS / 4 * (1 - left * left) - left * left * differing, F.lit(0.0))
+    return BITS / 2 * (1 - left) + SIGMAS * F.sqrt(left * left * (drawn + filled) + thrown + 1)
+
+
+def may_link(left: str, right: str) -> Column:
+    """What sizes and sketches say: False only for pairs below the threshold."""
+    sizes = [F.col(f"{left}n"), F.col(f"{right}n")]
+    likely = _bits(left, right) <= most_bits(sizes[0] + sizes[1], F.col(f"{left}held") + F.col(f"{right}held"))
+    return (100 * F.least(*sizes) >= PERCENT * F.greatest(*sizes)) & likely
+
+
 def find(docs: DataFrame, size: int = 5, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ``text_key`` (hash of the text), ``n_shingles``, ``component_id``, ``kept``."""
     rows = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t"))
     sigs = signatures(rows, size, "t").select("d", F.xxhash64(F.coalesce("t", F.lit(""))).alias("k"), "sig.*")
     sigs = written(sigs, "signatures")
     full = sigs.where("n > 0")
-    nodes = full.groupBy("node").agg(F.min("d").alias("rep"), *[F.first(s).alias(s) for s in SKETCH])
-    bands = full.select("node", F.explode("bands").alias("bucket"))
-    leaders = bands.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader < last").drop("last")
-    members = written(bands.join(leaders, "bucket").select("bucket", "leader", "node").distinct(), "members")
-    near = nodes.join(members.select("node").distinct(), "node", "left_semi")
+    nodes = full.groupBy("node").agg(F.min("d").alias("rep"))
+    bands = full.select("node", F.posexplode("bands").alias("band", "bucket"))
+    shared = bands.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").select("bucket")
+    members = written(bands.join(shared, "bucket").distinct(), "members")
+    mates = members.join(members.groupBy("bucket").agg(F.count("*").alias("m")), "bucket").groupBy("node").agg(F.sum("m").alias("mates"))
+    leaders = members.join(mates, "node").groupBy("bucket").agg(F.max_by("node", "mates").alias("leader"))
+    near = full.join(mates.select("node"), "node", "left_semi").groupBy("node").agg(
+        F.min("d").alias("rep"), *[F.first(c).alias(c) for c in ("n", "held", *SKETCH, "bands")],
+    )
     near = written(near, "near-nodes")
 
-    ids = near.select(F.col("rep").alias("r")).distinct()
-    ids = F.broadcast(ids) if near.count() <= BROADCAST_IDS else ids
+    ids = small(written(near.select(F.col("rep").alias("r")).distinct(), "near-ids"))
     needed = rows.join(ids, F.col("d").eqNullSafe(F.col("r")), "left_semi").select(_sets(size, "t").alias("s")).select("s.*")
     sets = written(needed.join(near.select("node"), "node", "left_semi").groupBy("node").agg(F.first("items").alias("items")), "sets")
 
-    def sketched(df: DataFrame, column: str, prefix: str) -> DataFrame:
-        return df.join(near.select(F.col("node").alias(column), *[F.col(s).alias(f"{prefix}{s}") for s in SKETCH]), column)
+    def described(df: DataFrame, column: str, prefix: str, *more: str) -> DataFrame:
+        """``df`` with what is known of the node in ``column``."""
+        return df.join(near.select(F.col("node").alias(column), *[F.col(c).alias(f"{prefix}{c}") for c in ("n", "held", *SKETCH, *more)]), column)
 
-    stars = members.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
-    stars = sketched(sketched(stars, "a", "x"), "b", "y").select("a", "b", _bits("x", "y").alias("z")).where(F.col("z") <= MOST_BITS)
-    best = stars.groupBy("a").agg(F.min_by("b", "z").alias("b"))
+    stars = members.join(leaders, "bucket").where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+    stars = described(described(stars, "a", "x"), "b", "y").where(may_link("x", "y"))
+    best = stars.groupBy("a").agg(F.min_by("b", _bits("x", "y") / (F.col("xn") + F.col("yn"))).alias("b"))
     links = confirmed(best, sets)
     root = written(components(links), "components")
 
-    labelled = members.join(root, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("c"))
-    sizes = labelled.groupBy("bucket", "c").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("bucket").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.count("*").alias("m")).where("m > 1").drop("m")
-    mixed = written(sketched(labelled.join(mixed, "bucket"), "node", "x"), "mixed-buckets")
-    other = mixed.where("c <> main").select("bucket", F.col("node").alias("o"), F.col("c").alias("oc"), *[F.col(f"x{s}").alias(f"y{s}") for s in SKETCH])
-    open_pairs = mixed.join(other, (mixed["bucket"] == other["bucket"]) & (F.col("c") != F.col("oc")) & (_bits("x", "y") <= MOST_BITS))
+    labelled = members.join(root, "node", "left").select("bucket", "band", "node", F.coalesce("root", "node").alias("c"))
+    sizes = labelled.groupBy("bucket", "c").agg(F.count("*").alias("size"))
+    mixed = sizes.groupBy("bucket").agg(F.max_by("c", F.struct("size", "c")).alias("main"), F.count("*").alias("all")).where("all > 1").drop("all")
+    mixed = written(described(labelled.join(mixed, "bucket"), "node", "x", "bands"), "mixed-buckets")
+    other = mixed.where("c <> main").select(
+        "bucket", F.col("node").alias("o"), F.col("c").alias("oc"), *[F.col(f"x{c}").alias(f"y{c}") for c in ("n", "held", *SKETCH, "bands")],
+    )
+    earlier = F.arrays_zip(F.slice("xbands", 1, F.col("band")).alias("x"), F.slice("ybands", 1, F.col("band")).alias("y"))
+    once = ((F.col("c") == F.col("main")) | (F.col("node") < F.col("o"))) & ~F.exists(earlier, lambda e: e["x"] == e["y"])
+    open_pairs = mixed.join(other, (mixed["bucket"] == other["bucket"]) & (F.col("c") != F.col("oc")) & may_link("x", "y") & once)
     open_pairs = written(open_pairs.select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b")).distinct(), "open-pairs")
     more = confirmed(open_pairs, sets)
 
@@ -219,7 +247,7 @@ def find(docs: DataFrame, size: int = 5, doc_id: str = "doc_id", text: str = "te
 def keep_one(docs: DataFrame, size: int = 5) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the document with the smallest id, once. Columns are kept."""
     found = written(find(docs, size).select("doc_id", "text_key", "kept"), "near-duplicates")
-    gone = written(found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).distinct(), "gone")
+    gone = small(written(found.where(~F.col("kept")).select(F.col("doc_id").alias("_gone_id"), F.col("text_key").alias("_gone_key")).distinct(), "gone"))
     same = docs["doc_id"].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["_gone_key"])
     kept = docs.join(gone, same, "left_anti")
     repeated = found.where("kept").groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()

@@ -57,17 +57,26 @@ def test_against_all_pairs(spark, size):
     assert all(g[2] == (i == g[0]) for i, g in got.items())
 
 
-def test_sketch_estimates():
+def test_sketch_bound(spark):
+    """Pairs at the threshold stay, of whatever size; clearly different ones are set aside."""
     rng = np.random.default_rng(4)
-    for share in (0.95, 0.9, 0.8, 0.7):
-        errors = []
-        for _ in range(30):
-            both, own = int(400 * share), int(400 * (1 - share) / 2)
-            x = rng.integers(0, 2**63, both + 2 * own, dtype=np.uint64)
-            s, t = x[: both + own], np.concatenate([x[:both], x[both + own :]])
-            z = sum(int(v).bit_count() for v in (N.sketch(N.samples(s)) ^ N.sketch(N.samples(t))).view(np.uint64))
-            errors.append(N.estimate(z) - both / len(x))
-        assert abs(np.mean(errors)) < 0.04 and np.std(errors) < 0.08
+    for size in (5, 20, 60, 150, 600, 3000, 20_000):
+        rows = []
+        for k in range(120):
+            share = 0.8 if k % 2 else 0.65
+            both = round(size * 2 * share / (1 + share)) + (share == 0.8)
+            x = np.unique(rng.integers(0, 2**63, 2 * size - both, dtype=np.uint64) * np.uint64(2))
+            s, t = np.sort(x[rng.permutation(len(x))][: size]), None
+            rest = np.setdiff1d(x, s)
+            t = np.sort(np.concatenate([rng.permutation(s)[:both], rest]))
+            (hs, bs), (ht, bt) = N.sketch(s), N.sketch(t)
+            z = sum(int(v).bit_count() for v in (bs ^ bt).view(np.uint64))
+            rows.append((share, z, len(s) + len(t), hs + ht))
+        df = spark.createDataFrame([(float(a), int(z), int(n), int(h)) for a, z, n, h in rows], "share double, z long, n long, h long")
+        out = df.select("share", (df.z <= N.most_bits(df.n, df.h)).alias("stays")).collect()
+        assert all(r.stays for r in out if r.share == 0.8), size
+        if 150 <= size <= 3000:
+            assert not any(r.stays for r in out if r.share == 0.65), size
 
 
 def test_components(spark):
