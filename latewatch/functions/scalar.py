@@ -174,23 +174,29 @@ def truth_struct(label: ColumnLike, event_id: ColumnLike) -> Column:
     )
 
 
-# Folder layouts of ground-truth uploads and the patterns that read the time back. One upload lies under
-# its own second; a table of uploads is partitioned by hour.
+# Folder layouts of ground-truth uploads and the patterns that read the time back, always in UTC. One upload
+# lies under its own second; a table of uploads is partitioned by hour and keeps the time in each record.
 TRUTH_PATH_FORMAT = "yyyy/MM/dd/HH/mmss"
-TRUTH_PATH_PATTERN = r"(\d{4}/\d{2}/\d{2}/\d{2}/\d{4})\.jsonl"
-TRUTH_HOUR_FORMAT = "yyyy-MM-dd HH"
-TRUTH_HOUR_PATTERN = r"upload_date=(\d{4}-\d{2}-\d{2})/upload_hour=(\d{2})"
+TRUTH_PATH_PATTERN = r"(\d{4})/(\d{2})/(\d{2})/(\d{2})/(\d{2})(\d{2})\.jsonl"
+TRUTH_HOUR_PATTERN = r"upload_date=(\d{4})-(\d{2})-(\d{2})/upload_hour=(\d{2})"
+
+
+def format_utc(ts: ColumnLike, pattern: str) -> Column:
+    """A timestamp printed in UTC, whatever the zone of the session."""
+    return F.date_format(F.to_utc_timestamp(_col(ts).cast("timestamp"), F.current_timezone()), pattern)
 
 
 def truth_path(ts: ColumnLike) -> Column:
-    return F.concat(F.date_format(_col(ts), TRUTH_PATH_FORMAT), F.lit(".jsonl"))
+    return F.concat(format_utc(ts, TRUTH_PATH_FORMAT), F.lit(".jsonl"))
 
 
 def truth_time(path: ColumnLike) -> Column:
-    """Upload time from a ground-truth file path of either layout; NULL when the path has no such part."""
-    stamp = F.regexp_extract(_col(path), TRUTH_PATH_PATTERN, 1)
-    day, hour = (F.regexp_extract(_col(path), TRUTH_HOUR_PATTERN, i) for i in (1, 2))
-    return (
-        F.when(stamp != "", F.to_timestamp(stamp, TRUTH_PATH_FORMAT))
-        .when(day != "", F.to_timestamp(F.concat(day, F.lit(" "), hour), TRUTH_HOUR_FORMAT))
-    )
+    """Upload time from a ground-truth file path of either layout; NULL when the path has no such part. The hour is all that
+    the path of a table tells; ``flatten_truth`` reads the time kept in the record first."""
+
+    def stamp(pattern: str, groups: int) -> Column:
+        parts = [F.regexp_extract(_col(path), pattern, i).try_cast("int") for i in range(1, groups + 1)]
+        parts += [F.lit(0)] * (6 - groups)
+        return F.try_make_timestamp(*parts, F.lit("UTC"))
+
+    return F.coalesce(stamp(TRUTH_PATH_PATTERN, 6), stamp(TRUTH_HOUR_PATTERN, 4))

@@ -98,4 +98,5 @@ TRUTH_SCHEMA = T.StructType([
         T.StructField("data", T.StringType()), T.StructField("encoding", T.StringType())])),
     T.StructField("eventMetadata", T.StructType([T.StructField("eventId", T.StringType())])),
     T.StructField("eventVersion", T.StringType()),
+    T.StructField("uploadMicros", T.LongType()),  # microseconds since 1970; only in tables of many uploads
 ])

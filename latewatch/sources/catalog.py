@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -50,19 +50,20 @@ def typed_view(df: DataFrame, columns: dict[str, str], via_double: bool = True)
     ``via_double`` also accepts whole numbers printed as ``930.0``.
     """
 
-    def typed(name: str, kind: str):
-        if kind in ("int", "bigint") and via_double:
-            return F.col(name).try_cast("double").try_cast(kind).alias(name)
-        return F.col(name).try_cast(kind).alias(name)
+    return df.select(*[_typed(n, t, via_double).alias(n) for n, t in columns.items()])
 
-    return df.select(*[typed(n, t) for n, t in columns.items()])
 
+def _typed(name: str, kind: str, via_double: bool) -> Column:
+    if kind in ("int", "bigint") and via_double:
+        return F.col(name).try_cast("double").try_cast(kind)
+    return F.col(name).try_cast(kind)
 
-def bad_casts(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    """Per column, how many non-NULL texts do not parse as the wanted type, from one pass."""
+
+def bad_casts(df: DataFrame, columns: dict[str, str], via_double: bool = True) -> DataFrame:
+    """Per column, how many non-NULL texts ``typed_view`` turns into NULL, from one pass."""
     names = list(columns)
     totals = df.agg(*[
-        F.count_if(F.col(n).isNotNull() & F.col(n).try_cast("double" if t == "int" else t).isNull()).alias(f"b_{i}")
+        F.count_if(F.col(n).isNotNull() & _typed(n, t, via_double).isNull()).alias(f"b_{i}")
         for i, (n, t) in enumerate(columns.items())
     ])
     rows = [F.struct(F.lit(n).alias("column"), F.col(f"b_{i}").alias("n_bad")) for i, n in enumerate(names)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,8 +21,9 @@ CORRUPT = "_corrupt_record"
 def read_flights(spark: SparkSession, path: str | Sequence[str], keep_corrupt: bool = False) -> DataFrame:
     """The 31-column flights CSV with header.
 
-    Whole numbers are read as doubles and then cast, because writers print nullable integers as ``930.0``. Lines that do
-    not fit the schema give NULLs; with ``keep_corrupt`` their text is kept in ``_corrupt_record``.
+    Whole numbers are read as doubles and then cast, because writers print nullable integers as ``930.0``. Cells that do not
+    parse, are not whole, not a number or too large become NULL, the other cells of their line stay; with ``keep_corrupt`` the text of
+    lines that do not parse is kept in ``_corrupt_record``.
     """
     wide = {n: "double" if t == "int" else t for n, t in FLIGHT_COLUMNS.items()}
     schema = schema_of(wide)
@@ -32,10 +33,16 @@ def read_flights(spark: SparkSession, path: str | Sequence[str], keep_corrupt: b
         spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT).csv(path)
     )
-    typed = [F.col(n).cast("int").alias(n) if t == "int" else F.col(n) for n, t in FLIGHT_COLUMNS.items()]
+    typed = [_whole(n).alias(n) if t == "int" else F.col(n) for n, t in FLIGHT_COLUMNS.items()]
     return raw.select(*typed, *([CORRUPT] if keep_corrupt else []))
 
 
+def _whole(name: str) -> Column:
+    """A double as an int if it is a whole number that fits, else NULL."""
+    c = F.col(name)
+    return F.when(c == F.floor(c), c.try_cast("int"))
+
+
 def read_lookup(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
     """A lookup CSV with header; numbers that do not parse become NULL. Small files are broadcast by the optimizer."""
     raw = spark.read.schema(string_schema(columns)).option("header", True).csv(path)
@@ -129,7 +136,7 @@ def read_predictions(spark: SparkSession, path: str, threshold: float = 0.5) ->
 
 
 def read_ground_truth(spark: SparkSession, directory: str) -> DataFrame:
-    """(id, label, truth_ts) from ground-truth JSON lines below ``directory``; the time is in the path."""
+    """(id, label, truth_ts) from ground-truth JSON lines below ``directory``; the time is in the record or else in the path."""
     raw = (
         spark.read.schema(TRUTH_SCHEMA).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json*")
         .json(directory)
@@ -142,7 +149,7 @@ def flatten_truth(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.col("eventMetadata.eventId").alias("id"),
         F.col("groundTruthData.data").try_cast("int").alias("label"),
-        truth_time(F.col("_metadata.file_path")).alias("truth_ts"),
+        F.coalesce(F.timestamp_micros("uploadMicros"), truth_time(F.col("_metadata.file_path"))).alias("truth_ts"),
     )
 
 

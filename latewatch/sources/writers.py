@@ -1,4 +1,5 @@
-"""Writers. ``if_exists='skip'`` leaves an existing output alone, so a rerun only writes what is not there yet."""
+"""Writers. ``if_exists='skip'`` leaves an existing output alone, so a rerun only writes what is not there yet (of matrices by split: what
+is not there as a finished write)."""
 
 from __future__ import annotations
 
@@ -8,9 +9,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
-from latewatch.functions.scalar import truth_struct
+from latewatch.functions.scalar import format_utc, truth_struct
 from latewatch.operators.matrix import assert_numeric, select_matrix
 from latewatch.operators.splits import first_n
+from latewatch.runtime import pin
 from latewatch.schemas import SPLIT_COLUMNS
 
 _MODES = {"skip": "ignore", "overwrite": "overwrite", "error": "errorifexists", "append": "append"}
@@ -23,6 +25,13 @@ def _writer(df: DataFrame, if_exists: str) -> DataFrameWriter:
     return df.write.mode(_MODES[if_exists])
 
 
+def _finished(df: DataFrame, path: str) -> bool:
+    """Whether an earlier write to ``path`` came to its end; what an aborted one left is written again."""
+    context = df.sparkSession.sparkContext
+    mark = context._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(context._jsc.hadoopConfiguration()).exists(mark)
+
+
 def write_splits(
     df: DataFrame, directory: str, columns: Sequence[str] = tuple(SPLIT_COLUMNS), header: bool = True,
     if_exists: str = "overwrite",
@@ -40,9 +49,18 @@ def write_matrix_csv(
         matrix = assert_numeric(select_matrix(df, features, label))
         _writer(matrix, if_exists).option("header", False).csv(directory)
         return
-    for name in splits:
-        part = assert_numeric(select_matrix(df.where(F.col("split") == name), features, label))
-        _writer(part, if_exists).option("header", False).csv(f"{directory}/{MATRIX_FOLDERS.get(name, name)}")
+    targets = {name: f"{directory}/{MATRIX_FOLDERS.get(name, name)}" for name in splits}
+    if if_exists == "skip":
+        targets = {name: path for name, path in targets.items() if not _finished(df, path)}
+        if_exists = "overwrite"
+    if not targets:
+        return
+    matrix = select_matrix(df.where(F.col("split").isin(*targets)), features, label, keep=["split"])
+    assert_numeric(matrix.drop("split"))
+    if len(targets) > 1:
+        matrix = pin(matrix)  # the plan behind it runs once, not once per split
+    for name, path in targets.items():
+        _writer(matrix.where(F.col("split") == name).drop("split"), if_exists).option("header", False).csv(path)
 
 
 def write_features(df: DataFrame, directory: str, if_exists: str = "overwrite") -> None:
@@ -88,10 +106,15 @@ def write_ground_truth(
 def write_ground_truth_table(
     df: DataFrame, directory: str, ts: str, id: str = "id", label: str = "label", if_exists: str = "append"
 ) -> None:
-    """Labels of many uploads in one job, partitioned by the hour of ``ts``; the readers accept both layouts."""
+    """Labels of many uploads in one job; the readers accept both layouts.
+
+    Folders are the day and hour (UTC) of ``ts``, for pruning only; each record keeps the full time.
+    """
     rows = df.select(
-        truth_struct(label, id).alias("t"),
-        F.date_format(ts, "yyyy-MM-dd").alias("upload_date"), F.date_format(ts, "HH").alias("upload_hour"),
+        truth_struct(label, id).alias("t"), F.unix_micros(F.col(ts).cast("timestamp")).alias("uploadMicros"),
+        format_utc(ts, "yyyy-MM-dd").alias("upload_date"), format_utc(ts, "HH").alias("upload_hour"),
     )
-    writer = _writer(rows.select("t.*", "upload_date", "upload_hour"), if_exists)
+    # few files per folder, and an hour with very many labels is still written in parallel
+    rows = rows.select("t.*", "uploadMicros", "upload_date", "upload_hour").hint("rebalance", "upload_date", "upload_hour")
+    writer = _writer(rows, if_exists)
     writer.partitionBy("upload_date", "upload_hour").json(directory)

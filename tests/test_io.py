@@ -159,10 +159,10 @@ def test_ground_truth_layouts(spark, tmp_path):
     at = dt.datetime(2024, 3, 4, 5, 6, 7, tzinfo=dt.timezone.utc)
     path = writers.write_ground_truth(df, f"{tmp_path}/truth", at)
     assert path.endswith("/2024/03/04/05/0607.jsonl")
-    later = df.withColumn("at", F.lit("2024-03-05 06:30:00").cast("timestamp"))
+    later = df.withColumn("at", F.lit("2024-03-05 06:30:17.25").cast("timestamp"))
     writers.write_ground_truth_table(later, f"{tmp_path}/truth", "at")
     got = rows(readers.read_ground_truth(spark, f"{tmp_path}/truth"))
-    first, second = dt.datetime(2024, 3, 4, 5, 6, 7), dt.datetime(2024, 3, 5, 6)
+    first, second = dt.datetime(2024, 3, 4, 5, 6, 7), dt.datetime(2024, 3, 5, 6, 30, 17, 250_000)
     assert got == sorted([("0", 1, first), ("1", 0, first), ("0", 1, second), ("1", 0, second)], key=repr)
     _write(f"{tmp_path}/one/2024/01/02/03/0405.jsonl",
            '{"groundTruthData":{"data":"1","encoding":"CSV"},"eventMetadata":{"eventId":"7"},"eventVersion":"0"}\n')
@@ -184,3 +184,46 @@ def test_external_tables(spark, tmp_path):
     catalog.drop_table(spark, "lw_test.airlines")
     assert not spark.catalog.tableExists("lw_test.airlines")
     assert os.path.exists(f"{tmp_path}/airlines/a.csv")  # external: the data stay
+
+
+def test_truth_matches_after_a_round_trip(spark, tmp_path):
+    """Scored at 10:20, truth at 10:40:33: the pair is there before and after the upload, whatever the session's zone."""
+    from latewatch.operators.monitor import join_ground_truth
+
+    scored = spark.createDataFrame([("a", dt.datetime(2024, 3, 1, 10, 20), 0.7)], "id string, ts timestamp, probability double")
+    truth = spark.createDataFrame([("a", 1, dt.datetime(2024, 3, 1, 10, 40, 33))], "id string, label int, at timestamp")
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for k, name in enumerate(("UTC", "America/New_York", "Asia/Kolkata")):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            writers.write_ground_truth_table(truth, f"{tmp_path}/{k}", "at")
+            back = readers.read_ground_truth(spark, f"{tmp_path}/{k}")
+            assert join_ground_truth(scored, back).count() == 1
+            assert back.select(F.unix_micros("truth_ts")).first()[0] == truth.select(F.unix_micros("at")).first()[0]
+            assert os.path.isdir(f"{tmp_path}/{k}/upload_date=2024-03-01/upload_hour=10")
+            path = writers.write_ground_truth(truth, f"{tmp_path}/one{k}", dt.datetime(2024, 3, 4, 5, 6, 7, tzinfo=dt.timezone.utc))
+            assert path.endswith("/2024/03/04/05/0607.jsonl")
+            seconds = readers.read_ground_truth(spark, f"{tmp_path}/one{k}").select(F.unix_seconds("truth_ts")).first()[0]
+            assert seconds == int(dt.datetime(2024, 3, 4, 5, 6, 7, tzinfo=dt.timezone.utc).timestamp())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_flight_cells_that_do_not_fit(spark, tmp_path):
+    from latewatch.schemas import FLIGHT_COLUMNS
+
+    def line(**cells):
+        return ",".join(cells.get(c, "1" if t == "int" else "") for c, t in FLIGHT_COLUMNS.items()) + "\n"
+
+    cells = ["930.0", "930.5", "NaN", "99999999999", "-99999999999", "Infinity", "x", ""]
+    _write(f"{tmp_path}/f.csv", ",".join(FLIGHT_COLUMNS) + "\n" + "".join(line(DISTANCE=c, SCHEDULED_DEPARTURE=c) for c in cells))
+    got = [r.SCHEDULED_DEPARTURE for r in readers.read_flights(spark, f"{tmp_path}/f.csv").collect()]
+    assert got == [930, None, None, None, None, None, None, None]
+
+
+def test_skip_writes_what_an_aborted_write_left(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2.0, "train"), (0, 3.0, "val")], "DELAYED int, x double, split string")
+    os.makedirs(f"{tmp_path}/m/train/_temporary")
+    for _ in range(2):
+        writers.write_matrix_csv(df, f"{tmp_path}/m", ["x"], splits=["train", "val"], if_exists="skip")
+        assert rows(readers.read_tree(spark, f"{tmp_path}/m", "csv", matrix_schema(["x"]))) == [(0, 3.0), (1, 2.0)]
