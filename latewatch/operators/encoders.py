@@ -162,24 +162,21 @@ class MedianImputer:
 
     column: str
     median: float | None = None
-    per_group: dict | None = None
+    per_group: DataFrame | None = None
     by: str | None = None
 
     @classmethod
-    def fit(cls, df: DataFrame, column: str, by: str | None = None, max_groups: int = 1000) -> MedianImputer:
+    def fit(cls, df: DataFrame, column: str, by: str | None = None) -> MedianImputer:
         if by is None:
             row = exact_quantile(df, column, 0.5, (), "m").first()
             return cls(column, median=row["m"])
-        rows = exact_quantile(df, column, 0.5, [by], "m").limit(max_groups + 1).collect()
-        if len(rows) > max_groups:
-            raise ValueError(f"more than {max_groups} groups in {by}; join exact_quantile() instead")
-        return cls(column, per_group={r[by]: r["m"] for r in rows}, by=by)
+        return cls(column, per_group=pin(exact_quantile(df, column, 0.5, [by], "_median")), by=by)
 
     def transform(self, df: DataFrame) -> DataFrame:
         if self.by is None:
-            fill = F.lit(self.median).cast("double")
-        else:
-            fill = F.lit(None).cast("double")
-            for group, value in (self.per_group or {}).items():
-                fill = F.when(F.col(self.by).eqNullSafe(F.lit(group)), F.lit(value)).otherwise(fill)
-        return df.withColumn(self.column, F.coalesce(self.column, fill))
+            return df.withColumn(self.column, F.coalesce(self.column, F.lit(self.median).cast("double")))
+        medians = self.per_group.withColumnRenamed(self.by, "_group")
+        if self.per_group.count() * BROADCAST_ROW_BYTES <= BROADCAST_LIMIT_BYTES:
+            medians = F.broadcast(medians)
+        filled = df.join(medians, F.col(self.by).eqNullSafe(F.col("_group")), "left")
+        return filled.withColumn(self.column, F.coalesce(self.column, "_median")).select(*df.columns)

@@ -67,8 +67,8 @@ def non_numeric_names(df: DataFrame) -> list[str]:
 def non_numeric_columns(df: DataFrame, samples: int = 5) -> DataFrame:
     """Each non-numeric column with its first few distinct values in value order: (column, type, value).
 
-    One scan for all columns. Distinct values are found with map-side combine and every task passes on at most
-    ``samples`` rows per column, so a column with billions of values costs no more than one with ten.
+    One scan for all columns. Distinct values are found with map-side combine; a column with very many of them shuffles them once,
+    and the window then keeps the first ``samples`` of each task before it gathers them.
     """
     fields = [f for f in df.schema if not isinstance(f.dataType, T.NumericType)]
     if not fields:

@@ -235,11 +235,8 @@ def best_per_metric(
 ) -> DataFrame:
     """For each metric the best version (lowest version on a tie): (metric, version, value)."""
     long = unpivot_metrics(metrics, [*by, version], names).where("value IS NOT NULL")
-    first = long.groupBy(*by, "metric").agg(F.max("value").alias("value"))
-    return (
-        long.join(first, [*by, "metric", "value"]).groupBy(*by, "metric", "value").agg(F.min(version).alias(version))
-        .select(*by, "metric", version, "value")
-    )
+    best = long.groupBy(*by, "metric").agg(F.min(F.struct((-F.col("value")).alias("_minus"), F.col(version), F.col("value"))).alias("_best"))
+    return best.select(*by, "metric", F.col("_best")[version].alias(version), F.col("_best.value").alias("value"))
 
 
 def unpivot_metrics(metrics: DataFrame, ids: Sequence[str], names: Sequence[str] = METRIC_NAMES) -> DataFrame:

@@ -4,66 +4,80 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from latewatch.operators.metrics import evaluate, unpivot_metrics
 from latewatch.operators.splits import first_n
+from latewatch.runtime import BROADCAST_LIMIT_BYTES, BROADCAST_ROW_BYTES, pin
 
 # Sample sizes, periods and the names of the comparison operators.
 BASELINE_SIZE = 500
-PRODUCTION_SIZE = 500
 ALARM_PERIOD_SECONDS = 600
 ALARM_THRESHOLD = 0.20
 BELOW, ABOVE = "LessThanThreshold", "GreaterThanThreshold"
-MAX_CONSTRAINTS = 1000
 BASELINE_METRICS = ("f1_score", "precision", "recall", "accuracy", "auc")
 
 
 def baseline(
     scored: DataFrame, n: int = BASELINE_SIZE, order_by: str | Sequence[str] = "id", threshold: float = 0.5,
-    score: str = "probability", label: str = "label",
+    score: str = "probability", label: str = "label", by: Sequence[str] = (),
 ) -> DataFrame:
-    """Metrics of the first ``n`` scored rows in key order."""
-    return evaluate(first_n(scored, n, order_by), threshold, (), score, label)
+    """Metrics of the first ``n`` scored rows in key order, of all rows or of each group."""
+    if not by:
+        return evaluate(first_n(scored, n, order_by), threshold, (), score, label)
+    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(*keys))  # a rank limit: each task first drops what is past ``n``
+    return evaluate(scored.withColumn("_place", place).where(F.col("_place") <= n).drop("_place"), threshold, by, score, label)
 
 
-def suggest_constraints(baseline_metrics: DataFrame, names: Sequence[str] = BASELINE_METRICS) -> DataFrame:
-    """One constraint per metric: production must not fall below the baseline value."""
-    return unpivot_metrics(baseline_metrics, [], names).select(
-        "metric", F.col("value").alias("threshold"), F.lit(BELOW).alias("comparison_operator")
+def suggest_constraints(
+    baseline_metrics: DataFrame, names: Sequence[str] = BASELINE_METRICS, by: Sequence[str] = ()
+) -> DataFrame:
+    """One constraint per metric (and group): production must not fall below the baseline value."""
+    return unpivot_metrics(baseline_metrics, by, names).select(
+        *by, "metric", F.col("value").alias("threshold"), F.lit(BELOW).alias("comparison_operator")
     )
 
 
 def violations(
     current: DataFrame, constraints: DataFrame, ids: Sequence[str] = (), names: Sequence[str] = BASELINE_METRICS,
-    only_violated: bool = True,
+    only_violated: bool = True, by: Sequence[str] = (), missing: str = "not_violated",
 ) -> DataFrame:
     """Compare a wide metrics table, one row per ``ids``, with the constraints, metric by metric.
 
-    Constraints are settings, a few rows: they are read first and become literals, so the metrics table, which may have a
-    row per version, segment and window, is only mapped. (A join on the metric name would squeeze it into five tasks.)
+    Constraints are joined on the metric and the columns ``by``, whatever their number; they are broadcast if they are measured
+    to be small. A constraint on a metric that is not in ``names``, or with an unknown operator, is an error. A NULL metric or
+    threshold is not violated, or violated with ``missing='violated'``. Rows without a constraint are left out.
     """
-    limit = MAX_CONSTRAINTS + 1
-    settings = constraints.select("metric", "threshold", "comparison_operator").limit(limit).collect()
-    if len(settings) == limit:
-        raise ValueError(f"more than {MAX_CONSTRAINTS} constraints")
-    checks = [_check(r["metric"], r["threshold"], r["comparison_operator"]) for r in settings if r["metric"] in names]
-    if not checks:
-        raise ValueError("no constraint names a known metric")
-    compared = current.select(*ids, F.inline(F.array(*checks)))
-    return compared.where("violated") if only_violated else compared
-
-
-def _check(metric: str, threshold: float | None, operator: str) -> Column:
-    value, bound = F.col(metric).cast("double"), F.lit(threshold).cast("double")
-    broken = {BELOW: value < bound, ABOVE: value > bound}.get(operator)
-    if broken is None:
-        raise ValueError(f"unknown comparison operator: {operator}")
-    return F.struct(
-        F.lit(metric).alias("metric"), value.alias("value"), bound.alias("threshold"),
-        F.lit(operator).alias("comparison_operator"), F.coalesce(broken, F.lit(False)).alias("violated"),
+    if missing not in ("violated", "not_violated"):
+        raise ValueError(f"unknown policy for missing metrics: {missing}")
+    by = list(by)
+    settings = pin(constraints.select(*by, "metric", "threshold", "comparison_operator"))
+    n, wrong, odd = settings.select(
+        F.count("*"), F.min(F.when(~F.coalesce(F.col("metric").isin(*names), F.lit(False)), F.coalesce("metric", F.lit("NULL")))),
+        F.min(F.when(~F.coalesce(F.col("comparison_operator").isin(BELOW, ABOVE), F.lit(False)), F.coalesce("comparison_operator", F.lit("NULL")))),
+    ).first()
+    if wrong is not None:
+        raise ValueError(f"a constraint names an unknown metric: {wrong}")
+    if odd is not None:
+        raise ValueError(f"unknown comparison operator: {odd}")
+    if n * (BROADCAST_ROW_BYTES + 32) <= BROADCAST_LIMIT_BYTES:
+        settings = F.broadcast(settings)
+    rows = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in names]
+    kept = list(dict.fromkeys([*ids, *by]))
+    long = current.select(*kept, F.inline(F.array(*rows)))
+    renamed = settings.withColumnsRenamed({c: f"_c_{c}" for c in [*by, "metric"]})
+    on = F.col("metric") == F.col("_c_metric")
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"_c_{c}"))
+    bound, below = F.col("threshold").cast("double"), F.col("comparison_operator") == BELOW
+    broken = F.when(below, F.col("value") < bound).otherwise(F.col("value") > bound)
+    compared = long.join(renamed, on).select(
+        *kept, "metric", "value", bound.alias("threshold"), "comparison_operator",
+        F.coalesce(broken, F.lit(missing == "violated")).alias("violated"),
     )
+    return compared.where("violated") if only_violated else compared
 
 
 def join_ground_truth(
@@ -73,10 +87,13 @@ def join_ground_truth(
     id: str = "id",
     ts: str = "ts",
     truth_ts: str = "truth_ts",
+    latest_only: bool = True,
 ) -> DataFrame:
     """Scored rows with the ground truth that arrived within ``max_delay`` of them.
 
-    Ids may repeat from run to run, so time is part of the match. It is also part of the join key: the time axis is
+    Ids may repeat from run to run, so time is part of the match. A truth row belongs to the latest scored row before it (of
+    several at one time to the one that is greatest by its columns); equal truth rows count once. Without ``latest_only`` it is paired
+    with every scored row in range. It is also part of the join key: the time axis is
     cut into pieces of ``max_delay``, each truth row is looked for in the two pieces it can belong to, and an id that
     is reused millions of times is thereby spread over its pieces and never compared across the whole history.
     """
@@ -86,9 +103,15 @@ def join_ground_truth(
     last = F.floor(arrived / step)
     right = truth.withColumnRenamed(id, "_id").withColumn("_piece_r", F.explode(F.array(last - 1, last)))
     within = (F.col(truth_ts) >= F.col(ts)) & (arrived <= at + step)
-    return left.join(
+    pairs = left.join(
         right, (F.col(id) == F.col("_id")) & (F.col("_piece") == F.col("_piece_r")) & within, "inner"
-    ).drop("_id", "_piece", "_piece_r")
+    ).drop("_piece", "_piece_r")
+    if not latest_only:
+        return pairs.drop("_id")
+    others, own = [c for c in truth.columns if c != id], list(scored.columns)
+    row = F.struct(F.col(ts).alias("_ts"), F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"))
+    last = pairs.groupBy("_id", *[F.col(f"`{c}`") for c in others]).agg(F.max(row).alias("_last"))
+    return last.select("_last._row.*", *[F.col(f"`{c}`") for c in others])
 
 
 def _epoch(c: Column) -> Column:
@@ -116,9 +139,9 @@ def evaluate_windows(
 
 def stream_summary(
     df: DataFrame, every: str = "1 day", ts: str = "ts", threshold: float = 0.5, score: str = "probability",
-    label: str | None = "label",
+    label: str | None = "label", by: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows, predicted-late rate and actual late rate per window; works on batch and streaming frames."""
+    """Rows, predicted-late rate and actual late rate per window (and group); works on batch and streaming frames."""
     aggregates = [
         F.count("*").alias("n"),
         (F.avg((F.col(score) >= threshold).cast("int")) * 100).alias("predicted_rate"),
@@ -126,8 +149,8 @@ def stream_summary(
     if label is not None:
         aggregates.append((F.avg((F.col(label) == 1).cast("int")) * 100).alias("delay_rate"))
     return (
-        df.groupBy(F.window(ts, every).alias("_w")).agg(*aggregates)
-        .select(F.col("_w.start").alias("window_start"), *[F.col(c) for c in ("n", "predicted_rate")],
+        df.groupBy(F.window(ts, every).alias("_w"), *by).agg(*aggregates)
+        .select(F.col("_w.start").alias("window_start"), *by, *[F.col(c) for c in ("n", "predicted_rate")],
                 *([F.col("delay_rate")] if label is not None else []))
     )
 
@@ -151,20 +174,15 @@ def alarm(
     by = list(by)
     period = F.window(ts, f"{period_seconds} seconds")["start"]
     averages = metrics.groupBy(*by, period.alias("period_start")).agg(F.avg(value).alias("average"))
-    spans = metrics.groupBy(*by).agg(F.min(period).alias("_first"), F.max(period).alias("_last"))
+    # each period with data fills the gap up to the next one, so a long gap is no array over the whole time
+    after = F.lead("period_start").over(Window.partitionBy(*by).orderBy("period_start"))
     step = F.expr(f"INTERVAL {int(period_seconds)} SECOND")
-    spine = spans.select(*by, F.explode(F.sequence("_first", "_last", step)).alias("period_start"))
+    last = F.coalesce(after - step, F.col("period_start"))
+    spans = averages.select(*by, "average", F.col("period_start").alias("_first"), last.alias("_last"))
+    filled = spans.select(*by, "average", F.posexplode(F.sequence("_first", "_last", step)).alias("_place", "period_start"))
+    joined = filled.select(*by, "period_start", F.when(F.col("_place") == 0, F.col("average")).alias("average"))
     no_data = {"breaching": F.lit(True), "notBreaching": F.lit(False), "missing": F.lit(None).cast("boolean")}
-    joined = _left_join_null_safe(spine, averages, [*by, "period_start"])
     return joined.withColumn(
         "in_alarm", F.when(F.col("average").isNull(), no_data[treat_missing]).otherwise(F.col("average") <= threshold)
     )
 
-
-def _left_join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    on = None
-    for k in keys:
-        same = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-        on = same if on is None else on & same
-    return left.join(renamed, on, "left").drop(*[f"_r_{k}" for k in keys])

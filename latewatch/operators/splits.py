@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from fractions import Fraction
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,11 +58,11 @@ def stratified_split(
         hashed = lookup_join(hashed, cuts, ["_stratum"], cuts.count() * 64 * (len(bounds) + 1))
         limits = [F.col(f"cut_{i}") for i in range(len(bounds))]
     else:
-        limits = [F.lit(f"{min(int(b * 16**8), 16**8 - 1):08x}") for b in bounds]
+        limits = [F.lit(_digest_limit(b)) for b in bounds]
     out = None
     for n, limit in zip(names, limits):
         # exact cut-offs belong to the lower part, fixed limits to the upper one; no cut-off means an empty part
-        inside = F.col("_digest") <= limit if exact else F.substring("_digest", 1, 8) < limit
+        inside = F.col("_digest") <= limit if exact else F.col("_digest") < limit
         out = F.when(inside, n) if out is None else out.when(inside, n)
     out = F.lit(names[-1]) if out is None else out.otherwise(names[-1])
     return hashed.withColumn(name, out).select(*df.columns, name)
@@ -79,5 +80,9 @@ def capture_sample(df: DataFrame, pct: float, key: str | Sequence[str], seed: in
         return df
     if pct <= 0:
         return df.where(F.lit(False))
-    limit = f"{int(pct / 100 * 16**8):08x}"
-    return df.where(F.substring(hash_hex(key, seed), 1, 8) < limit)
+    return df.where(hash_hex(key, seed) < _digest_limit(pct / 100))
+
+
+def _digest_limit(share: float) -> str:
+    """The digest below which ``share`` of all digests lie, to all 128 bits."""
+    return f"{min(int(Fraction(share) * 16**32), 16**32 - 1):032x}"

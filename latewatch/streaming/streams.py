@@ -44,11 +44,15 @@ def truth_stream(
     return flatten_truth(reader.json(path)).withWatermark("truth_ts", watermark)
 
 
-def join_streams(scored: DataFrame, truth: DataFrame, max_delay: str = "1 day", salts: int = 1) -> DataFrame:
-    """Inner stream–stream join on id within a time range; the range lets both sides forget old rows.
+# Parts that the scored rows of one id are spread over: ids restart with every run, so low ones are hot.
+STATE_SALTS = 4
 
-    Where one id carries much of the traffic, ``salts`` spreads its scored rows over that many state partitions; the
-    truth rows, one per label, are kept once per salt.
+
+def join_streams(scored: DataFrame, truth: DataFrame, max_delay: str = "1 day", salts: int = STATE_SALTS) -> DataFrame:
+    """Inner join of streams (or batch frames) on id within a time range; the range lets both sides forget old rows.
+
+    ``salts`` spreads the scored rows of one id over that many state partitions; the truth rows, one per label, are kept once
+    per salt. A truth row is paired with every scored row in range, which in a stream cannot wait for a later one.
     """
     t = truth.withColumnRenamed("id", "_id")
     on = F.col("id") == F.col("_id")
@@ -66,15 +70,15 @@ def join_streams(scored: DataFrame, truth: DataFrame, max_delay: str = "1 day",
 
 def quality_stream(
     scored: DataFrame, truth: DataFrame, every: str = "1 hour", max_delay: str = "1 day", threshold: float = 0.5,
-    salts: int = 1,
+    salts: int = STATE_SALTS, by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Confusion counts and metrics per tumbling window of the scored time. Use append mode.
+    """Confusion counts and metrics per tumbling window of the scored time (and group). Use append mode.
 
     State: unmatched rows inside the time range and one row of counts per open window. AUC needs the scores of a whole
     window and is left to the batch evaluation.
     """
     hit, real = F.col("probability") >= threshold, F.col("label") == 1
-    counts = join_streams(scored, truth, max_delay, salts).groupBy(F.window("ts", every).alias("_w")).agg(
+    counts = join_streams(scored, truth, max_delay, salts).groupBy(F.window("ts", every).alias("_w"), *by).agg(
         F.count_if(~hit & ~real).alias("true_negative"),
         F.count_if(hit & ~real).alias("false_positive"),
         F.count_if(~hit & real).alias("false_negative"),
@@ -83,6 +87,12 @@ def quality_stream(
     return metrics_from_counts(counts).withColumn("window_start", F.col("_w.start")).drop("_w")
 
 
+def with_open_windows(closed: DataFrame, every_window: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """All windows of an input that has ended: those a stream has emitted, and the rest from a batch evaluation of the same
+    frames (``quality_stream`` of batch readers)."""
+    return closed.unionByName(every_window.join(closed.select("window_start", *by), ["window_start", *by], "left_anti"))
+
+
 def run_available(
     stream: DataFrame, output: str, checkpoint: str, mode: str = "append", state_partitions: int | None = None
 ) -> StreamingQuery:

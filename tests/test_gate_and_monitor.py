@@ -84,6 +84,37 @@ def test_constraints_and_violations(spark):
     assert rows(mo.violations(now, above, ["day"]).select("metric")) == [("accuracy",), ("recall",)]
 
 
+def test_constraints_are_never_dropped(spark):
+    now = spark.createDataFrame([(1, 0.4, None), (2, 0.6, 0.5)], "day int, f1_score double, auc double")
+    kind = "metric string, threshold double, comparison_operator string"
+    for bad in (("f2_score", 0.5, mo.BELOW), ("auc", 0.5, "Unlike"), (None, 0.5, mo.BELOW)):
+        with pytest.raises(ValueError):
+            mo.violations(now, spark.createDataFrame([("auc", 0.1, mo.BELOW), bad], kind), ["day"], names=("f1_score", "auc"))
+    auc = spark.createDataFrame([("auc", 0.1, mo.BELOW)], kind)
+    assert rows(mo.violations(now, auc, ["day"], ("f1_score", "auc")).select("day")) == []
+    assert rows(mo.violations(now, auc, ["day"], ("f1_score", "auc"), missing="violated").select("day")) == [(1,)]
+    many = spark.range(1500).select(F.lit("auc").alias("metric"), (F.col("id") / 1000).alias("threshold"), F.lit(mo.BELOW).alias("comparison_operator"))
+    assert mo.violations(now, many, ["day"], ("f1_score", "auc")).count() == 999
+
+
+def test_baseline_and_constraints_by_group(spark):
+    df = spark.createDataFrame([(v, i, 0.9 if (i < 10) == (v == "a") else 0.1, 1) for v in "ab" for i in range(20)], "v string, id int, probability double, label int")
+    base = mo.baseline(df, 10, by=["v"])
+    assert {r.v: r.recall for r in base.collect()} == {"a": 1.0, "b": 0.0}
+    cons = mo.suggest_constraints(base, ("recall",), ["v"])
+    now = spark.createDataFrame([("a", 0.5), ("b", 0.5), ("c", 0.0)], "v string, recall double")
+    assert rows(mo.violations(now, cons, names=("recall",), by=["v"]).select("v", "value", "threshold")) == [("a", 0.5, 1.0)]
+
+
+def test_truth_belongs_to_the_latest_scored_row(spark):
+    """Two runs of one hour reuse the id: 2 scored and 2 truth rows make 2 pairs."""
+    scored = spark.createDataFrame([("0", _ts(1, 10, 0), 0.1), ("0", _ts(1, 10, 30), 0.9)], "id string, ts timestamp, probability double")
+    truth = spark.createDataFrame([("0", 1, _ts(1, 10, 20)), ("0", 0, _ts(1, 10, 50))], "id string, label int, truth_ts timestamp")
+    got = mo.join_ground_truth(scored, truth)
+    assert sorted((r.probability, r.label) for r in got.collect()) == [(0.1, 1), (0.9, 0)]
+    assert mo.join_ground_truth(scored, truth, latest_only=False).count() == 3
+
+
 def test_baseline_uses_only_the_first_rows(spark):
     df = spark.createDataFrame([(i, 0.9 if i < 10 else 0.1, 1) for i in range(100)], "id int, probability double, label int")
     assert mo.baseline(df.repartition(5), 10).first().recall == 1.0
