@@ -159,14 +159,14 @@ def top_airlines(spark, sf):
 
 
 @query("airline_names", """
+WITH codes AS (SELECT CASE WHEN c_custkey % 11 = 0 THEN c_nationkey + 100 ELSE c_nationkey END AS c_nationkey FROM customer)
 SELECT c_nationkey, COUNT(*) AS n, substr(coalesce(any_value(n_name), CAST(c_nationkey AS VARCHAR)), 1, 25) AS name
-FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_regionkey <> 0) ON c_nationkey = n_nationkey
-GROUP BY c_nationkey""")
+FROM codes LEFT JOIN nation ON c_nationkey = n_nationkey GROUP BY c_nationkey""")
 def airline_names(spark, sf):
-    """Codes to names on a lookup that lacks some codes, so that the fallback is used."""
-    counts = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.count("*").alias("n"))
-    lookup = table(spark, sf, "nation").where("n_regionkey <> 0")
-    return with_names(counts, lookup, "c_nationkey", code="n_nationkey", name="n_name")
+    """Codes to names with the whole lookup; some codes are not in it, so that the fallback is used."""
+    code = F.when(F.col("c_custkey") % 11 == 0, F.col("c_nationkey") + 100).otherwise(F.col("c_nationkey"))
+    counts = table(spark, sf, "customer").groupBy(code.alias("c_nationkey")).agg(F.count("*").alias("n"))
+    return with_names(counts, table(spark, sf, "nation"), "c_nationkey", code="n_nationkey", name="n_name")
 
 
 def _histogram_sql(column: str, bins: int) -> str:
@@ -323,8 +323,8 @@ def stratified_split(spark, sf):
 @query("stratified_split_hash", f"""
 WITH {_ORDERS}
 SELECT o_orderkey, label,
-  CASE WHEN substr(digest, 1, 8) < '66666666' THEN 'train' WHEN substr(digest, 1, 8) < '80000000' THEN 'val'
-       WHEN substr(digest, 1, 8) < '99999999' THEN 'test' ELSE 'prod' END AS split
+  CASE WHEN digest < '66666666666666666666666666666666' THEN 'train' WHEN digest < '80000000000000000000000000000000' THEN 'val'
+       WHEN digest < '99999999999999999999999999999999' THEN 'test' ELSE 'prod' END AS split
 FROM o""")
 def stratified_split_hash(spark, sf):
     return sp.stratified_split(_order_labels(spark, sf), "label", "o_orderkey", exact=False)
@@ -336,7 +336,7 @@ def first_n(spark, sf):
 
 
 @query("capture_sample", """
-SELECT event_id, event_type FROM events WHERE substr(md5('0|' || CAST(event_id AS VARCHAR)), 1, 8) < '40000000'""")
+SELECT event_id, event_type FROM events WHERE md5('0|' || CAST(event_id AS VARCHAR)) < '40000000000000000000000000000000'""")
 def capture_sample(spark, sf):
     return sp.capture_sample(table(spark, sf, "events").select("event_id", "event_type"), 25, "event_id")
 

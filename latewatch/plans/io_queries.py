@@ -15,6 +15,7 @@ from latewatch.runtime import scratch_path
 from latewatch.schemas import AIRPORT_COLUMNS, FEATURE_SETS, FLIGHT_COLUMNS, matrix_schema
 from latewatch.sources import catalog, readers, writers
 from latewatch.streaming import quality_stream, run_available, scored_stream, truth_stream
+from latewatch.streaming.streams import SCORED_SCHEMA, with_open_windows
 
 # ---------------------------------------------------------------- files
 
@@ -57,21 +58,22 @@ def io_external_table(spark, sf):
     ).select("kind", "n", "n_time", "mean_delay", "departures"))
 
 
-_BROKEN = "CASE WHEN c_custkey % 10 = 3 THEN 'unknown' ELSE CAST(c_custkey AS VARCHAR) END"
-
-
-@query("io_bad_casts", f"""
-WITH t AS (SELECT {_BROKEN} AS code FROM customer)
-SELECT 'LATITUDE' AS "column", COUNT(*) FILTER (code = 'unknown') AS n_bad FROM t
-UNION ALL SELECT 'LONGITUDE', CAST(0 AS BIGINT)""")
+@query("io_bad_casts", """
+SELECT 'LATITUDE' AS "column", COUNT(*) FILTER (c_custkey % 10 = 3) AS n_bad FROM customer
+UNION ALL SELECT 'LONGITUDE', CAST(0 AS BIGINT)
+UNION ALL SELECT 'SMALL', COUNT(*) FILTER (c_custkey % 7 = 1) FROM customer
+UNION ALL SELECT 'LARGE', COUNT(*) FILTER (c_custkey % 7 = 2) FROM customer""")
 def io_bad_casts(spark, sf):
     text = F.when(F.col("c_custkey") % 10 == 3, "unknown").otherwise(F.col("c_custkey").cast("string"))
     path = scratch_path(spark, "bad-casts")
-    table(spark, sf, "customer").select(text.alias("LATITUDE"), F.lit("1.5").alias("LONGITUDE")).write.csv(path)
-    raw = catalog.register_external(
-        spark, "lw_bad_casts", path, ["LATITUDE", "LONGITUDE"], header=False
-    )
-    return catalog.bad_casts(raw, {"LATITUDE": "double", "LONGITUDE": "double"})
+    number = F.concat(F.col("c_custkey").cast("string"), F.lit(".0"))
+    small = F.when(F.col("c_custkey") % 7 == 1, "3000000000").otherwise(number)  # too large for an int
+    large = F.when(F.col("c_custkey") % 7 == 2, "12 345").when(F.col("c_custkey") % 7 == 1, "3000000000").otherwise(number)
+    table(spark, sf, "customer").select(
+        text.alias("LATITUDE"), F.lit("1.5").alias("LONGITUDE"), small.alias("SMALL"), large.alias("LARGE")
+    ).write.csv(path)
+    columns = {"LATITUDE": "double", "LONGITUDE": "double", "SMALL": "int", "LARGE": "bigint"}
+    return catalog.bad_casts(catalog.register_external(spark, "lw_bad_casts", path, list(columns), header=False), columns)
 
 
 @query("io_lookup_csv", f"""
@@ -107,12 +109,12 @@ _RAW_SQL = ", ".join(f'"{c}"' for c in FEATURE_SETS["raw"])
 
 
 @query("io_matrix_csv", f"""
-WITH {FEATURED} SELECT "DELAYED", {_RAW_SQL} FROM featured WHERE split IN ('val', 'test', 'prod')""")
+WITH {FEATURED} SELECT "DELAYED", {_RAW_SQL} FROM featured WHERE split IN ('train', 'val', 'test', 'prod')""")
 def io_matrix_csv(spark, sf):
     """Headerless matrices in one folder per split, read back as one tree. A second write skips what exists."""
     path = scratch_path(spark, "matrix-csv")
     for _ in range(2):
-        writers.write_matrix_csv(_basic(spark, sf), path, "raw", splits=["val", "test", "prod"], if_exists="skip")
+        writers.write_matrix_csv(_basic(spark, sf), path, "raw", splits=["train", "val", "test", "prod"], if_exists="skip")
     return readers.read_tree(spark, path, "csv", matrix_schema(FEATURE_SETS["raw"]))
 
 
@@ -169,16 +171,17 @@ def io_report_json(spark, sf):
 
 # ---------------------------------------------------------------- ground truth and streams
 
-# Labels are uploaded at the midnight after the event; every 53rd comes three days later, every 17th never.
+# Labels are uploaded some time of the day after the event, at any minute and second; every 53rd comes three days later.
 _UPLOADS = f"""{SCORED}, uploads AS (
-  SELECT id, label, date_trunc('day', ts) + CASE WHEN seq % 53 = 0 THEN INTERVAL 4 DAY ELSE INTERVAL 1 DAY END AS truth_ts
-  FROM scored WHERE seq % 17 <> 0)"""
+  SELECT id, label, date_trunc('day', ts) + CASE WHEN seq % 53 = 0 THEN INTERVAL 4 DAY ELSE INTERVAL 1 DAY END
+    + to_seconds((seq * 7919) % 86400) AS truth_ts
+  FROM scored)"""
 
 
 def _write_uploads(spark: SparkSession, sf: str) -> str:
-    rows = scored(spark, sf).where(F.col("seq") % 17 != 0)
     days = F.when(F.col("seq") % 53 == 0, 4).otherwise(1)
-    rows = rows.withColumn("at", F.date_trunc("day", "ts") + F.make_dt_interval(days=days))
+    offset = F.make_dt_interval(days=days, secs=F.pmod(F.col("seq") * 7919, F.lit(86400)).cast("decimal(18,6)"))
+    rows = scored(spark, sf).withColumn("at", F.date_trunc("day", "ts").cast("timestamp_ntz") + offset)
     path = scratch_path(spark, "ground-truth")
     writers.write_ground_truth_table(rows.select("id", "label", "at"), path, "at")
     return path
@@ -193,26 +196,26 @@ def io_ground_truth(spark, sf):
 
 def _streamed_quality(spark: SparkSession, sf: str) -> DataFrame:
     source, out, state = (scratch_path(spark, f"stream-{p}") for p in ("scored", "out", "state"))
+    uploads = _write_uploads(spark, sf)
     scored(spark, sf).select("id", F.col("ts").cast("timestamp").alias("ts"), "probability").write.parquet(source)
-    quality = quality_stream(
-        scored_stream(spark, source, fmt="parquet"), truth_stream(spark, _write_uploads(spark, sf)), "1 day", "2 days"
-    )
+    quality = quality_stream(scored_stream(spark, source, fmt="parquet"), truth_stream(spark, uploads), "1 day", "2 days")
     run_available(quality, out, state, state_partitions=spark.sparkContext.defaultParallelism)
-    return spark.read.schema(quality.schema).parquet(out)
+    whole = quality_stream(
+        spark.read.schema(SCORED_SCHEMA).parquet(source), readers.read_ground_truth(spark, uploads), "1 day", "2 days"
+    )
+    return with_open_windows(spark.read.schema(quality.schema).parquet(out), whole)
 
 
-# A window is emitted once the watermark (an hour behind the slower stream) rules out any further match for it.
+# A window is emitted once the watermark (an hour behind the slower stream) rules out any further match for it; the last ones,
+# still open when the input ends, come from the batch evaluation.
 @query("stream_quality", f"""
 WITH {_UPLOADS}, joined AS (
   SELECT date_trunc('day', s.ts) AS window_start, probability, u.label FROM scored AS s JOIN uploads AS u
     ON s.id = u.id AND u.truth_ts >= s.ts AND u.truth_ts <= s.ts + INTERVAL 2 DAY),
-closed AS (
-  SELECT * FROM joined WHERE window_start + INTERVAL 1 DAY <=
-    (SELECT least((SELECT max(ts) FROM scored), (SELECT max(truth_ts) FROM uploads))) - INTERVAL 1 HOUR - INTERVAL 2 DAY),
-c AS ({_confusion_sql('closed', 'window_start')})
+c AS ({_confusion_sql('joined', 'window_start')})
 SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, {_FOUR}, {_ACC} AS accuracy, {_PREC} AS precision,
   {_REC} AS recall, {_F1} AS f1_score FROM c""")
 def stream_quality(spark, sf):
-    """Scored rows and late labels as streams, joined and evaluated per day; closed windows as Parquet files."""
+    """Scored rows and late labels as streams, joined and evaluated per day, windows as Parquet files; all windows."""
     closed = rounded(_streamed_quality(spark, sf))
     return closed.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))

@@ -340,8 +340,7 @@ def violations(spark, sf):
 
 @query("f1_alarm", f"""
 WITH {TRUTH}, hourly AS (
-  SELECT time_bucket(INTERVAL 2 HOUR, ts) AS window_start, probability, label FROM scored
-  WHERE seq % 5 = 0 AND probability < 0.95),
+  SELECT time_bucket(INTERVAL 2 HOUR, ts) AS window_start, probability, label FROM scored),
 {_evaluate_ctes('hourly', 'window_start', 0.6)},
 avgs AS (SELECT time_bucket(INTERVAL 10 MINUTE, window_start) AS period_start, AVG(f1_score) AS average
          FROM evaluated GROUP BY 1),
@@ -351,9 +350,8 @@ SELECT strftime(spine.period_start, '%Y-%m-%d %H:%M:%S') AS period_start, averag
   coalesce(average <= 0.4, true) AS in_alarm
 FROM spine LEFT JOIN avgs ON avgs.period_start = spine.period_start""")
 def f1_alarm(spark, sf):
-    """Sparse metrics, so that most 600 s periods have no data and alarm for that reason."""
-    sparse = scored(spark, sf).where((F.col("seq") % 5 == 0) & (F.col("probability") < 0.95))
-    hourly = rounded(mo.evaluate_windows(sparse, "2 hours", threshold=0.6))
+    """Metrics of two-hour windows, so that most 600 s periods have no data and alarm for that reason."""
+    hourly = rounded(mo.evaluate_windows(scored(spark, sf), "2 hours", threshold=0.6))
     return _printed(mo.alarm(hourly, threshold=0.4), "period_start")
 
 
