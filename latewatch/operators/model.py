@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 from latewatch.functions import classify
 from latewatch.operators.matrix import assert_numeric
+from latewatch.operators.profile import pos_weight
 from latewatch.runtime import shared_dir
 
 # Default parameters and the named experiments.
@@ -40,38 +42,42 @@ PARAMS: dict[str, dict[str, object]] = {
         "scale_pos_weight": 4.58, "early_stopping_rounds": 50,
     },
     "notebook": {
-        "max_depth": 8, "eta": 0.1, "num_round": 500, "subsample": 0.8, "colsample_bytree": 0.8,
-        "min_child_weight": 1, "gamma": 0, "seed": 42, "early_stopping_rounds": 30,
+        "max_depth": 8, "eta": 0.1, "num_round": 500, "subsample": 0.8, "colsample_bytree": 0.8, "scale_pos_weight": "auto",
+        "min_child_weight": 1, "gamma": 0, "reg_lambda": 1.0, "seed": 42, "early_stopping_rounds": 30,
     },
     "smoothed": {
-        "max_depth": 6, "eta": 0.03, "num_round": 1000, "subsample": 0.8, "colsample_bytree": 0.8,
-        "min_child_weight": 5, "gamma": 0.3, "seed": 42, "early_stopping_rounds": 50,
+        "max_depth": 6, "eta": 0.03, "num_round": 1000, "subsample": 0.8, "colsample_bytree": 0.8, "scale_pos_weight": "auto",
+        "pos_weight_cap": 3.0, "min_child_weight": 5, "gamma": 0.3, "reg_alpha": 0.1, "reg_lambda": 2.0, "seed": 42,
+        "early_stopping_rounds": 50,
     },
 }
-# Which feature list an experiment trains on, and the cap on its class weight.
+# Which feature list an experiment trains on.
 EXPERIMENT_FEATURES = {
     "baseline": "basic", "improved": "full", "raw_benchmark": "raw", "engineered": "no_target_encoding",
     "notebook": "full", "smoothed": "smoothed",
 }
-POS_WEIGHT_CAP = 3.0
 
 _ALIASES = {"learning_rate": "eta", "n_estimators": "num_round", "random_state": "seed"}
 _TO_GBT = {
     "max_depth": "maxDepth", "eta": "stepSize", "num_round": "maxIter", "subsample": "subsamplingRate",
     "min_child_weight": "minInstancesPerNode", "gamma": "minInfoGain", "seed": "seed",
 }
-_HANDLED = {*_TO_GBT, "colsample_bytree", "scale_pos_weight", "early_stopping_rounds"}
+_HANDLED = {*_TO_GBT, "colsample_bytree", "scale_pos_weight", "pos_weight_cap", "early_stopping_rounds"}
 _IMPLIED = {"objective": "binary:logistic", "eval_metric": "auc"}
 _SPARK_ML = {"maxBins", "maxMemoryInMB", "checkpointInterval", "validationTol", "cacheNodeIds"}
 _NO_EQUIVALENT = {"reg_alpha", "reg_lambda"}
 
 
 def resolve_params(preset: str | None = None, overrides: Mapping[str, object] | None = None) -> dict[str, object]:
-    """Defaults, then the preset, then the overrides. Unknown names are refused."""
+    """Defaults, then the preset, then the overrides. Unknown names are refused. Terms of a preset that the tree learner has no
+    equivalent for are left out with a warning; as overrides they are refused."""
     merged = dict(DEFAULTS)
     for layer in (PARAMS[preset] if preset else {}, overrides or {}):
         for name, value in layer.items():
             name = _ALIASES.get(name, name)
+            if name in _NO_EQUIVALENT and layer is not overrides:
+                warnings.warn(f"{preset}: {name}={value} has no equivalent in the Spark ML tree learner and is left out", stacklevel=2)
+                continue
             if name in _NO_EQUIVALENT:
                 raise ValueError(f"{name} has no equivalent in the Spark ML tree learner")
             if name in _IMPLIED:
@@ -84,6 +90,26 @@ def resolve_params(preset: str | None = None, overrides: Mapping[str, object] |
     return merged
 
 
+def class_weight(df: DataFrame, params: Mapping[str, object], label: str = "DELAYED") -> float:
+    """The weight of positives: as given, or for ``auto`` negatives / positives of ``df``, at most ``pos_weight_cap``. Without
+    positives it is 1."""
+    if params["scale_pos_weight"] != "auto":
+        return float(params["scale_pos_weight"])
+    measured = pos_weight(df, label, params.get("pos_weight_cap")).first()["pos_weight"]
+    return 1.0 if measured is None else float(measured)
+
+
+def stopping_round(losses: Sequence[float], patience: int) -> int:
+    """Rounds to keep: the best one before ``patience`` rounds without a gain."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            break
+    return best + 1
+
+
 def gbt_pipeline(
     features: Sequence[str], label: str, params: Mapping[str, object], weight: str, val_flag: str | None = None
 ) -> Pipeline:
@@ -108,26 +134,37 @@ def train_gbt(
     partitions: int | None = None,
     **overrides: object,
 ) -> PipelineModel:
-    """Train on ``df``. Positives weigh ``scale_pos_weight``.
+    """Train on ``df``. Positives weigh ``scale_pos_weight``; ``auto`` measures it on the rows trained on.
 
     Boosting passes over the rows many times, so rows that come in few or uneven partitions are worth one round-robin
     shuffle into ``partitions`` even parts first. The order of rows then may differ between runs, and with it sampling.
 
-    Rows whose boolean ``val_flag`` is true are not trained on; boosting stops when their loss no longer falls (Spark
-    stops on loss, at the first round without a gain, so ``early_stopping_rounds`` only documents intent).
+    Rows whose boolean ``val_flag`` is true are not trained on. With ``early_stopping_rounds`` all rounds are boosted, the loss on those
+    rows is measured after each, and the model is fitted again with the rounds up to the best one before that many
+    rounds without a gain. Without it, boosting stops at the first round without a gain (Spark's own rule).
     """
     params = resolve_params(preset, overrides)
     shared_dir(df.sparkSession)  # boosting cuts its own lineage there
     columns = [F.col(c) for c in features]
     assert_numeric(df.select(*columns))
-    weight = F.when(F.col(label) == 1, F.lit(float(params["scale_pos_weight"]))).otherwise(F.lit(1.0))
+    trained_on = df.where(~F.col(val_flag)) if val_flag else df
+    weight = F.when(F.col(label) == 1, F.lit(class_weight(trained_on, params, label))).otherwise(F.lit(1.0))
     flag = [F.col(val_flag)] if val_flag else []
     rows = df.select(*columns, F.col(label).cast(T.DoubleType()).alias(label), weight.alias("_weight"), *flag)
     if partitions is not None:
         rows = rows.repartition(partitions)
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)  # metadata, training and validation passes all read them
     try:
-        return gbt_pipeline(features, label, params, "_weight", val_flag).fit(rows)
+        patience = params.get("early_stopping_rounds")
+        if val_flag is None or not patience:
+            return gbt_pipeline(features, label, params, "_weight", val_flag).fit(rows)
+        fitting, held = rows.where(~F.col(val_flag)), rows.where(val_flag)
+        whole = gbt_pipeline(features, label, params, "_weight").fit(fitting)
+        losses = whole.stages[-1].evaluateEachIteration(whole.stages[0].transform(held))
+        best = stopping_round(losses, int(patience))
+        if best == len(losses):
+            return whole
+        return gbt_pipeline(features, label, {**params, "num_round": best}, "_weight").fit(fitting)
     finally:
         rows.unpersist()
 

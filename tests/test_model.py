@@ -44,6 +44,33 @@ def test_every_preset_maps_to_the_learner(spark):
         assert gbt.getMaxDepth() == ml.PARAMS[name]["max_depth"]
 
 
+def test_presets_say_what_they_leave_out(data):
+    with pytest.warns(UserWarning, match="reg_lambda"):
+        notebook = ml.resolve_params("notebook")
+    with pytest.warns(UserWarning, match="reg_alpha"):
+        smoothed = ml.resolve_params("smoothed")
+    negatives, positives = (data.where(f"DELAYED = {k}").count() for k in (0, 1))
+    skewed = data.where("DELAYED = 0").union(data.where("DELAYED = 1").limit(100))
+    assert ml.class_weight(data, notebook) == pytest.approx(negatives / positives)
+    assert ml.class_weight(skewed, notebook) == pytest.approx(negatives / 100) and ml.class_weight(skewed, smoothed) == 3.0
+    assert ml.class_weight(data.where("DELAYED = 0"), notebook) == 1.0 and ml.class_weight(data, ml.resolve_params("baseline")) == 5.5
+
+
+def test_patience():
+    losses = [1.0, 0.8, 0.9, 0.85, 0.7, 0.75, 0.72, 0.71, 0.6]
+    assert [ml.stopping_round(losses, k) for k in (1, 2, 3, 4)] == [2, 2, 5, 9]
+    assert ml.stopping_round([1.0], 3) == 1
+
+
+def test_early_stopping_keeps_the_best_round(data):
+    options = {"num_round": 8, "max_depth": 5, "eta": 0.9, "seed": 1, "subsample": 1.0, "colsample_bytree": 1.0, "scale_pos_weight": 1.0}
+    whole = ml.train_gbt(data.where("NOT is_val"), FEATURES, **options)
+    held = data.where("is_val").select("a", "b", F.col("DELAYED").cast("double").alias("DELAYED"), F.lit(1.0).alias("_weight"))
+    losses = whole.stages[-1].evaluateEachIteration(whole.stages[0].transform(held))
+    stopped = ml.train_gbt(data, FEATURES, val_flag="is_val", early_stopping_rounds=2, **options)
+    assert stopped.stages[-1].getNumTrees == ml.stopping_round(losses, 2) < 8
+
+
 def test_learns_scores_and_is_reproducible(data, model):
     scored = ml.score(model, data)
     assert scored.count() == data.count()
