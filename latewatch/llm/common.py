@@ -11,6 +11,8 @@ from latewatch.runtime import scratch_path
 
 # Texts are worked on in groups of about this many characters, so memory follows the longest text, not the batch.
 GROUP_CHARS = 2_000_000
+# Tables of ids or hashes up to this many rows (tens of MB) are broadcast.
+BROADCAST_ROWS = 1_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,3 +43,10 @@ def groups(texts: list[str | None], limit: int = GROUP_CHARS) -> Iterator[list[s
 def crc_mod(column: str, m: int):
     """crc32 of the id as text, modulo ``m``: the fixed folds of the contracts. A null id is in no held-out fold (-1)."""
     return F.coalesce(F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(m)).cast("int"), F.lit(-1))
+
+
+def small(df: DataFrame, weight=None, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table, marked for broadcast if it is *measured* to have at most ``limit`` rows (or sum of ``weight``, for rows that hold
+    arrays); otherwise as it is, for a shuffled join. Both ways give the same rows."""
+    n = df.select(F.coalesce(F.sum(weight), F.lit(0)) if weight is not None else F.count("*")).first()[0]
+    return F.broadcast(df) if n <= limit else df

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.llm.common import written
+from latewatch.llm.common import small, written
 
 ROLL = 2
 DIVISOR = 3
@@ -71,7 +71,7 @@ def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         "d", "k", F.col("c.no").alias("no"), F.col("c.chunk").alias("chunk"), F.xxhash64("c.chunk").alias("h"),
     )
     counted = written(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-hashes")
-    repeated = written(rows.join(counted, "h", "left_semi"), "repeated-chunks")
+    repeated = written(rows.join(small(counted), "h", "left_semi"), "repeated-chunks")
     first = repeated.groupBy("h", "chunk").agg(F.min(F.struct("d", "k", "no")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     later = repeated.join(first, ["h", "chunk"]).where(~F.struct("d", "k", "no").eqNullSafe(F.col("first")))
     return written(later.groupBy("d", "k").agg(F.collect_set("no").alias("gone")), "removed-chunks")
@@ -79,7 +79,7 @@ def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with repeated chunks taken out of ``text``, and ``_gone`` (numbers of the removed chunks)."""
-    gone = removed(docs, doc_id, text).withColumnsRenamed({"d": "_gone_id", "k": "_gone_key", "gone": "_gone"})
+    gone = small(removed(docs, doc_id, text), F.size("gone")).withColumnsRenamed({"d": "_gone_id", "k": "_gone_key", "gone": "_gone"})
     same = docs[doc_id].eqNullSafe(F.col("_gone_id")) & (F.xxhash64(F.coalesce(docs[text], F.lit(""))) == F.col("_gone_key"))
     left = F.array_join(
         F.transform(F.filter(chunks(F.col(text)), lambda c: ~F.array_contains("_gone", c["no"])), lambda c: c["chunk"]), "\n",
