@@ -34,7 +34,7 @@ from latewatch.llm.common import groups, small, written
 from latewatch.llm.components import components
 
 BANDS, ROWS = 36, 5
-BINS, BITS = 4096, 2048
+BINS, BITS = 8192, 2048
 PERCENT = 80
 SIGMAS = 5.0
 WORDS = BITS // 64
@@ -171,7 +171,7 @@ def most_bits(n: Column, held: Column) -> Column:
     drawn = 4 * share * (1 - share) * u * F.greatest(union - u, F.lit(0.0)) / union
     filled = share * share * BINS * (empty - (1 + union / BINS) * empty * empty)
     thrown = F.greatest(BITS / 4 * (1 - left * left) - left * left * differing, F.lit(0.0))
-    return BITS / 2 * (1 - left) + SIGMAS * F.sqrt(left * left * (drawn + filled) + thrown + 1)
+    return BITS / 2 * (1 - left) + SIGMAS * F.sqrt(left * left * (drawn + filled) + thrown + 0.5)
 
 
 def may_link(left: str, right: str) -> Column:
