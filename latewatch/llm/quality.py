@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.llm.common import crc_mod, written
+from latewatch.llm.common import crc_mod, hash_sample, written
 
 SAMPLE = 20_000
 HELD_OUT_MOD = 5
@@ -146,12 +146,9 @@ def with_statistics(df: DataFrame, text: str = "text", out: str = "statistics")
 def train(stats: DataFrame, labels: DataFrame, held_out_mod: int = HELD_OUT_MOD, sample: int = SAMPLE) -> Trees:
     """``stats``: doc_id and statistics; ``labels``: doc_id and quality."""
     known = labels.where("quality IN (0, 1)").where(crc_mod("doc_id", held_out_mod) > 0).select(F.col("doc_id").alias("_id"), F.col("quality").alias("_y"))
-    rows = (
-        stats.join(known, F.col("doc_id") == F.col("_id")).select(F.xxhash64("_id").alias("h"), "_id", "statistics", "_y")
-        .orderBy("h", "_id", "statistics", "_y").limit(sample).select("statistics", "_y").collect()
-    )
-    x = np.array([r[0] for r in rows], np.float64).reshape(len(rows), len(STATISTICS))
-    return fit(x, np.array([r[1] for r in rows], np.float64))
+    rows = hash_sample(stats.join(known, F.col("doc_id") == F.col("_id")).select("_id", "statistics", "_y"), "_id", sample, "statistics", "_y")
+    x = np.array([r["statistics"] for r in rows], np.float64).reshape(len(rows), len(STATISTICS))
+    return fit(x, np.array([r["_y"] for r in rows], np.float64))
 
 
 def _scored(model: Trees):

@@ -20,6 +20,8 @@ from itertools import pairwise
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from latewatch.llm.common import hash_sample
+
 SAMPLE = 20_000
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -193,8 +195,5 @@ def base_failed(s: str = "statistics") -> Column:
 def train(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> list[Rule]:
     """``stats``: doc_id and ``statistics``; ``labels``: doc_id and quality."""
     known = labels.where("quality IN (0, 1)").select(F.col("doc_id").alias("_id"), F.col("quality").alias("_y"))
-    rows = (
-        stats.join(known, F.col("doc_id") == F.col("_id")).select(F.xxhash64("_id").alias("_h"), "_id", "_y", *shares())
-        .orderBy("_h", "_id", "_y", *STATISTICS).limit(sample).collect()
-    )
+    rows = hash_sample(stats.join(known, F.col("doc_id") == F.col("_id")).select("_id", "_y", *shares()), "_id", sample, "_y", *STATISTICS)
     return learn([(tuple(r[s] for s in STATISTICS), r["_y"]) for r in rows])

@@ -71,3 +71,14 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert R.with_statistics(df).count() == 0
     assert R.train(R.with_statistics(df), spark.createDataFrame([], "doc_id long, quality int")) == []
+
+
+def test_hash_sample(spark):
+    from latewatch.llm.common import hash_sample
+
+    df = spark.range(5000)
+    rows = hash_sample(df, "id", 700)
+    assert len(rows) == 700 and rows == hash_sample(df.repartition(7), "id", 700)
+    every = sorted(hash_sample(df, "id", 10_000), key=lambda r: (r["_h"], r["id"]))
+    assert len(every) == 5000 and rows == every[:700]
+    assert hash_sample(df.limit(0), "id", 5) == []
