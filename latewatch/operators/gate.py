@@ -20,6 +20,12 @@ DIAGNOSES = {
     "recall": "Low recall - missing too many delays",
     "close": "Model performance is close but not quite meeting threshold",
 }
+NEXT_STEPS = {
+    "poor": "Check class balancing (scale_pos_weight parameter)",
+    "precision": "Consider increasing decision threshold or improving features",
+    "recall": "Model is too conservative, consider class balancing",
+    "close": "Fine-tuning hyperparameters may help",
+}
 ADVICE_POOR = (
     "Add class balancing: Set scale_pos_weight to handle class imbalance",
     "Verify target variable is correct",
@@ -47,14 +53,15 @@ def _is_poor() -> Column:
 
 
 def diagnose(metrics: DataFrame) -> DataFrame:
-    """Add ``diagnosis``: the first of poor F1, low precision, low recall, else close."""
-    return metrics.withColumn(
-        "diagnosis",
-        F.when(_is_poor(), DIAGNOSES["poor"])
-        .when(F.col("precision") < LOW_PRECISION, DIAGNOSES["precision"])
-        .when(F.col("recall") < LOW_RECALL, DIAGNOSES["recall"])
-        .otherwise(DIAGNOSES["close"]),
-    )
+    """Add ``diagnosis`` and ``next_step``: of the first of poor F1, low precision, low recall, else close."""
+
+    def text(of: dict[str, str]) -> Column:
+        return (
+            F.when(_is_poor(), of["poor"]).when(F.col("precision") < LOW_PRECISION, of["precision"])
+            .when(F.col("recall") < LOW_RECALL, of["recall"]).otherwise(of["close"])
+        )
+
+    return metrics.withColumns({"diagnosis": text(DIAGNOSES), "next_step": text(NEXT_STEPS)})
 
 
 def recommend(metrics: DataFrame) -> DataFrame:

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from latewatch.operators import gate as gt
 from latewatch.operators import metrics as mt
+from latewatch.operators import monitor as mo
 from latewatch.operators.profile import prediction_summary
 from latewatch.operators.matrix import add_distance_features, add_temporal_features, select_matrix
-from latewatch.plans.model_queries import _ACC, _F1, _FOUR, _PREC, _REC, _confusion_sql, _evaluate_ctes
+from latewatch.plans.model_queries import _ACC, _F1, _FOUR, _PREC, _REC, _RUNS, _confusion_sql, _evaluate_ctes, _runs
 from latewatch.plans.registry import query, rounded
 from latewatch.plans.tables import FEATURED, FLIGHTS, LABELLED, SCORED, flights, labelled, scored, table
 from latewatch.runtime import scratch_path
@@ -23,25 +25,50 @@ _FLIGHT_PART = [
     "YEAR", "MONTH", "DAY", "DAY_OF_WEEK", "AIRLINE", "ORIGIN_AIRPORT", "DESTINATION_AIRPORT", "SCHEDULED_DEPARTURE",
     "SCHEDULED_TIME", "DISTANCE", "ARRIVAL_DELAY", "CANCELLED", "DIVERTED",
 ]
+# The other columns are made from the day of the month. On some days whole numbers are cells that do not fit.
+_OTHERS = [c for c in FLIGHT_COLUMNS if c not in _FLIGHT_PART]
+_ODD_CELLS = {3: "NaN", 5: "99999999999", 7: "x", 9: "12.5"}
+
+
+def _other_cell(name: str):
+    """Text of a cell as it stands in the file."""
+    k, kind = _OTHERS.index(name), FLIGHT_COLUMNS[name]
+    if kind == "string":
+        return F.concat(F.lit("N"), (F.col("DAY") + k).cast("string"))
+    if kind == "double":
+        return F.when(F.col("DAY") != 4, ((F.col("DAY") * 3 + k) / 2).cast("string"))
+    cell = F.concat((F.col("DAY") * 10 + k).cast("string"), F.lit(".0"))
+    for day, text in _ODD_CELLS.items():
+        cell = F.when(F.col("DAY") == day, text).otherwise(cell)
+    return cell
+
+
+def _other_sql(name: str) -> str:
+    k, kind = _OTHERS.index(name), FLIGHT_COLUMNS[name]
+    if kind == "string":
+        return f"""'N' || ("DAY" + {k}) AS "{name}\""""
+    if kind == "double":
+        return f"""CASE WHEN "DAY" <> 4 THEN ("DAY" * 3 + {k}) / CAST(2 AS DOUBLE) END AS "{name}\""""
+    return f"""CAST(CASE WHEN "DAY" NOT IN ({', '.join(map(str, _ODD_CELLS))}) THEN "DAY" * 10 + {k} END AS INTEGER) AS "{name}\""""
 
 
 def _raw_csv(spark: SparkSession, sf: str) -> str:
-    """Flights in the full raw layout: columns not derived are empty, departure hours print as ``930.0``."""
+    """Flights in the full raw layout; departure hours print as ``930.0``."""
     df = flights(spark, sf).withColumn("SCHEDULED_DEPARTURE", F.col("SCHEDULED_DEPARTURE").cast("double"))
     path = scratch_path(spark, "flights-csv")
-    have = set(df.columns)
     df.select(*[
-        F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in FLIGHT_COLUMNS
+        F.col(c) if c in _FLIGHT_PART else _other_cell(c).alias(c) for c in FLIGHT_COLUMNS
     ]).write.option("header", True).csv(path)
     return path
 
 
-_PART_SQL = ", ".join(f'"{c}"' for c in _FLIGHT_PART)
+_ALL_SQL = ", ".join(f'"{c}"' if c in _FLIGHT_PART else _other_sql(c) for c in FLIGHT_COLUMNS)
 
 
-@query("io_flights_csv", f"WITH {FLIGHTS} SELECT {_PART_SQL} FROM flights")
+@query("io_flights_csv", f"WITH {FLIGHTS} SELECT {_ALL_SQL} FROM flights")
 def io_flights_csv(spark, sf):
-    return readers.read_flights(spark, _raw_csv(spark, sf)).select(*_FLIGHT_PART)
+    """All 31 columns, with cells that do not parse, are no numbers, too large or fractions."""
+    return readers.read_flights(spark, _raw_csv(spark, sf))
 
 
 @query("io_external_table", f"""
@@ -128,6 +155,32 @@ def io_features_parquet(spark, sf):
     return wanted.where("split = 'val'").drop("split")
 
 
+@query("io_features_back", f"""
+WITH {FEATURED} SELECT split, "DELAYED", {_RAW_SQL} FROM featured""")
+def io_features_back(spark, sf):
+    """Every split of the partitioned features."""
+    path = scratch_path(spark, "features")
+    writers.write_features(select_matrix(_basic(spark, sf), "raw", keep=["split"]), path)
+    return readers.read_features(spark, path)
+
+
+@query("io_inference_subset", """
+SELECT o_orderkey AS key, o_totalprice AS price FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 250""")
+def io_inference_subset(spark, sf):
+    """The first rows in an order, written and read back (a top-k feature)."""
+    path = scratch_path(spark, "inference-subset")
+    orders = table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("price"))
+    ranked = orders.withColumn("_minus", -F.col("price"))
+    writers.write_inference_input(ranked, path, ["key", "price"], n=250, order_by=["_minus", "key"])
+    return spark.read.schema("key bigint, price double").csv(path)
+
+
+@query("preview", "SELECT event_id, user_id, event_type, value FROM events ORDER BY event_id LIMIT 5")
+def preview(spark, sf):
+    """The first rows in key order (a top-k feature)."""
+    return readers.preview(table(spark, sf, "events").select("event_id", "user_id", "event_type", "value").orderBy("event_id"))
+
+
 @query("io_inference_input", f"""
 WITH {FEATURED} SELECT "MONTH", "DISTANCE", "DEP_HOUR" FROM featured WHERE split = 'test'""")
 def io_inference_input(spark, sf):
@@ -169,6 +222,22 @@ def io_report_json(spark, sf):
     )
 
 
+@query("io_rejections_json", f"""
+WITH {_RUNS} SELECT version, run_day, '{gt.REJECTED}' AS status, CAST(0.20 AS DOUBLE) AS required, f1_score AS actual, auc,
+  {len(gt.ADVICE_ALWAYS)} + CASE WHEN f1_score < 0.10 THEN {len(gt.ADVICE_POOR)} ELSE 0 END
+    + CASE WHEN precision < 0.15 OR recall < 0.20 THEN {len(gt.ADVICE_FEATURES)} ELSE 0 END AS n_recommendations
+FROM evaluated WHERE f1_score < 0.20""")
+def io_rejections_json(spark, sf):
+    """Nested rejection records, written as JSON and read back."""
+    path = scratch_path(spark, "rejections")
+    report = gt.rejection_report(rounded(_runs(spark, sf)), 0.20, ["version", "run_day"])
+    writers.write_report(report, path)
+    return spark.read.schema(report.schema).json(path).select(
+        "version", "run_day", "status", "threshold.required", "threshold.actual", "model_metrics.auc",
+        F.size("recommendations").alias("n_recommendations"),
+    )
+
+
 # ---------------------------------------------------------------- ground truth and streams
 
 # Labels are uploaded some time of the day after the event, at any minute and second; every 53rd comes three days later.
@@ -219,3 +288,19 @@ def stream_quality(spark, sf):
     """Scored rows and late labels as streams, joined and evaluated per day, windows as Parquet files; all windows."""
     closed = rounded(_streamed_quality(spark, sf))
     return closed.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query("stream_summary_live", f"""
+WITH {SCORED} SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, version, COUNT(*) AS n,
+  round(AVG(CASE WHEN probability >= 0.5 THEN 1 ELSE 0 END) * 100, 6) AS predicted_rate FROM scored GROUP BY 1, 2""")
+def stream_summary_live(spark, sf):
+    """Rows and predicted rate per day and version as a stream; the windows that are open at its end from the batch frame."""
+    source, out, state = (scratch_path(spark, f"summary-{p}") for p in ("scored", "out", "state"))
+    rows = scored(spark, sf).select("id", F.col("ts").cast("timestamp").alias("ts"), "probability", "version")
+    rows.write.parquet(source)
+    batch = spark.read.schema(rows.schema).parquet(source)
+    summary = mo.stream_summary(scored_stream(spark, source, rows.schema, "parquet"), label=None, by=["version"])
+    run_available(summary, out, state, state_partitions=spark.sparkContext.defaultParallelism)
+    whole = mo.stream_summary(batch, label=None, by=["version"])
+    every = rounded(with_open_windows(spark.read.schema(summary.schema).parquet(out), whole, ("version",)))
+    return every.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))

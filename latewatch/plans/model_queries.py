@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,8 +14,8 @@ from latewatch.operators import monitor as mo
 from latewatch.operators import profile as pf
 from latewatch.operators.matrix import add_distance_features, add_temporal_features
 from latewatch.plans.registry import query, rounded
-from latewatch.plans.tables import SCORED, TRUTH, labelled, scored, table, truth
-from latewatch.runtime import pin
+from latewatch.plans.tables import FEATURED, LABELLED, SCORED, TRUTH, labelled, scored, table, truth
+from latewatch.runtime import pin, scratch_path
 from latewatch.schemas import FEATURE_SETS
 
 # ---------------------------------------------------------------- SQL building blocks
@@ -232,16 +234,17 @@ def _runs(spark: SparkSession, sf: str) -> DataFrame:
     return mt.evaluate(scored(spark, sf).withColumn("run_day", F.day("ts")), 0.92, ["version", "run_day"])
 
 
-_DIAGNOSIS = f"""CASE WHEN f1_score < 0.10 THEN '{gt.DIAGNOSES["poor"]}' WHEN precision < 0.15 THEN '{gt.DIAGNOSES["precision"]}'
-  WHEN recall < 0.20 THEN '{gt.DIAGNOSES["recall"]}' ELSE '{gt.DIAGNOSES["close"]}' END"""
+def _diagnosis_sql(of: dict[str, str]) -> str:
+    return (f"CASE WHEN f1_score < 0.10 THEN '{of['poor']}' WHEN precision < 0.15 THEN '{of['precision']}' "
+            f"WHEN recall < 0.20 THEN '{of['recall']}' ELSE '{of['close']}' END")
 
 
 @query("quality_gate", f"""
 WITH {_RUNS} SELECT version, run_day, f1_score, precision, recall, f1_score >= 0.20 AS passed,
-  {_DIAGNOSIS} AS diagnosis FROM evaluated""")
+  {_diagnosis_sql(gt.DIAGNOSES)} AS diagnosis, {_diagnosis_sql(gt.NEXT_STEPS)} AS next_step FROM evaluated""")
 def quality_gate(spark, sf):
     gated = gt.diagnose(gt.quality_gate(rounded(_runs(spark, sf)), 0.20))
-    return gated.select("version", "run_day", "f1_score", "precision", "recall", "passed", "diagnosis")
+    return gated.select("version", "run_day", "f1_score", "precision", "recall", "passed", "diagnosis", "next_step")
 
 
 def _texts(items) -> str:
@@ -309,6 +312,32 @@ def baseline_constraints(spark, sf):
     return _constraints(spark, sf)
 
 
+@query("baseline_constraints_by_version", f"""
+WITH {TRUTH}, base AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY version ORDER BY seq) <= 300),
+{_evaluate_ctes('base', 'version', name='baseline')}, long AS (
+  SELECT version, 'f1_score' AS metric, f1_score AS threshold FROM baseline UNION ALL SELECT version, 'precision', precision FROM baseline
+  UNION ALL SELECT version, 'recall', recall FROM baseline UNION ALL SELECT version, 'accuracy', accuracy FROM baseline
+  UNION ALL SELECT version, 'auc', auc FROM baseline)
+SELECT version, metric, threshold, 'LessThanThreshold' AS comparison_operator FROM long""")
+def baseline_constraints_by_version(spark, sf):
+    """Constraints of each version from its own first rows."""
+    base = mo.baseline(scored(spark, sf), 300, order_by="seq", by=["version"])
+    return mo.suggest_constraints(rounded(base), by=["version"])
+
+
+@query("ground_truth_join_reused_ids", f"""
+WITH {TRUTH}, s AS (SELECT seq % 50 AS id, ts, min(probability) AS probability FROM scored GROUP BY ALL),
+t AS (SELECT DISTINCT CAST(CAST(id AS BIGINT) % 50 AS BIGINT) AS id, label, truth_ts FROM truth),
+j AS (SELECT t.id, t.label, t.truth_ts, s.ts, s.probability FROM t JOIN s ON s.id = t.id AND t.truth_ts >= s.ts AND t.truth_ts <= s.ts + INTERVAL 2 DAY
+  QUALIFY row_number() OVER (PARTITION BY t.id, t.label, t.truth_ts ORDER BY s.ts DESC, s.probability DESC) = 1)
+SELECT id, label, probability, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, strftime(truth_ts, '%Y-%m-%d %H:%M:%S') AS truth_ts FROM j""")
+def ground_truth_join_reused_ids(spark, sf):
+    """Fifty ids used again and again: each truth row belongs to the latest scored row before it."""
+    rows = scored(spark, sf).groupBy(F.pmod("seq", F.lit(50)).alias("id"), "ts").agg(F.min("probability").alias("probability"))
+    labels = truth(spark, sf).select(F.pmod(F.col("id").cast("bigint"), F.lit(50)).alias("id"), "label", "truth_ts")
+    return _printed(mo.join_ground_truth(rows, labels, "2 days").select("id", "label", "probability", "ts", "truth_ts"), "ts", "truth_ts")
+
+
 @query("ground_truth_join", f"""
 WITH {_JOINED} SELECT id, segment, probability, label, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts,
   strftime(truth_ts, '%Y-%m-%d %H:%M:%S') AS truth_ts FROM joined""")
@@ -364,7 +393,79 @@ def stream_summary(spark, sf):
     return _printed(rounded(mo.stream_summary(scored(spark, sf))), "window_start")
 
 
-# ---------------------------------------------------------------- training (no SQL twin: a tree learner)
+# ---------------------------------------------------------------- training: one stump has a SQL twin, whole boosting has none
+
+_FLAGS = ("IS_PEAK_HOUR", "IS_WEEKEND", "IS_LONG_HAUL")
+
+
+def _stump_sql(select: str) -> str:
+    """A tree of depth 1 on flags: the flag with the largest gain in variance of the labels -1 and 1, and the mean of each side."""
+    sides = " UNION ALL ".join(
+        f"""SELECT {k} AS place, '{f}' AS feature, "{f}" AS flag, COUNT(*) AS n, AVG("DELAYED" * 2.0 - 1) AS mean FROM featured WHERE split = 'train' GROUP BY "{f}\""""
+        for k, f in enumerate(_FLAGS)
+    )
+    return f"""
+WITH {FEATURED}, sides AS ({sides}),
+gains AS (SELECT place, feature, SUM(n * mean * mean) AS gain FROM sides GROUP BY ALL HAVING COUNT(*) = 2),
+best AS (SELECT feature FROM gains ORDER BY gain DESC, place LIMIT 1) {select}"""
+
+
+def _stump(spark: SparkSession, sf: str):
+    df = add_distance_features(add_temporal_features(labelled(spark, sf))).select("split", "DELAYED", *_FLAGS)
+    options = {"max_depth": 1, "num_round": 1, "eta": 1.0, "subsample": 1.0, "colsample_bytree": 1.0, "scale_pos_weight": 1.0, "seed": 7}
+    return ml.train_gbt(df.where("split = 'train'"), list(_FLAGS), **options), df
+
+
+@query("stump_scores", _stump_sql(f"""
+SELECT f.split, {', '.join(f'f."{x}"' for x in _FLAGS)}, COUNT(*) AS n, round(any_value(1 / (1 + exp(-2 * s.mean))), 6) AS probability
+FROM featured AS f, best JOIN sides AS s ON s.feature = best.feature
+WHERE s.flag = CASE best.feature {' '.join(f"""WHEN '{x}' THEN f."{x}\"""" for x in _FLAGS)} END GROUP BY ALL"""))
+def stump_scores(spark, sf):
+    """Train one stump on the training split, score all rows."""
+    model, df = _stump(spark, sf)
+    by = ml.score(model, df).groupBy("split", *_FLAGS).agg(F.count("*").alias("n"), F.max("probability").alias("probability"))
+    return rounded(by)
+
+
+@query("stump_importances", _stump_sql("""
+SELECT g.feature, CASE WHEN g.feature = best.feature THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS importance FROM gains AS g, best"""))
+def stump_importances(spark, sf):
+    model, df = _stump(spark, sf)
+    return rounded(ml.importances(model, list(_FLAGS), df))
+
+
+@query("model_round_trip", f"""WITH {FEATURED} SELECT COUNT(*) AS n, CAST(0 AS BIGINT) AS n_different FROM featured""")
+def model_round_trip(spark, sf):
+    """A saved model scores every row as the one it was saved from."""
+    model, df = _stump(spark, sf)
+    path = scratch_path(spark, "model")
+    ml.save(model, path)
+    both = ml.score(ml.load(path), ml.score(model, df).withColumnsRenamed({"probability": "p", "prediction": "c"}))
+    return both.agg(F.count("*").alias("n"), F.count_if(F.col("p") != F.col("probability")).alias("n_different"))
+
+
+@query("presets", f"""
+WITH {LABELLED}, w AS (SELECT COUNT(*) FILTER ("DELAYED" = 0) / CAST(COUNT(*) FILTER ("DELAYED" = 1) AS DOUBLE) AS ratio FROM labelled WHERE split = 'train')
+SELECT preset, round(CASE preset WHEN 'notebook' THEN ratio WHEN 'smoothed' THEN least(ratio, 3.0) ELSE fixed END, 6) AS pos_weight
+FROM w, (VALUES ('baseline', 5.5), ('improved', 5.5), ('raw_benchmark', 4.58), ('engineered', 4.58), ('notebook', 0), ('smoothed', 0)) AS p(preset, fixed)""")
+def presets(spark, sf):
+    """The class weight that each preset trains with on the training split."""
+    train = labelled(spark, sf).where("split = 'train'")
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")  # what presets leave out is no news here
+        weights = {p: ml.resolve_params(p) for p in ml.PARAMS}
+    measured = pf.pos_weight(train).select("pos_weight")
+    rows = [
+        F.struct(F.lit(p).alias("preset"), (
+            F.least(F.col("pos_weight"), F.lit(float(w.get("pos_weight_cap", float("inf"))))) if w["scale_pos_weight"] == "auto"
+            else F.lit(float(w["scale_pos_weight"]))
+        ).alias("pos_weight"))
+        for p, w in weights.items()
+    ]
+    return rounded(measured.select(F.inline(F.array(*rows))))
+
+
+# ---------------------------------------------------------------- boosting (no SQL twin: a tree learner)
 
 
 def _trained(spark: SparkSession, sf: str):
