@@ -9,8 +9,8 @@ slots. A pair is reported if at least ``COVER`` of the item's windows match.
 
 Everything is built-in functions. Documents are cut into seeds of ``SEED`` tokens at every ``STRIDE``-th place, items at every place: any
 ``WINDOW`` equal tokens hold such a seed, so the hash join of seeds misses nothing and moves a fourth of the windows. Only documents
-with a seed hit are windowed in full. Whether the tables of the benchmark are broadcast is left to the planner, which knows
-the size of the files they are written to.
+with a seed hit are windowed in full. Tables of the benchmark and of hits are broadcast only if they are
+measured to be small, and joined by a shuffle otherwise.
 
 Items of fewer than ``WINDOW`` tokens are not told from chance and never reported. Null and empty texts have no tokens. Rows with equal
 id and text are the same document; null ids are allowed. Empty tables give empty results.
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.llm.common import written
+from latewatch.llm.common import small, written
 
 WINDOW = 8
 SEED = 5
@@ -35,7 +35,8 @@ UNITS = (
 ).split()
 NUM, UNIT, NAME = "<num>", "<unit>", "<name>"
 _NUMBER = r"^[0-9][0-9.,]*%?$"
-_TRIM = r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}%]+$"
+# characters that are cut off at both ends of a word
+OUTER = ".,;:!?()[]{}<>\"'`*#$&|_-+=/\\~^@\u2026\u2013\u2014\u00ab\u00bb\u201c\u201d\u201e\u2018\u2019\u00bf\u00a1"
 
 
 def tokens(text: Column) -> Column:
@@ -43,17 +44,22 @@ def tokens(text: Column) -> Column:
     words = F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+")
 
     def of(raw: Column) -> Column:
-        def one(w: Column, i: Column) -> Column:
-            core, before = F.regexp_replace(w, _TRIM, ""), F.coalesce(F.get(raw, i - 1), F.lit(""))
+        cores = F.transform(raw, lambda w: F.btrim(w, F.lit(OUTER)))
+        return F.transform(F.array(cores), lambda core: typed(raw, core))[0]
+
+    def typed(raw: Column, cores: Column) -> Column:
+        # cheap tests of the first letter stand before the patterns: most words are plain ones
+        def one(core: Column, i: Column) -> Column:
+            first, before = F.substring(core, 1, 1), F.get(raw, i - 1)
             kind = (
-                F.when(core.rlike(_NUMBER), F.lit(NUM))
-                .when(core.rlike(r"^\p{Lu}") & (before != "") & ~before.rlike(r"[.!?:]$"), F.lit(NAME))
-                .when(F.lower(core).isin(UNITS) & F.regexp_replace(before, _TRIM, "").rlike(_NUMBER), F.lit(UNIT))
+                F.when(first.between("0", "9") & core.rlike(_NUMBER), F.lit(NUM))
+                .when((F.lower(first) != first) & (i > 0) & ~before.rlike(r"^$|[.!?:]$"), F.lit(NAME))
+                .when((i > 0) & F.substring(F.get(cores, i - 1), 1, 1).between("0", "9") & F.get(cores, i - 1).rlike(_NUMBER) & F.lower(core).isin(UNITS), F.lit(UNIT))
                 .otherwise(F.lower(core))
             )
             return F.struct(kind.alias("c"), core.alias("r"))
 
-        return F.filter(F.transform(raw, one), lambda x: x["c"] != "")
+        return F.filter(F.transform(cores, one), lambda x: x["c"] != "")
 
     return F.transform(F.array(words), of)[0]
 
@@ -98,12 +104,12 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
         items.where(F.size(tokens(F.col("t"))) >= WINDOW).select(F.explode(_seeds(F.col("t"), 1)).alias("seed")).distinct(), "benchmark-seeds",
     )
     hits = written(
-        docs.select("d", "k", F.explode(_seeds(F.col("t"), STRIDE)).alias("seed")).join(item_seeds, "seed", "left_semi").select("d", "k").distinct(),
+        docs.select("d", "k", F.explode(_seeds(F.col("t"), STRIDE)).alias("seed")).join(small(item_seeds), "seed", "left_semi").select("d", "k").distinct(),
         "seed-hits",
     )
-    found = docs.join(hits.select(F.col("d").alias("hd"), F.col("k").alias("hk")), F.col("d").eqNullSafe(F.col("hd")) & (F.col("k") == F.col("hk")), "left_semi")
+    found = docs.join(small(hits).select(F.col("d").alias("hd"), F.col("k").alias("hk")), F.col("d").eqNullSafe(F.col("hd")) & (F.col("k") == F.col("hk")), "left_semi")
     matched = written(
-        found.distinct().select("d", "k", F.explode(_windows(F.col("t"))).alias("w")).select("d", "k", "w.*").join(item_windows, "template")
+        found.distinct().select("d", "k", F.explode(_windows(F.col("t"))).alias("w")).select("d", "k", "w.*").join(small(item_windows), "template")
         .where((F.size("slots") <= WINDOW - OWN_WORDS) | (F.col("slots") == F.col("item_slots")))
         .select("d", "k", "b", "n", "item_at", (F.col("at") - F.col("item_at")).alias("diagonal"), "slots", "item_slots"),
         "matched-windows",
@@ -124,24 +130,25 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` into which no item leaks, with their columns."""
     bad = leaks(docs, items).select(F.col("doc_id").alias("_leak_id"), F.col("text_key").alias("_leak_key")).distinct()
-    bad = written(bad, "leaks")
+    bad = small(written(bad, "leaks"))
     same = docs["doc_id"].eqNullSafe(bad["_leak_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == bad["_leak_key"])
     return docs.join(bad, same, "left_anti")
 
 
 _SQL_TOKENS = r"""
-    SELECT id, list_filter(list_transform(raw, lambda w, i: struct_pack(c := CASE
-        WHEN regexp_matches(regexp_replace(w, '{trim}', '', 'g'), '{number}') THEN '<num>'
-        WHEN regexp_matches(regexp_replace(w, '{trim}', '', 'g'), '^\p{{Lu}}') AND i > 1 AND raw[i - 1] <> '' AND NOT regexp_matches(raw[i - 1], '[.!?:]$') THEN '<name>'
-        WHEN lower(regexp_replace(w, '{trim}', '', 'g')) IN ({units}) AND i > 1 AND regexp_matches(regexp_replace(raw[i - 1], '{trim}', '', 'g'), '{number}') THEN '<unit>'
-        ELSE lower(regexp_replace(w, '{trim}', '', 'g')) END, r := regexp_replace(w, '{trim}', '', 'g'))), lambda x: x.c <> '') AS t
-    FROM (SELECT DISTINCT {id} AS id, regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') AS raw FROM {table})
+    SELECT id, list_filter(list_transform(core, lambda w, i: struct_pack(c := CASE
+        WHEN regexp_matches(w, '{number}') THEN '<num>'
+        WHEN lower(substr(w, 1, 1)) <> substr(w, 1, 1) AND i > 1 AND NOT regexp_matches(raw[i - 1], '^$|[.!?:]$') THEN '<name>'
+        WHEN lower(w) IN ({units}) AND i > 1 AND regexp_matches(core[i - 1], '{number}') THEN '<unit>'
+        ELSE lower(w) END, r := w)), lambda x: x.c <> '') AS t
+    FROM (SELECT id, raw, list_transform(raw, lambda w: trim(w, '{outer}')) AS core
+        FROM (SELECT DISTINCT {id} AS id, regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') AS raw FROM {table}))
 """
 
 
 def _sql_windows(table: str, id_column: str) -> str:
     units = ", ".join(f"'{u}'" for u in UNITS)
-    toks = _SQL_TOKENS.format(table=table, id=id_column, units=units, trim=_TRIM, number=_NUMBER)
+    toks = _SQL_TOKENS.format(table=table, id=id_column, units=units, number=_NUMBER, outer=OUTER.replace("'", "''"))
     return f"""
     SELECT id, pos, array_to_string(list_transform(t[pos:pos + {WINDOW - 1}], lambda x: x.c), ' ') AS template,
         list_transform(list_filter(t[pos:pos + {WINDOW - 1}], lambda x: x.c IN ('<num>', '<unit>', '<name>')), lambda x: x.c || ' ' || lower(x.r)) AS slots
