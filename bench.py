@@ -8,7 +8,7 @@ import sys
 import time
 
 from latewatch.plans import QUERIES
-from latewatch.runtime import build_session
+from latewatch.runtime import build_session, clean_scratch
 
 HEADLINE = [
     "clean_funnel", "target_summary", "rate_by_airline", "rate_by_time", "top_airlines", "histogram_delay",
@@ -39,6 +39,7 @@ def main() -> int:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
         print(f"{name:26s} {seconds[name]:8.3f}", file=sys.stderr)
+        clean_scratch(spark)
     print(json.dumps({
         "metric": "total seconds of the headline queries", "value": round(sum(seconds.values()), 3), "unit": "sec",
         "queries": seconds, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),

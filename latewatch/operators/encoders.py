@@ -55,7 +55,7 @@ class KeyStatistics:
     @classmethod
     def _measured(cls, table: DataFrame) -> KeyStatistics:
         sizes = table.groupBy("key_name").agg(
-            F.sum(F.coalesce(F.length("key"), F.lit(0)) + F.lit(BROADCAST_ROW_BYTES)).alias("bytes"),
+            F.sum(F.coalesce(F.octet_length("key"), F.lit(0)) + F.lit(BROADCAST_ROW_BYTES)).alias("bytes"),
             F.sum("positives").alias("positives"),
             F.sum("n").alias("n"),
         ).collect()  # one row per key column
@@ -90,19 +90,25 @@ class KeyStatistics:
     ) -> DataFrame:
         """Add rate features (unseen or NULL key → global rate) and log-count features (unseen → 0).
 
-        One lookup per key column serves all features on it. With ``seen`` a boolean ``<feature>_SEEN`` is added per
+        One lookup per key column serves all features on it. ``limit_bytes`` bounds all broadcast lookups together: the smallest
+        are broadcast as long as they fit, the others are joined by shuffle. With ``seen`` a boolean ``<feature>_SEEN`` is added per
         rate feature.
         """
         rates, counts = dict(rates or {}), dict(counts or {})
         overall = F.lit(self.global_rate).cast("double")
         kept = list(df.columns)
-        for key in dict.fromkeys([*rates.values(), *counts.values()]):
+        keys, left, broadcast = list(dict.fromkeys([*rates.values(), *counts.values()])), limit_bytes, set()
+        for key in sorted(keys, key=lambda k: self.bytes_per_key.get(k, 0)):
+            if self.bytes_per_key.get(key, 0) <= left:
+                broadcast.add(key)
+                left -= self.bytes_per_key.get(key, 0)
+        for key in keys:
             stats = self.table.where(F.col("key_name") == key).select(
                 F.col("key").alias("_key"), F.col("positives").alias("_p"), F.col("n").alias("_n")
             )
             df = lookup_join(
                 df.withColumn("_key", F.col(key).cast("string")), stats, ["_key"],
-                self.bytes_per_key.get(key, 0), limit_bytes,
+                0 if key in broadcast else 1, 0,
             )
             added: dict[str, Column] = {}
             for out, k in rates.items():

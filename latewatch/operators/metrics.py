@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from latewatch.functions import ratio_or_zero, safe_ratio
 from latewatch.operators.ranges import RANGE, finer, prefix_sums, range_edges, with_range
+from latewatch.runtime import pin
 
 METRIC_NAMES = ("accuracy", "precision", "recall", "f1_score", "auc")
 # The threshold grid of the sweep and the guard in the F1 of the threshold search.
@@ -61,12 +62,17 @@ def score_counts(
     df: DataFrame, by: Sequence[str] = (), score: str = "probability", label: str = "label",
     edges: Sequence[float] | None = None,
 ) -> DataFrame:
-    """Positives and negatives per (group, distinct score), with the range number of the score."""
+    """Positives and negatives per (group, distinct score), with the range number of the score.
+
+    Without ``edges`` the counts are written first and cut from there, so an expensive input is evaluated once.
+    """
     rows = _usable(df, score, label).select(*by, F.col(score).cast("double").alias("_score"), F.col(label).alias("_y"))
-    edges = range_edges(rows, "_score") if edges is None else edges
     counts = rows.groupBy(*by, "_score").agg(
         F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") != 1).alias("neg")
     )
+    if edges is None:
+        counts = pin(counts)
+        edges = range_edges(counts, "_score")
     return with_range(counts, "_score", finer(edges))
 
 

@@ -20,7 +20,7 @@ RANGE = "_range"
 GROUP = "_group"
 # Hex digits of an md5 digest used as a range: 4,096 equal ranges by construction, each with 4,096 fine ones.
 HASH_PREFIX_DIGITS = 3
-# Coarse ranges come from a sketch, which resolves up to MAX_RANGES of equal weight; fine ones divide them further.
+# Ranges come from a sketch, which resolves up to MAX_RANGES of equal weight; a second sketch divides those that are looked into.
 MIN_RANGES, MAX_RANGES = 64, 2048
 SUBDIVISIONS = 16
 SKETCH_GROUPS = 256
@@ -104,17 +104,19 @@ def exact_quantile(
 ) -> DataFrame:
     """Exact interpolated quantile per group; one row per group, NULLs ignored.
 
-    Counts per coarse range find the one or two ranges that hold the wanted ranks; only rows of those are counted by
-    value, and these counts are summed along finer ranges. No task ever holds more than one fine range.
+    The input is read once, to count each value; all else works on the written counts. Totals per coarse range find the one or
+    two ranges that hold the wanted ranks; the counts in those are cut again by their own quantiles, so fine ranges are even
+    however the values lie. No task ever holds more than one fine range.
     """
     by, name = list(by), name or f"{column}_q"
     values = with_group(df, by).select(GROUP, F.col(column).cast("double").alias("_value")).where("_value IS NOT NULL")
-    edges = range_edges(values, "_value") if edges is None else edges
-    ranged = with_range(values, "_value", edges)
+    counted = pin(values.groupBy(GROUP, "_value").agg(F.count("*").alias("_n")))
+    edges = range_edges(counted, "_value") if edges is None else edges
+    ranged = with_range(counted, "_value", edges)
 
     upto, whole = Window.partitionBy(GROUP).orderBy(RANGE), Window.partitionBy(GROUP)
     totals = (
-        ranged.groupBy(GROUP, RANGE).agg(F.count("*").alias("_n"))
+        ranged.groupBy(GROUP, RANGE).agg(F.sum("_n").alias("_n"))
         .withColumn("_end", F.sum("_n").over(upto))
         .withColumn("_start", F.col("_end") - F.col("_n"))
         .withColumn("_rank", F.lit(float(q)) * (F.sum("_n").over(whole) - 1))
@@ -126,11 +128,9 @@ def exact_quantile(
 
     hit = totals.where(holds("_low") | holds("_high")).select(GROUP, RANGE, "_start", "_rank", "_low", "_high")
     state = ["_start", "_rank", "_low", "_high"]
-    counts = (
-        _rows_in(ranged, hit, not by).select(F.struct(GROUP, RANGE, *state).alias("_hit"), "_value")
-        .groupBy("_hit", "_value").agg(F.count("*").alias("_n"))
-    )
-    ranks = prefix_sums(with_range(counts, "_value", finer(edges)), "_value", ["_n"], ["_hit"], descending=False).select(
+    counts = pin(_rows_in(ranged, hit, not by).select(F.struct(GROUP, RANGE, *state).alias("_hit"), "_value", "_n"))
+    fine = range_edges(counts, "_value")
+    ranks = prefix_sums(with_range(counts, "_value", fine), "_value", ["_n"], ["_hit"], descending=False).select(
         F.col(f"_hit.{GROUP}").alias(GROUP), "_value", *[F.col(f"_hit.{c}").alias(c) for c in ("_rank", "_low", "_high")],
         (F.col("_hit._start") + F.col("_n_upto")).alias("_end"),
         (F.col("_hit._start") + F.col("_n_upto") - F.col("_n")).alias("_start"),

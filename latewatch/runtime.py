@@ -28,6 +28,7 @@ def build_session(name: str = "latewatch", master: str | None = None, **conf: st
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # join state of a day of traffic belongs on disk, not on the heap
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -59,9 +60,25 @@ def shared_dir(spark: SparkSession) -> str:
     return (configured or current).rstrip("/")
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return os.path.join(shared_dir(spark), "latewatch", f"{name}-{uuid.uuid4().hex}")
+    """A fresh path below the shared folder. It stays until ``clean_scratch``."""
+    path = os.path.join(shared_dir(spark), "latewatch", f"{name}-{uuid.uuid4().hex}")
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Remove what this application has written to scratch paths, once the frames that read it are done with. Returns how many
+    paths there were. (Checkpoints of ``pin`` are removed by Spark with ``spark.cleaner.referenceTracking.cleanCheckpoints``.)"""
+    context = spark.sparkContext
+    paths = _SCRATCH.pop(context.applicationId, [])
+    for path in paths:
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    return len(paths)
 
 
 def pin(df: DataFrame) -> DataFrame:
