@@ -252,3 +252,20 @@ def keep_one(docs: DataFrame, size: int = 5) -> DataFrame:
     kept = docs.join(gone, same, "left_anti")
     repeated = found.where("kept").groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
     return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Two-word shingles, all pairs that share one, and the closure of the links: for small tables only.
+SQL = rf"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) > 1 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS s FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s AS x JOIN s AS y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM i JOIN n AS p ON p.doc_id = a JOIN n AS q ON q.doc_id = b WHERE 100 * c >= {PERCENT} * (p.n + q.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(other) AS component_id, r.doc_id = min(other) AS kept
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""

@@ -84,4 +84,6 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op3_decontaminate, op4_line_dedup, op5_lm, op6_quality, op7_near_dedup, op8_secrets, op9_bpe, op10_rules)}
-SQL: dict[str, str] = {"op3_decontaminate": decontaminate.SQL, "op4_line_dedup": line_dedup.SQL}
+SQL: dict[str, str] = {
+    "op3_decontaminate": decontaminate.SQL, "op4_line_dedup": line_dedup.SQL, "op7_near_dedup": near_dedup.SQL,
+}
