@@ -297,6 +297,23 @@ def verify_splits(spark, sf):
     return rounded(pf.verify_splits(sp.temporal_split(cl.with_label(raw, drop_source=False))))
 
 
+@query("verify_split_frames", f"""
+WITH {LABELLED}, v AS (
+  SELECT split, COUNT(*) AS n, COUNT(*) FILTER ("DELAYED" = 1) AS n_delayed, COUNT(*) FILTER ("DELAYED" = 0) AS n_on_time,
+    round(AVG("DELAYED") * 100, 6) AS delay_rate,
+    COUNT(*) FILTER ("MONTH" IS NULL) + COUNT(*) FILTER ("DISTANCE" IS NULL) + COUNT(*) FILTER ("DELAYED" IS NULL) AS n_missing
+  FROM labelled GROUP BY split)
+SELECT *, CAST(3 AS INTEGER) AS n_columns, CASE WHEN n_missing = 0 THEN 'OK' ELSE 'WARNING' END AS status, split <> 'test' AS schema_matches FROM v""")
+def verify_split_frames(spark, sf):
+    """Splits stored apart; one of them has its columns in another order."""
+    columns = ["MONTH", "DISTANCE", "DELAYED"]
+    frames = {
+        name: labelled(spark, sf).where(F.col("split") == name).select(*(columns[::-1] if name == "test" else columns))
+        for name in ("train", "val", "test", "prod")
+    }
+    return rounded(pf.verify_split_frames(frames))
+
+
 _ORDERS = """
 o AS (
   SELECT o_orderkey, CAST(o_orderstatus = 'F' AS INTEGER) AS label,
