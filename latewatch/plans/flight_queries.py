@@ -566,7 +566,7 @@ def _register_matrix(name: str, features: str) -> None:
         return rounded(select_matrix(matrix_frame(spark, sf, features), features, keep=["split"]))
 
 
-# Query names of the feature sets.
+# Query names of the feature sets.
 MATRIX_QUERIES = {
     "feature_matrix_6": "raw", "feature_matrix_12": "basic", "feature_matrix_16": "no_target_encoding",
     "feature_matrix_20": "full", "feature_matrix_smoothed": "smoothed",

@@ -9,7 +9,7 @@ from latewatch.operators.clean import clean, select_model_columns, with_label
 from latewatch.operators.splits import temporal_split
 
 
-# Columns of the driver tables that are read here. A known schema saves a footer-reading job per table.
+# Columns of the test tables that are read here. A known schema saves a footer-reading job per table.
 TABLES = {
     "lineitem": (
         "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
