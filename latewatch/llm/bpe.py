@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.llm.common import groups
+from latewatch.llm.common import groups, text_batches
 
 LONG = 512
 # Encoded pieces that a worker keeps; it starts afresh when the store is full.
@@ -201,4 +201,5 @@ def round_trip(df: DataFrame, rank_path: str, pattern: str, text: str = "text")
             ids = [x for group in groups(texts.tolist()) for x in bpe.encode(group)]
             yield pd.DataFrame({"n_tokens": [len(x) // 4 for x in ids], "ids": ids, "decoded": [bpe.decode(x) for x in ids]})
 
+    text_batches(df.sparkSession)
     return df.withColumn("bpe", run(F.col(text)))

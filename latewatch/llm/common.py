@@ -11,10 +11,19 @@ from latewatch.runtime import scratch_path
 
 # Texts are worked on in groups of about this many characters, so memory follows the longest text, not the batch.
 GROUP_CHARS = 2_000_000
+# Rows of an Arrow batch. Spark's default of 10,000 supposes short rows; with whole texts it would be hundreds of MB a worker.
+BATCH_ROWS = 1_000
 # Tables of ids or hashes up to this many rows (tens of MB) are broadcast.
 BROADCAST_ROWS = 1_000_000
 
 
+def text_batches(spark: SparkSession) -> None:
+    """Let this session send texts to Python workers in batches of ``BATCH_ROWS`` at most (a smaller setting stays)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.llm.common import groups
+from latewatch.llm.common import groups, text_batches
 from latewatch.llm.labelled_pages import PAGES
 
 INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike "
@@ -317,4 +317,5 @@ def extract(df: DataFrame, column: str = "html", out: str = "text") -> DataFrame
         for pages in parts:
             yield pd.Series([t for group in groups(pages.tolist()) for t in main_texts(group, theta, ties)], dtype=object)
 
+    text_batches(df.sparkSession)
     return df.withColumn(out, run(F.col(column)))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.llm.common import crc_mod, groups, written
+from latewatch.llm.common import crc_mod, groups, text_batches, written
 
 END = "\n"  # no word holds white space
 HELD_OUT_MOD, HELD_OUT = 7, 2
@@ -164,6 +164,7 @@ def train(pairs: np.ndarray, counts: np.ndarray, steps: int = 150, rate: float =
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
+    text_batches(spark)
     rows = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("text"))
     training = rows.where(crc_mod("d", HELD_OUT_MOD) != HELD_OUT)
     counts = written(token_counts(training), "token-counts")

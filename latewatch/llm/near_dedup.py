@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from latewatch.llm.common import groups, small, written
+from latewatch.llm.common import groups, small, text_batches, written
 from latewatch.llm.components import components
 
 BANDS, ROWS = 36, 5
@@ -116,18 +116,22 @@ def signatures(df: DataFrame, size: int, text: str = "text") -> DataFrame:
             out["node"] = out["node"].astype("uint64").to_numpy().view("int64")
             yield out
 
+    text_batches(df.sparkSession)
     return df.withColumn("sig", run(F.col(text)))
 
 
-def _sets(size: int, text: str) -> Column:
-    @F.pandas_udf("node long, items binary")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for texts in parts:
-            items = [s.tobytes() for group in groups(texts.tolist()) for s in shingle_sets(group, size)]
-            node = np.array([xxhash.xxh64_intdigest(b) for b in items], np.uint64).view(np.int64)
-            yield pd.DataFrame({"node": node, "items": items})
+def _sets(df: DataFrame, size: int, text: str) -> DataFrame:
+    """(node, items) of each row. A map and not a column: filters on its result must not make Spark compute it again."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for group in groups(part[text].tolist()):
+                items = [s.tobytes() for s in shingle_sets(group, size)]
+                node = np.array([xxhash.xxh64_intdigest(b) for b in items], np.uint64).view(np.int64)
+                yield pd.DataFrame({"node": node, "items": items})
 
-    return run(F.col(text))
+    text_batches(df.sparkSession)
+    return df.select(text).mapInPandas(run, "node long, items binary")
 
 
 @F.pandas_udf(BooleanType())
@@ -199,7 +203,8 @@ def find(docs: DataFrame, size: int = 5, doc_id: str = "doc_id", text: str = "te
     near = written(near, "near-nodes")
 
     ids = small(written(near.select(F.col("rep").alias("r")).distinct(), "near-ids"))
-    needed = rows.join(ids, F.col("d").eqNullSafe(F.col("r")), "left_semi").select(_sets(size, "t").alias("s")).select("s.*")
+    needed = rows.join(ids, F.col("d").eqNullSafe(F.col("r")), "left_semi")
+    needed = _sets(needed, size, "t")
     sets = written(needed.join(near.select("node"), "node", "left_semi").groupBy("node").agg(F.first("items").alias("items")), "sets")
 
     def described(df: DataFrame, column: str, prefix: str, *more: str) -> DataFrame:

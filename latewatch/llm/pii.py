@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.llm.common import written
+from latewatch.llm.common import text_batches, written
 
 KINDS = ("email", "ip", "card", "phone")  # in the order of the contract
 MIN_SUPPORT = 3.0  # distinct instances of a kind (as a sum of confidences) that a pattern needs
@@ -139,6 +139,7 @@ def scan(df: DataFrame, text: str = "text") -> DataFrame:
         for texts in parts:
             yield pd.Series([_instances(t, base_spans(t)) for t in (t or "" for t in texts)], dtype=object)
 
+    text_batches(df.sparkSession)
     return df.withColumn("pii", run(F.col(text)))
 
 

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latewatch.llm.common import crc_mod, hash_sample, written
+from latewatch.llm.common import crc_mod, hash_sample, text_batches, written
 
 SAMPLE = 20_000
 HELD_OUT_MOD = 5
@@ -140,6 +140,7 @@ def with_statistics(df: DataFrame, text: str = "text", out: str = "statistics")
         for texts in parts:
             yield pd.Series([statistics(t) for t in texts], dtype=object)
 
+    text_batches(df.sparkSession)
     return df.withColumn(out, run(F.col(text)))
 
 
