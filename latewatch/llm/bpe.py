@@ -25,7 +25,7 @@ from latewatch.llm.common import groups, text_batches
 
 LONG = 512
 # Encoded pieces that a worker keeps; it starts afresh when the store is full.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 100_000
 _NONE = np.int64(1) << 40
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 

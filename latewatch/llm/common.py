@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from latewatch.runtime import scratch_path
 
 # Texts are worked on in groups of about this many characters, so memory follows the longest text, not the batch.
-GROUP_CHARS = 2_000_000
+GROUP_CHARS = 1_000_000
 # Rows of an Arrow batch. Spark's default of 10,000 supposes short rows; with whole texts it would be hundreds of MB a worker.
 BATCH_ROWS = 1_000
 # Tables of ids or hashes up to this many rows (tens of MB) are broadcast.
