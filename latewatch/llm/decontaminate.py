@@ -5,7 +5,8 @@ names (capitalised words inside a sentence) become typed placeholders whose word
 leaks into a document where windows of ``WINDOW`` template tokens agree. Matching windows on one diagonal (place in the
 document minus place in the item) must have consistent slots: equal values of the item meet equal values of the document, so a
 question with other numbers or names is caught, and chance agreement of placeholders is not; windows with few words of their own need equal
-slots. A pair is reported if at least ``COVER`` of the item's windows match.
+slots. Where one value of the item meets several on a diagonal, the one in most windows counts (of as many the item's own), and only windows
+that contradict it are dropped, never those with the item's own slots. A pair is reported if at least ``COVER`` of the item's windows match.
 
 Everything is built-in functions. Documents are cut into seeds of ``SEED`` tokens at every ``STRIDE``-th place, items at every place: any
 ``WINDOW`` equal tokens hold such a seed, so the hash join of seeds misses nothing and moves a fourth of the windows. Only documents
@@ -114,13 +115,19 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
         .select("d", "k", "b", "n", "item_at", (F.col("at") - F.col("item_at")).alias("diagonal"), "slots", "item_slots"),
         "matched-windows",
     )
-    pairs = matched.select("d", "k", "b", "diagonal", F.explode(F.arrays_zip("item_slots", "slots")).alias("s")).select("d", "k", "b", "diagonal", "s.*").distinct()
-    torn = pairs.groupBy("d", "k", "b", "diagonal", "item_slots").agg(F.count("*").alias("c")).where("c > 1").select(
-        F.col("d").alias("td"), F.col("k").alias("tk"), F.col("b").alias("tb"), F.col("diagonal").alias("tg"),
+    diagonal = ["d", "k", "b", "diagonal"]
+    pairs = matched.select(*diagonal, "item_at", F.explode(F.arrays_zip("item_slots", "slots")).alias("s")).select(*diagonal, "item_at", "s.*").distinct()
+    votes = pairs.groupBy(*diagonal, "item_slots", "slots").agg(F.count("*").alias("c"))
+    most = votes.groupBy(*diagonal, "item_slots").agg(
+        F.count("*").alias("values"), F.max(F.struct("c", (F.col("slots") == F.col("item_slots")).alias("same"), "slots")).alias("m"),
+    ).where("values > 1")
+    torn = most.groupBy(*diagonal).agg(F.map_from_entries(F.collect_list(F.struct("item_slots", "m.slots"))).alias("most")).select(
+        F.col("d").alias("td"), F.col("k").alias("tk"), F.col("b").alias("tb"), F.col("diagonal").alias("tg"), "most",
     )
+    fits = F.forall(F.arrays_zip("item_slots", "slots"), lambda s: F.coalesce(F.col("most")[s["item_slots"]] == s["slots"], F.lit(True)))
     whole = matched.join(
-        torn, F.col("d").eqNullSafe(F.col("td")) & (F.col("k") == F.col("tk")) & F.col("b").eqNullSafe(F.col("tb")) & (F.col("diagonal") == F.col("tg")), "left_anti",
-    )
+        torn, F.col("d").eqNullSafe(F.col("td")) & (F.col("k") == F.col("tk")) & F.col("b").eqNullSafe(F.col("tb")) & (F.col("diagonal") == F.col("tg")), "left",
+    ).where(F.col("most").isNull() | (F.col("slots") == F.col("item_slots")) | fits)
     out = whole.groupBy("d", "k", "b", "n").agg(F.countDistinct("item_at").alias("n_matched"), F.bool_or(F.col("slots") != F.col("item_slots")).alias("changed"))
     return out.where(F.col("n_matched") >= COVER * F.col("n")).select(
         F.col("d").alias(doc_id), F.col("k").alias("text_key"), F.col("b").alias(item_id), F.col("n").alias("n_windows"), "n_matched", "changed",

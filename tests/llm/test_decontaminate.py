@@ -34,6 +34,16 @@ def test_slots_must_be_consistent(spark):
     assert set(got) == {(1, 1)} and got[1, 1].changed
 
 
+def test_one_other_value_does_not_hide_a_copy(spark):
+    """A verbatim copy in which one of two equal values differs keeps its equal windows; so does a re-parameterised one the windows of the value in most of them."""
+    item = f"the library lends a book for 5 days and {FILL} but a film must be brought back within 5 days or the reader pays a fine to the desk near the door"
+    one, other = item.replace("within 5", "within 6"), item.replace("for 5", "for 8").replace("within 5", "within 9")
+    got = leaks(spark, [(1, item, "", 0), (2, one, "", 0), (3, other, "", 0)], [(1, item)])
+    assert set(got) == {(1, 1), (2, 1), (3, 1)}
+    assert not got[1, 1].changed and got[3, 1].changed
+    assert got[2, 1].n_matched >= got[2, 1].n_windows - D.WINDOW
+
+
 def test_any_window_holds_a_seed(spark):
     """Every offset of a short shared passage is found, whatever stands before it."""
     item = "alpha beta gamma delta epsilon zeta eta theta"
