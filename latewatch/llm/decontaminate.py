@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation.
 
 A text becomes a sequence of template tokens: words in lower case without outer punctuation; numbers, units after a number and
-names (capitalised words inside a sentence) become typed placeholders whose words are kept as slot values. A benchmark item
+names (capitalised words inside a sentence) become typed placeholders whose words are kept as slot values. A capitalised word that opens a
+text or a sentence may be a name or not: pairs that do not leak where it is a word are counted again under both readings. A benchmark item
 leaks into a document where windows of ``WINDOW`` template tokens agree. Matching windows on one diagonal (place in the
 document minus place in the item) must have consistent slots: equal values of the item meet equal values of the document, so a
 question with other numbers or names is caught, and chance agreement of placeholders is not; windows with few words of their own need equal
@@ -41,7 +42,7 @@ OUTER = ".,;:!?()[]{}<>\"'`*#$&|_-+=/\\~^@\u2026\u2013\u2014\u00ab\u00bb\u201c\u
 
 
 def tokens(text: Column) -> Column:
-    """Array of (c: template token, r: word) of a text."""
+    """Array of (c: template token, r: word, o: template token if capitalised words that open a sentence are names too) of a text."""
     words = F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+")
 
     def of(raw: Column) -> Column:
@@ -58,7 +59,7 @@ def tokens(text: Column) -> Column:
                 .when((i > 0) & F.substring(F.get(cores, i - 1), 1, 1).between("0", "9") & F.get(cores, i - 1).rlike(_NUMBER) & F.lower(core).isin(UNITS), F.lit(UNIT))
                 .otherwise(F.lower(core))
             )
-            return F.struct(kind.alias("c"), core.alias("r"))
+            return F.struct(kind.alias("c"), core.alias("r"), F.when(F.lower(first) != first, F.lit(NAME)).otherwise(kind).alias("o"))
 
         return F.filter(F.transform(cores, one), lambda x: x["c"] != "")
 
@@ -73,8 +74,14 @@ def _places(n: Column, size: int, step: int) -> Column:
 
 def _seeds(text: Column, step: int) -> Column:
     def of(t: Column) -> Column:
-        words = F.transform(t, lambda x: x["c"])
-        return F.transform(F.array(words), lambda c: F.transform(_places(F.size(c), SEED, step), lambda i: F.xxhash64(F.slice(c, i, SEED))))[0]
+        readings = F.struct(F.transform(t, lambda x: x["c"]).alias("c"), F.transform(t, lambda x: x["o"]).alias("o"))
+        return F.transform(F.array(readings), hashed)[0]
+
+    def hashed(a: Column) -> Column:
+        places = _places(F.size(a["c"]), SEED, step)
+        other = F.filter(places, lambda i: F.slice(a["c"], i, SEED) != F.slice(a["o"], i, SEED))
+        at = lambda p, c: F.transform(p, lambda i: F.xxhash64(F.slice(c, i, SEED)))
+        return F.concat(at(places, a["c"]), at(other, a["o"]))
 
     return F.transform(F.array(tokens(text)), of)[0]
 
@@ -82,11 +89,17 @@ def _seeds(text: Column, step: int) -> Column:
 def _windows(text: Column) -> Column:
     def of(t: Column) -> Column:
         def one(i: Column) -> Column:
-            part = F.slice(t, i, WINDOW)
-            slots = F.transform(F.filter(part, lambda x: x["c"].isin(NUM, UNIT, NAME)), lambda x: F.concat_ws(" ", x["c"], F.lower(x["r"])))
-            return F.struct(i.alias("at"), F.array_join(F.transform(part, lambda x: x["c"]), " ").alias("template"), slots.alias("slots"))
+            return F.transform(F.array(F.slice(t, i, WINDOW)), lambda part: readings(i, part))[0]
+
+        return F.flatten(F.transform(_places(F.size(t), WINDOW, 1), one))
 
-        return F.transform(_places(F.size(t), WINDOW, 1), one)
+    def readings(i: Column, part: Column) -> Column:
+        differ = F.exists(part, lambda x: x["c"] != x["o"])
+        return F.when(differ, F.array(read(i, part, "c"), read(i, part, "o"))).otherwise(F.array(read(i, part, "c")))
+
+    def read(i: Column, part: Column, how: str) -> Column:
+        slots = F.transform(F.filter(part, lambda x: x[how].isin(NUM, UNIT, NAME)), lambda x: F.concat_ws(" ", x[how], F.lower(x["r"])))
+        return F.struct(i.alias("at"), F.array_join(F.transform(part, lambda x: x[how]), " ").alias("template"), slots.alias("slots"), F.lit(how == "o").alias("open"))
 
     return F.transform(F.array(tokens(text)), of)[0]
 
@@ -97,8 +110,8 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
     docs = docs.select(F.col(doc_id).alias("d"), F.col(text).alias("t"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("k"))
     items = items.select(F.col(item_id).alias("b"), F.col(text).alias("t")).distinct()
     item_windows = written(
-        items.select("b", _windows(F.col("t")).alias("w")).select("b", F.size("w").cast("long").alias("n"), F.explode("w").alias("w"))
-        .select("b", "n", F.col("w.at").alias("item_at"), F.col("w.template").alias("template"), F.col("w.slots").alias("item_slots")),
+        items.select("b", _windows(F.col("t")).alias("w")).select("b", F.array_max(F.col("w.at")).cast("long").alias("n"), F.explode("w").alias("w"))
+        .select("b", "n", F.col("w.at").alias("item_at"), F.col("w.template").alias("template"), F.col("w.slots").alias("item_slots"), F.col("w.open").alias("item_open")),
         "benchmark-windows",
     )
     item_seeds = written(
@@ -112,9 +125,19 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
     matched = written(
         found.distinct().select("d", "k", F.explode(_windows(F.col("t"))).alias("w")).select("d", "k", "w.*").join(small(item_windows), "template")
         .where((F.size("slots") <= WINDOW - OWN_WORDS) | (F.col("slots") == F.col("item_slots")))
-        .select("d", "k", "b", "n", "item_at", (F.col("at") - F.col("item_at")).alias("diagonal"), "slots", "item_slots"),
+        .select("d", "k", "b", "n", "item_at", (F.col("at") - F.col("item_at")).alias("diagonal"), "slots", "item_slots", (F.col("open") | F.col("item_open")).alias("open")),
         "matched-windows",
     )
+    stated = _counted(matched.where("NOT open")).withColumn("open", F.lit(False))
+    both = _counted(matched).withColumn("open", F.lit(True))
+    out = stated.unionByName(both).groupBy("d", "k", "b", "n").agg(F.min(F.struct("open", "n_matched", "changed")).alias("m"))
+    return out.select(
+        F.col("d").alias(doc_id), F.col("k").alias("text_key"), F.col("b").alias(item_id), F.col("n").alias("n_windows"), "m.n_matched", "m.changed",
+    )
+
+
+def _counted(matched: DataFrame) -> DataFrame:
+    """The pairs of which enough windows match with consistent slots: d, k, b, n, n_matched, changed."""
     diagonal = ["d", "k", "b", "diagonal"]
     pairs = matched.select(*diagonal, "item_at", F.explode(F.arrays_zip("item_slots", "slots")).alias("s")).select(*diagonal, "item_at", "s.*").distinct()
     votes = pairs.groupBy(*diagonal, "item_slots", "slots").agg(F.count("*").alias("c"))
@@ -129,9 +152,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
         torn, F.col("d").eqNullSafe(F.col("td")) & (F.col("k") == F.col("tk")) & F.col("b").eqNullSafe(F.col("tb")) & (F.col("diagonal") == F.col("tg")), "left",
     ).where(F.col("most").isNull() | (F.col("slots") == F.col("item_slots")) | fits)
     out = whole.groupBy("d", "k", "b", "n").agg(F.countDistinct("item_at").alias("n_matched"), F.bool_or(F.col("slots") != F.col("item_slots")).alias("changed"))
-    return out.where(F.col("n_matched") >= COVER * F.col("n")).select(
-        F.col("d").alias(doc_id), F.col("k").alias("text_key"), F.col("b").alias(item_id), F.col("n").alias("n_windows"), "n_matched", "changed",
-    )
+    return out.where(F.col("n_matched") >= COVER * F.col("n"))
 
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -44,6 +44,15 @@ def test_one_other_value_does_not_hide_a_copy(spark):
     assert got[2, 1].n_matched >= got[2, 1].n_windows - D.WINDOW
 
 
+def test_names_that_open_sentences(spark):
+    item = "Tom buys 3 pens. Ann buys 4 pens. Tom gives Ann 2 pens. How many pens does Tom have?"
+    other = item.replace("Tom", "Max").replace("Ann", "Eva").replace("3", "7").replace("4", "9").replace("2", "5")
+    docs = {1: item, 2: other, 3: f"{FILL}. {other} {FILL}", 4: "Tom likes tea. Ann likes milk. Tom meets Ann at 2 today. How many cups does Tom want?"}
+    got = leaks(spark, [(k, t, "", 0) for k, t in docs.items()], [(1, item)])
+    assert set(got) == {(1, 1), (2, 1), (3, 1)}
+    assert not got[1, 1].changed and got[2, 1].changed and got[2, 1].n_matched == got[2, 1].n_windows == len(item.split()) - D.WINDOW + 1
+
+
 def test_any_window_holds_a_seed(spark):
     """Every offset of a short shared passage is found, whatever stands before it."""
     item = "alpha beta gamma delta epsilon zeta eta theta"
