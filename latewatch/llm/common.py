@@ -13,6 +13,8 @@ from latewatch.runtime import scratch_path
 GROUP_CHARS = 1_000_000
 # Rows of an Arrow batch. Spark's default of 10,000 supposes short rows; with whole texts it would be hundreds of MB a worker.
 BATCH_ROWS = 1_000
+# Any other table is broadcast up to this many bytes, measured.
+BROADCAST_BYTES = 32 * 1024 * 1024
 # Tables of ids or hashes up to this many rows (tens of MB) are broadcast.
 BROADCAST_ROWS = 1_000_000
 
@@ -73,3 +75,12 @@ def small(df: DataFrame, weight=None, limit: int = BROADCAST_ROWS) -> DataFrame:
     arrays); otherwise as it is, for a shuffled join. Both ways give the same rows."""
     n = df.select(F.coalesce(F.sum(weight), F.lit(0)) if weight is not None else F.count("*")).first()[0]
     return F.broadcast(df) if n <= limit else df
+
+
+def fits(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A written table, marked for broadcast if the *measured* bytes of its values (texts by length, 16 for any other value and for each
+    text on top, 32 for a row) are at most ``limit``; otherwise as it is, for a shuffled join. Both ways give the same rows."""
+    texts = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    width = sum(texts, F.lit(32 + 16 * len(df.columns)).cast("long"))
+    size = df.select(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= limit else df
