@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latewatch.llm import bpe, decontaminate, html_content, line_dedup, lm, near_dedup, pii, quality, rules, secret_scan, source_audit
+from latewatch.llm import bpe, decontaminate, html_content, langid, line_dedup, lm, near_dedup, pii, quality, rules, secret_scan, source_audit
 from latewatch.llm.common import table, written
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -83,11 +83,21 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``mixture``: all languages of the text with their shares, the largest first."""
+    out = langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    one = lambda x: F.concat_ws(":", x["lang"], F.format_number(x["share"], 3))
+    return out.select(
+        "doc_id", "held_out", F.col("language.lang_pred").alias("lang_pred"), F.col("language.score").alias("score"),
+        F.array_join(F.transform("language.languages", one), ",").alias("mixture"),
+    )
+
+
 def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op3_decontaminate, op4_line_dedup, op5_lm, op6_quality, op7_near_dedup, op8_secrets, op9_bpe, op10_rules, op12_source_audit)}
+QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op3_decontaminate, op4_line_dedup, op5_lm, op6_quality, op7_near_dedup, op8_secrets, op9_bpe, op10_rules, op11_langid, op12_source_audit)}
 SQL: dict[str, str] = {
     "op3_decontaminate": decontaminate.SQL, "op4_line_dedup": line_dedup.SQL, "op7_near_dedup": near_dedup.SQL,
     "op12_source_audit": source_audit.SQL,
