@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latewatch.llm import bpe, decontaminate, html_content, langid, line_dedup, lm, near_dedup, pii, quality, rules, secret_scan, source_audit
+from latewatch.llm import bpe, decontaminate, html_content, langid, line_dedup, lm, near_dedup, pii, quality, rules, secret_scan, source_audit, token_align
 from latewatch.llm.common import table, written
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
+ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,7 +98,11 @@ def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op3_decontaminate, op4_line_dedup, op5_lm, op6_quality, op7_near_dedup, op8_secrets, op9_bpe, op10_rules, op11_langid, op12_source_audit)}
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.compare(table(spark, sf_dir, "documents"), public_tokenizers.path(ALIGNED[0]), public_tokenizers.path(ALIGNED[1]))
+
+
+QUERIES = {f.__name__: f for f in (op1_html_content, op2_pii, op3_decontaminate, op4_line_dedup, op5_lm, op6_quality, op7_near_dedup, op8_secrets, op9_bpe, op10_rules, op11_langid, op12_source_audit, op13_token_align)}
 SQL: dict[str, str] = {
     "op3_decontaminate": decontaminate.SQL, "op4_line_dedup": line_dedup.SQL, "op7_near_dedup": near_dedup.SQL,
     "op12_source_audit": source_audit.SQL,
