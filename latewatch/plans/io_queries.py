@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,14 +12,16 @@ from latewatch.operators import metrics as mt
 from latewatch.operators import monitor as mo
 from latewatch.operators.profile import prediction_summary
 from latewatch.operators.matrix import add_distance_features, add_temporal_features, select_matrix
-from latewatch.plans.model_queries import _ACC, _F1, _FOUR, _PREC, _REC, _RUNS, _confusion_sql, _evaluate_ctes, _runs
+from latewatch.plans.model_queries import _ACC, _F1, _FOUR, _PREC, _REC, _RUNS, _evaluate_ctes, _printed, _runs
 from latewatch.plans.registry import query, rounded
-from latewatch.plans.tables import FEATURED, FLIGHTS, LABELLED, SCORED, flights, labelled, scored, table
-from latewatch.runtime import scratch_path
-from latewatch.schemas import AIRPORT_COLUMNS, FEATURE_SETS, FLIGHT_COLUMNS, matrix_schema
+from latewatch.plans.tables import FEATURED, FLIGHTS, LABELLED, SCORED, TRUTH, flights, labelled, scored, table, truth
+from latewatch.runtime import pin, scratch_path
+from latewatch.schemas import AIRPORT_COLUMNS, FEATURE_SETS, FLIGHT_COLUMNS, matrix_schema, schema_of
 from latewatch.sources import catalog, readers, writers
-from latewatch.streaming import quality_stream, run_available, scored_stream, truth_stream
-from latewatch.streaming.streams import SCORED_SCHEMA, with_open_windows
+from latewatch.streaming import (
+    alarm_stream, close_input, close_truth, coverage_stream, match_stream, matches_stream, quality_stream, run_available, scored_stream, truth_stream,
+    window_quality_stream,
+)
 
 # ---------------------------------------------------------------- files
 
@@ -247,12 +251,15 @@ _UPLOADS = f"""{SCORED}, uploads AS (
   FROM scored)"""
 
 
-def _write_uploads(spark: SparkSession, sf: str) -> str:
+def _uploads(spark: SparkSession, sf: str) -> DataFrame:
     days = F.when(F.col("seq") % 53 == 0, 4).otherwise(1)
     offset = F.make_dt_interval(days=days, secs=F.pmod(F.col("seq") * 7919, F.lit(86400)).cast("decimal(18,6)"))
-    rows = scored(spark, sf).withColumn("at", F.date_trunc("day", "ts").cast("timestamp_ntz") + offset)
+    return scored(spark, sf).withColumn("at", F.date_trunc("day", "ts").cast("timestamp_ntz") + offset).select("id", "label", "at")
+
+
+def _write_uploads(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "ground-truth")
-    writers.write_ground_truth_table(rows.select("id", "label", "at"), path, "at")
+    writers.write_ground_truth_table(_uploads(spark, sf), path, "at")
     return path
 
 
@@ -263,44 +270,147 @@ def io_ground_truth(spark, sf):
     return truth.withColumn("truth_ts", F.date_format("truth_ts", "yyyy-MM-dd HH:mm:ss"))
 
 
-def _streamed_quality(spark: SparkSession, sf: str) -> DataFrame:
-    source, out, state = (scratch_path(spark, f"stream-{p}") for p in ("scored", "out", "state"))
-    uploads = _write_uploads(spark, sf)
-    scored(spark, sf).select("id", F.col("ts").cast("timestamp").alias("ts"), "probability").write.parquet(source)
-    quality = quality_stream(scored_stream(spark, source, fmt="parquet"), truth_stream(spark, uploads), "1 day", "2 days")
-    run_available(quality, out, state, state_partitions=spark.sparkContext.defaultParallelism)
-    whole = quality_stream(
-        spark.read.schema(SCORED_SCHEMA).parquet(source), readers.read_ground_truth(spark, uploads), "1 day", "2 days"
-    )
-    return with_open_windows(spark.read.schema(quality.schema).parquet(out), whole)
+# All test times lie years before these; a row at such a time ends an input, so that the watermark passes everything before it. With two of them
+# the rows of the first are matched and emitted themselves, and end whatever reads the output.
+_ENDS = (datetime(2040, 1, 1, tzinfo=timezone.utc), datetime(2041, 1, 1, tzinfo=timezone.utc))
+
+
+def _stream_to(spark: SparkSession, stream: DataFrame, name: str) -> str:
+    """Folder of what a stream emits from all data present. Nothing is added to it: a stream that emits nothing gives no rows."""
+    out, state = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-state")
+    run_available(stream, out, state, state_partitions=spark.sparkContext.defaultParallelism)
+    return out
+
 
+def _emitted(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+    return spark.read.schema(stream.schema).parquet(_stream_to(spark, stream, name))
 
-# A window is emitted once the watermark (an hour behind the slower stream) rules out any further match for it; the last ones,
-# still open when the input ends, come from the batch evaluation.
+
+def _scored_folder(spark: SparkSession, rows: DataFrame, name: str, ends: int = 1) -> str:
+    path = scratch_path(spark, name)
+    rows.write.parquet(path)
+    for at in _ENDS[:ends]:
+        close_input(spark, path, rows.schema, at)
+    return path
+
+
+def _truth_folder(spark: SparkSession, rows: DataFrame, name: str, ends: int = 1) -> str:
+    path = scratch_path(spark, name)
+    writers.write_ground_truth_table(rows, path, "truth_ts", by_hour=False)
+    for at in _ENDS[:ends]:
+        close_truth(spark, path, at)
+    return path
+
+
+def _at(column: str = "ts"):
+    return F.col(column).cast("timestamp").alias(column)
+
+
+# A window is emitted once the watermark (an hour behind the slower stream) rules out any further match for it.
 @query("stream_quality", f"""
 WITH {_UPLOADS}, joined AS (
   SELECT date_trunc('day', s.ts) AS window_start, probability, u.label FROM scored AS s JOIN uploads AS u
     ON s.id = u.id AND u.truth_ts >= s.ts AND u.truth_ts <= s.ts + INTERVAL 2 DAY),
-c AS ({_confusion_sql('joined', 'window_start')})
-SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, {_FOUR}, {_ACC} AS accuracy, {_PREC} AS precision,
-  {_REC} AS recall, {_F1} AS f1_score FROM c""")
+{_evaluate_ctes('joined', 'window_start')}
+SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, {_FOUR}, accuracy, precision, recall, f1_score, auc,
+  CAST(0 AS DOUBLE) AS auc_error FROM evaluated""")
 def stream_quality(spark, sf):
-    """Scored rows and late labels as streams, joined and evaluated per day, windows as Parquet files; all windows."""
-    closed = rounded(_streamed_quality(spark, sf))
-    return closed.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+    """Scored rows and late labels as streams, joined and evaluated per day with AUC; windows as Parquet files."""
+    rows = scored(spark, sf).select("id", _at(), "probability")
+    uploads = _truth_folder(spark, _uploads(spark, sf).withColumnRenamed("at", "truth_ts"), "stream-truth")
+    source = _scored_folder(spark, rows, "stream-scored")
+    quality = quality_stream(scored_stream(spark, source, fmt="parquet"), truth_stream(spark, uploads), "1 day", "2 days")
+    return _printed(rounded(_emitted(spark, quality, "quality")), "window_start")
 
 
 @query("stream_summary_live", f"""
 WITH {SCORED} SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start, version, COUNT(*) AS n,
   round(AVG(CASE WHEN probability >= 0.5 THEN 1 ELSE 0 END) * 100, 6) AS predicted_rate FROM scored GROUP BY 1, 2""")
 def stream_summary_live(spark, sf):
-    """Rows and predicted rate per day and version as a stream; the windows that are open at its end from the batch frame."""
-    source, out, state = (scratch_path(spark, f"summary-{p}") for p in ("scored", "out", "state"))
-    rows = scored(spark, sf).select("id", F.col("ts").cast("timestamp").alias("ts"), "probability", "version")
-    rows.write.parquet(source)
-    batch = spark.read.schema(rows.schema).parquet(source)
+    """Rows and predicted rate per day and version as a stream."""
+    rows = scored(spark, sf).select("id", _at(), "probability", "version")
+    source = _scored_folder(spark, rows, "summary-scored")
     summary = mo.stream_summary(scored_stream(spark, source, rows.schema, "parquet"), label=None, by=["version"])
-    run_available(summary, out, state, state_partitions=spark.sparkContext.defaultParallelism)
-    whole = mo.stream_summary(batch, label=None, by=["version"])
-    every = rounded(with_open_windows(spark.read.schema(summary.schema).parquet(out), whole, ("version",)))
-    return every.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+    return _printed(rounded(_emitted(spark, summary, "summary")), "window_start")
+
+
+# Five hundred ids used again and again by both versions; the truth of a run comes within two hours, late, or never.
+_REUSED = f"""{TRUTH}, s AS (SELECT CAST(seq % 500 AS VARCHAR) AS id, ts, version, min(probability) AS probability FROM scored GROUP BY ALL),
+t AS (SELECT DISTINCT CAST(CAST(id AS BIGINT) % 500 AS VARCHAR) AS id, label, truth_ts FROM truth),
+m AS (SELECT s.*, t.label, t.truth_ts FROM t JOIN s ON s.id = t.id AND t.truth_ts >= s.ts AND t.truth_ts <= s.ts + INTERVAL 2 DAY
+  QUALIFY row_number() OVER (PARTITION BY t.id, t.label, t.truth_ts ORDER BY s.ts DESC, s.version DESC, s.probability DESC) = 1)"""
+
+
+def _reused(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    rows = scored(spark, sf).groupBy(F.pmod("seq", F.lit(500)).cast("string").alias("id"), _at(), "version").agg(F.min("probability").alias("probability"))
+    labels = truth(spark, sf).select(F.pmod(F.col("id").cast("bigint"), F.lit(500)).cast("string").alias("id"), "label", "truth_ts")
+    return rows, labels
+
+
+def _matches(spark: SparkSession, sf: str) -> tuple[str, DataFrame, str]:
+    """Folder and frame of the scored rows, and the folder to which a stream has written their matches."""
+    rows, labels = _reused(spark, sf)
+    source, uploads = _scored_folder(spark, rows, "reused-scored", 2), _truth_folder(spark, labels, "reused-truth", 2)
+    stream = match_stream(scored_stream(spark, source, rows.schema, "parquet"), truth_stream(spark, uploads), "2 days")
+    return source, rows, _stream_to(spark, stream, "matches")
+
+
+_MATCH_SCHEMA = schema_of({"id": "string", "ts": "timestamp", "version": "int", "probability": "double", "truth_ts": "timestamp", "label": "int"})
+
+
+@query("stream_latest_match", f"""
+WITH {_REUSED} SELECT id, version, label, probability, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, strftime(truth_ts, '%Y-%m-%d %H:%M:%S') AS truth_ts FROM m""")
+def stream_latest_match(spark, sf):
+    """Each truth row of a stream with the latest scored row before it, although ids restart."""
+    matches = spark.read.schema(_MATCH_SCHEMA).parquet(_matches(spark, sf)[2])
+    return _printed(matches.where("id <> ''"), "ts", "truth_ts")
+
+
+@query("stream_latest_quality", f"""
+WITH {_REUSED}, days AS (SELECT date_trunc('day', ts) AS window_start, version, probability, label FROM m),
+{_evaluate_ctes('days', 'window_start, version')}
+SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, version, {_FOUR}, accuracy, precision, recall, f1_score, auc FROM evaluated""")
+def stream_latest_quality(spark, sf):
+    """The written matches as a stream of their own, evaluated per day and version."""
+    quality = window_quality_stream(matches_stream(spark, _matches(spark, sf)[2], _MATCH_SCHEMA, "2 days"), "1 day", by=["version"])
+    return _printed(rounded(_emitted(spark, quality, "latest-quality")), "window_start").drop("auc_error")
+
+
+@query("stream_coverage", f"""
+WITH {_REUSED}, first AS (SELECT id, ts, version, probability, min(truth_ts) AS truth_ts FROM m GROUP BY ALL)
+SELECT strftime(date_trunc('day', s.ts), '%Y-%m-%d %H:%M:%S') AS window_start, s.version, COUNT(*) AS n_scored,
+  COUNT(*) FILTER (truth_ts <= s.ts + INTERVAL 1 HOUR) AS n_matched, COUNT(*) FILTER (truth_ts > s.ts + INTERVAL 1 HOUR) AS n_late,
+  COUNT(*) FILTER (truth_ts IS NULL) AS n_unmatched
+FROM s LEFT JOIN first AS f ON s.id = f.id AND s.ts = f.ts AND s.version = f.version AND s.probability = f.probability GROUP BY ALL""")
+def stream_coverage(spark, sf):
+    """Scored rows per day and version: with truth within an hour, with truth within two days, and without."""
+    source, rows, matches = _matches(spark, sf)
+    covered = coverage_stream(
+        scored_stream(spark, source, rows.schema, "parquet"), matches_stream(spark, matches, _MATCH_SCHEMA, "2 days"), "1 day", "1 hour", ["version"])
+    return _printed(_emitted(spark, covered, "coverage"), "window_start")
+
+
+# The metrics of ten-minute windows end three hours after the last of all groups: up to there every period of a group has a state.
+_ALARMS = f"""{SCORED}, slots AS (SELECT time_bucket(INTERVAL 10 MINUTE, ts) AS window_start, segment, probability, label FROM scored),
+{_evaluate_ctes('slots', 'window_start, segment')},
+avgs AS (SELECT segment, time_bucket(INTERVAL 30 MINUTE, window_start) AS period_start, AVG(f1_score) AS average FROM evaluated GROUP BY ALL),
+ends AS (SELECT time_bucket(INTERVAL 30 MINUTE, max(window_start) + INTERVAL 3 HOUR) AS ended FROM evaluated),
+spine AS (SELECT segment, unnest(generate_series(min(period_start), any_value(ended) - INTERVAL 30 MINUTE, INTERVAL 30 MINUTE)) AS period_start
+  FROM avgs, ends GROUP BY segment)"""
+
+
+@query("stream_alarm", f"""
+WITH {_ALARMS} SELECT segment, strftime(period_start, '%Y-%m-%d %H:%M:%S') AS period_start, round(average, 6) AS average, coalesce(average <= 0.4, true) AS in_alarm
+FROM spine LEFT JOIN avgs USING (segment, period_start)""")
+def stream_alarm(spark, sf):
+    """Half-hour alarm states per segment from a stream of ten-minute metrics; a period without data alarms when it has passed."""
+    slots = rounded(mo.evaluate_windows(scored(spark, sf), "10 minutes", ["segment"])).select("window_start", "segment", "f1_score")
+    slots = pin(slots.withColumn("window_start", F.col("window_start").cast("timestamp")))
+    path = scratch_path(spark, "alarm-metrics")
+    slots.write.parquet(path)
+    end = slots.agg(F.unix_micros(F.max("window_start"))).first()[0]
+    if end is not None:  # a metric of a group '' ends the stream at this time
+        close_input(spark, path, slots.schema, datetime.fromtimestamp(end / 1e6 + 3 * 3600, timezone.utc), "window_start")
+    metrics = spark.readStream.schema(slots.schema).parquet(path).withWatermark("window_start", "0 seconds")
+    states = alarm_stream(metrics, 1800, 0.4, by=["segment"])
+    return _printed(rounded(_emitted(spark, states, "alarm")), "period_start")

@@ -104,17 +104,18 @@ def write_ground_truth(
 
 
 def write_ground_truth_table(
-    df: DataFrame, directory: str, ts: str, id: str = "id", label: str = "label", if_exists: str = "append"
+    df: DataFrame, directory: str, ts: str, id: str = "id", label: str = "label", if_exists: str = "append", by_hour: bool = True
 ) -> None:
     """Labels of many uploads in one job; the readers accept both layouts.
 
-    Folders are the day and hour (UTC) of ``ts``, for pruning only; each record keeps the full time.
+    Folders are the day and hour (UTC) of ``ts``, or the day alone, for pruning only; each record keeps the full time.
     """
+    folders = ["upload_date", "upload_hour"] if by_hour else ["upload_date"]
     rows = df.select(
         truth_struct(label, id).alias("t"), F.unix_micros(F.col(ts).cast("timestamp")).alias("uploadMicros"),
         format_utc(ts, "yyyy-MM-dd").alias("upload_date"), format_utc(ts, "HH").alias("upload_hour"),
     )
     # few files per folder, and an hour with very many labels is still written in parallel
-    rows = rows.select("t.*", "uploadMicros", "upload_date", "upload_hour").hint("rebalance", "upload_date", "upload_hour")
+    rows = rows.select("t.*", "uploadMicros", *folders).hint("rebalance", *folders)
     writer = _writer(rows, if_exists)
-    writer.partitionBy("upload_date", "upload_hour").json(directory)
+    writer.partitionBy(*folders).json(directory)

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from datetime import datetime
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
 from latewatch.operators.metrics import metrics_from_counts
 from latewatch.operators.model import score
+from latewatch.operators.monitor import _seconds
 from latewatch.schemas import TRUTH_SCHEMA, schema_of
 from latewatch.sources.readers import flatten_truth
+from latewatch.sources.writers import write_ground_truth
 
 SCORED_SCHEMA = schema_of({"id": "string", "ts": "timestamp", "probability": "double"})
 
@@ -68,29 +73,147 @@ def join_streams(scored: DataFrame, truth: DataFrame, max_delay: str = "1 day",
     return scored.join(t, on, "inner").drop("_id", "_salt", "_salt_r")
 
 
+def match_stream(
+    scored: DataFrame, truth: DataFrame, max_delay: str = "1 day", salts: int = STATE_SALTS, ts: str = "ts", truth_ts: str = "truth_ts",
+) -> DataFrame:
+    """Each truth row with the latest scored row before it, as ``join_ground_truth`` pairs them in a batch. Use append mode.
+
+    Two stateful steps in one query: the join within ``max_delay``, then the greatest scored row per truth row, which is emitted once the watermark
+    rules out a later one (``max_delay`` behind the slower stream's). State: rows inside the time range, and one row per truth row
+    that is still open. Equal truth rows count once.
+    """
+    own, others = list(scored.columns), [c for c in truth.columns if c != "id"]
+    row = F.struct(F.col(ts).alias("_ts"), F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"))
+    renamed = truth.withColumnsRenamed({c: f"_t_{c}" for c in others if c in own and c != truth_ts})
+    pairs = join_streams(scored, renamed, max_delay, salts)
+    last = pairs.groupBy("id", *[c for c in renamed.columns if c != "id"]).agg(F.max(row).alias("_last"))
+    return last.select("_last._row.*", *[F.col(f"`{c}`") for c in renamed.columns if c != "id"])
+
+
+def matches_stream(
+    spark: SparkSession, path: str, schema: T.StructType, max_delay: str, watermark: str = "1 hour", ts: str = "ts",
+    max_files_per_trigger: int | None = None,
+) -> DataFrame:
+    """The written output of ``match_stream`` as a stream by scored time.
+
+    A match is written up to ``max_delay`` after its scored row, so that much is added to the watermark: nothing that ``match_stream`` still writes
+    is late here.
+    """
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path).withWatermark(ts, f"{_seconds(max_delay) + _seconds(watermark)} seconds")
+
+
+# Scores are counted in this many cells between 0 and 1: those printed to three digits have a cell each.
+SCORE_CELLS = 1000
+
+
+def auc_of_cells(cells: Column) -> Column:
+    """``auc`` and ``auc_error`` of an array of structs (cell, pos, neg, low, high), one per cell of scores.
+
+    A pair of rows in one cell counts one half. That is exact where the cell holds a single score; elsewhere the truth differs by at most one
+    half of its pairs, which ``auc_error`` adds up. Both are NULL if a class is absent.
+    """
+    zero = F.struct(*[F.lit(0.0).alias(c) for c in ("below", "won", "doubt", "p")])
+
+    def step(a: Column, x: Column) -> Column:
+        pairs = x["pos"] * x["neg"] / F.lit(2.0)
+        return F.struct(
+            (a["below"] + x["neg"]).alias("below"), (a["won"] + x["pos"] * a["below"] + pairs).alias("won"),
+            (a["doubt"] + F.when(x["low"] < x["high"], pairs).otherwise(0.0)).alias("doubt"), (a["p"] + x["pos"]).alias("p"),
+        )
+
+    def share(a: Column) -> Column:
+        pairs = F.nullif(a["p"] * a["below"], F.lit(0.0))
+        return F.struct((a["won"] / pairs).alias("auc"), (a["doubt"] / pairs).alias("auc_error"))
+
+    return F.aggregate(F.array_sort(cells), zero, step, share)
+
+
+def window_quality_stream(
+    joined: DataFrame, every: str = "1 hour", threshold: float = 0.5, by: Sequence[str] = (), ts: str = "ts", score: str = "probability",
+    label: str = "label", cells: int = SCORE_CELLS,
+) -> DataFrame:
+    """Confusion counts, metrics and AUC of rows with score and label, per tumbling window (and group). Use append mode; works on batch frames, too.
+
+    Two stateful steps: rows are counted per window and cell of scores, then the at most ``cells`` + 1 counts of a window become one row. Counts of the
+    threshold are exact; ``auc_error`` bounds what the cells cost the AUC (0 if no cell holds two scores, as with scores printed to three digits).
+    """
+    s, real = F.col(score), F.col(label) == 1
+    hit = s >= threshold
+    usable = joined.where(s.isNotNull() & F.col(label).isNotNull())
+    counted = usable.groupBy(F.window(ts, every).alias("_w"), *by, F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), s)) * cells).cast("int").alias("_cell")).agg(
+        F.count_if(real).alias("_pos"), F.count_if(~real).alias("_neg"), F.count_if(hit & real).alias("_tp"), F.count_if(hit & ~real).alias("_fp"),
+        F.min(s).alias("_low"), F.max(s).alias("_high"),
+    )
+    cell = F.struct(*[F.col(f"_{c}").alias(c) for c in ("cell", "pos", "neg", "low", "high")])
+    whole = counted.groupBy("_w", *by).agg(
+        (F.sum("_neg") - F.sum("_fp")).alias("true_negative"), F.sum("_fp").alias("false_positive"),
+        (F.sum("_pos") - F.sum("_tp")).alias("false_negative"), F.sum("_tp").alias("true_positive"), F.collect_list(cell).alias("_cells"),
+    )
+    out = metrics_from_counts(whole.withColumn("_auc", auc_of_cells(F.col("_cells"))))
+    return out.select(*[c for c in out.columns if not c.startswith("_")], "_auc.auc", "_auc.auc_error", F.col("_w.start").alias("window_start"))
+
+
 def quality_stream(
     scored: DataFrame, truth: DataFrame, every: str = "1 hour", max_delay: str = "1 day", threshold: float = 0.5,
     salts: int = STATE_SALTS, by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Confusion counts and metrics per tumbling window of the scored time (and group). Use append mode.
+    """``window_quality_stream`` of the joined streams, in one query. A truth row counts for every scored row in range; where ids are used
+    again, write ``match_stream`` and evaluate ``matches_stream``.
 
-    State: unmatched rows inside the time range and one row of counts per open window. AUC needs the scores of a whole
-    window and is left to the batch evaluation.
+    State: unmatched rows inside the time range, and the cell counts of open windows.
     """
-    hit, real = F.col("probability") >= threshold, F.col("label") == 1
-    counts = join_streams(scored, truth, max_delay, salts).groupBy(F.window("ts", every).alias("_w"), *by).agg(
-        F.count_if(~hit & ~real).alias("true_negative"),
-        F.count_if(hit & ~real).alias("false_positive"),
-        F.count_if(~hit & real).alias("false_negative"),
-        F.count_if(hit & real).alias("true_positive"),
+    return window_quality_stream(join_streams(scored, truth, max_delay, salts), every, threshold, by)
+
+
+MATCHED, LATE, UNMATCHED = "matched", "late", "unmatched"
+
+
+def status_stream(scored: DataFrame, matches: DataFrame, max_delay: str = "1 day", ts: str = "ts", truth_ts: str = "truth_ts") -> DataFrame:
+    """Every scored row with ``truth_ts`` of the first truth that belongs to it and its ``status``: matched within ``max_delay``, late, or unmatched.
+
+    ``matches`` is a ``matches_stream`` of matches within a longer time: how long truth is waited for. Its watermark releases the scored
+    rows without truth: a left outer join on the whole row, after one match per scored row is kept. Equal scored rows share their truth. A row that
+    is found unmatched stays so, as all that could match it has been written before. Use append mode.
+    """
+    own = list(scored.columns)
+    key = F.xxhash64(*[F.col(f"`{c}`") for c in own])
+    first = matches.withColumn("_key_m", key).groupBy(F.col("id").alias("_id_m"), F.col(ts).alias("_ts_m"), "_key_m").agg(F.min(truth_ts).alias(truth_ts))
+    on = (F.col("id") == F.col("_id_m")) & (F.col(ts) == F.col("_ts_m")) & (F.col("_key") == F.col("_key_m"))
+    joined = scored.withColumn("_key", key).join(first, on, "left_outer")
+    known = F.when(F.col(truth_ts) <= F.col(ts) + F.expr(f"INTERVAL {max_delay}"), MATCHED).otherwise(LATE)
+    return joined.select(*own, truth_ts, F.when(F.col(truth_ts).isNull(), UNMATCHED).otherwise(known).alias("status"))
+
+
+def coverage_stream(
+    scored: DataFrame, matches: DataFrame, every: str = "1 hour", max_delay: str = "1 day", by: Sequence[str] = (), ts: str = "ts",
+) -> DataFrame:
+    """Per window (and group): all scored rows, and how many are matched, late and unmatched, which add up to them. Use append mode."""
+    rows = status_stream(scored, matches, max_delay, ts)
+    counts = rows.groupBy(F.window(ts, every).alias("_w"), *by).agg(
+        F.count("*").alias("n_scored"), *[F.count_if(F.col("status") == s).alias(f"n_{s}") for s in (MATCHED, LATE, UNMATCHED)]
     )
-    return metrics_from_counts(counts).withColumn("window_start", F.col("_w.start")).drop("_w")
+    return counts.select(F.col("_w.start").alias("window_start"), *by, *[c for c in counts.columns if c.startswith("n_")])
+
+
+def close_input(spark: SparkSession, path: str, schema: T.StructType, at: datetime, ts: str = "ts") -> None:
+    """End a folder of Parquet files that a stream reads: one more row at the time ``at``, with '' and 0 in all other columns. The watermark then
+    passes all before it, so that every window is emitted; its own never is.
+
+    A filter that this row does not pass (Spark moves filters, and the test of a join key for NULL, below the watermark) would keep it from the watermark.
+    """
+    plain = {T.StringType(): "", T.TimestampType(): at}
+    row = spark.range(1).select(*[
+        F.lit(at if f.name == ts else plain.get(f.dataType, 0)).cast(f.dataType).alias(f.name) for f in schema
+    ])
+    row.write.mode("append").parquet(path)
 
 
-def with_open_windows(closed: DataFrame, every_window: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """All windows of an input that has ended: those a stream has emitted, and the rest from a batch evaluation of the same
-    frames (``quality_stream`` of batch readers)."""
-    return closed.unionByName(every_window.join(closed.select("window_start", *by), ["window_start", *by], "left_anti"))
+def close_truth(spark: SparkSession, directory: str, at: datetime) -> None:
+    """The same for a folder of ground truth: an upload at ``at`` (UTC) with id '' and label 0."""
+    write_ground_truth(spark.range(1).selectExpr("'' AS id", "0 AS label"), directory, at)
 
 
 def run_available(
