@@ -6,10 +6,10 @@ occurrences and documents per group and term) turn ``SLICE_BYTES`` of text into
 keeps the terms of at least ``LEAST_DOCS`` of its documents. Shares are whole numbers of 1e-9, from long division in steps
 of 1,000, so nothing is rounded and nothing overflows below 9e15 terms.
 
-For the sums over pairs of sources the kept terms of a language are dealt by hash into columnar shards, and its sources into blocks of about
-``BLOCK``. A shard with two blocks is one matrix of about ``CELLS`` shares, which gives the partial sums of its pairs; these are added up, and
-terms that neither source has are added by their number. A language with one block, the
-usual case, sends each count once. No group is larger than such a matrix, however many rows a source or a language holds.
+For the sums over pairs of sources the kept terms of a language are dealt by hash into columnar shards of about ``TERMS``, and its sources into
+blocks of about ``BLOCK``. A shard with two blocks is one matrix of shares, which gives the partial sums of its pairs; these are added up, and
+terms that neither source has are added by their number. A language with one block, the usual case, sends each count once. No group is
+larger than such a matrix, however many rows a source or a language holds.
 
 Null text, language and source are ''. Empty texts have no terms, but their group counts as one that occurs. Repeated rows are documents of
 their own; ids are not read. Ties are ranked by item. Without kept terms all pair values are 0; a language with one source has no pairs.
@@ -34,7 +34,7 @@ PRIOR = 5
 TOP_TERMS = 50
 SLICE_BYTES = 16_000_000
 BLOCK = 500
-CELLS = 4_000_000
+TERMS = 1_000
 COUNTS = "lang string, source string, term string, n long, docs long"
 
 
@@ -161,7 +161,7 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
         df = df.withColumn("block", F.pmod(F.xxhash64("source"), blocks).cast("int")).withColumn("x", F.explode(F.sequence(F.lit(0), blocks - 1)))
         return df.select("lang", shard.alias("shard"), F.least("block", "x").alias("low"), F.greatest("block", "x").alias("high"), "block", "source", "term", "p")
 
-    shards = F.greatest(F.lit(1), F.ceil(F.col("v") * F.least(F.col("s"), F.lit(2 * BLOCK)) / CELLS)).cast("int")
+    shards = F.greatest(F.lit(1), F.ceil(F.col("v") / TERMS)).cast("int")
     absent = F.when(F.col("v") > 0, share(F.lit(0).cast("long"), F.col("total"), F.greatest(F.col("v"), F.lit(1)))).otherwise(0)
     frames = marks.where("s > 1").select("lang", "source", "s", "v", F.lit("").alias("term"), absent.alias("p"))
     frames = frames.withColumn("shard", F.explode(F.sequence(F.lit(0), shards - 1)))

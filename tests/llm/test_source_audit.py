@@ -51,10 +51,10 @@ def made(n, sources, seed=3):
     return out + [(None, None, None), ("", "", "x"), ("only one", "xx", "s"), ("123", "none", "a"), ("", "none", "b"), (None, "en", "empty"), ("A" * 50_000 + " the", "en", "s1")]
 
 
-@pytest.mark.parametrize("block, cells, slice_bytes", [(500, 4_000_000, 16_000_000), (3, 40, 300), (1, 5, 1)])
-def test_brute_force(spark, monkeypatch, block, cells, slice_bytes):
+@pytest.mark.parametrize("block, terms, slice_bytes", [(500, 1000, 16_000_000), (3, 5, 300), (1, 1, 1)])
+def test_brute_force(spark, monkeypatch, block, terms, slice_bytes):
     monkeypatch.setattr(source_audit, "BLOCK", block)
-    monkeypatch.setattr(source_audit, "CELLS", cells)
+    monkeypatch.setattr(source_audit, "TERMS", terms)
     docs = made(300, 8)
     df = spark.createDataFrame([(*d, "x", "y", 7) for d in docs], SCHEMA).repartition(5)
     assert rows(source_audit.audit(df, least_docs=5, top=4)) == brute(docs, 5, 4)
