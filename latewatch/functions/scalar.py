@@ -200,3 +200,9 @@ def truth_time(path: ColumnLike) -> Column:
         return F.try_make_timestamp(*parts, F.lit("UTC"))
 
     return F.coalesce(stamp(TRUTH_PATH_PATTERN, 6), stamp(TRUTH_HOUR_PATTERN, 4))
+
+
+def whole_number(text: ColumnLike, kind: str = "int") -> Column:
+    """Text as an ``int`` or ``bigint`` if it is a whole number that fits, else NULL. No digit is lost on the way: a decimal holds any bigint."""
+    number = _col(text).try_cast("decimal(38,18)")
+    return F.when(number == F.floor(number), number.try_cast(kind))

@@ -126,6 +126,61 @@ class KeyStatistics:
         return df
 
 
+@dataclass
+class StatisticsHistory:
+    """Key statistics of separate versions (days, months, uploads) in one folder, a partition each. Sums merge, so what is current needs
+    the saved sums only, never the rows behind them.
+
+    ``add`` fits one version and replaces it alone, also if it is added again; ``remove`` takes one out. ``current`` adds up the versions from ``since`` to ``until``
+    (inclusive, in text order), reading their partitions only; it equals a fit on all their rows together.
+    """
+
+    spark: SparkSession
+    path: str
+    keys: Sequence[str]
+    label: str = "DELAYED"
+
+    def add(self, version: str, rows: DataFrame) -> None:
+        KeyStatistics.fit(rows, self.keys, self.label).table.write.mode("overwrite").parquet(self._folder(version))
+
+    def add_all(self, rows: DataFrame, version: Column) -> None:
+        """Many versions from one pass: rows carry their version, and only the versions that occur are replaced."""
+        keys = list(dict.fromkeys(self.keys))
+        versioned = rows.withColumn("_version", version.cast("string"))
+        sets = [[F.col("_version"), F.col(k)] for k in keys] + [[F.col("_version")]]
+        grouped = versioned.groupingSets(sets, F.col("_version"), *[F.col(k) for k in keys]).agg(
+            F.grouping_id().alias("_gid"), F.sum(F.col(self.label).cast("bigint")).alias("positives"), F.count(self.label).alias("n"),
+        )
+        name, value = _which_set(keys, TOTAL)
+        table = grouped.select(name.alias("key_name"), value.alias("key"), "positives", "n", F.col("_version").alias("version"))
+        table = table.where((F.col("key_name") == TOTAL) | F.col("key").isNotNull())
+        table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("version").parquet(self.path)
+
+    def remove(self, version: str) -> bool:
+        """Take a version out; whether there was one."""
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(self._folder(version))
+        return folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def saved(self) -> DataFrame:
+        schema = "key_name string, key string, positives bigint, n bigint, version string"
+        return self.spark.read.schema(schema).parquet(self.path)
+
+    def current(self, since: str | None = None, until: str | None = None) -> KeyStatistics:
+        table = self.saved()
+        if since is not None:
+            table = table.where(F.col("version") >= since)
+        if until is not None:
+            table = table.where(F.col("version") <= until)
+        merged = table.groupBy("key_name", "key").agg(F.sum("positives").alias("positives"), F.sum("n").alias("n"))
+        return KeyStatistics._measured(pin(merged))
+
+    def _folder(self, version: str) -> str:
+        if not version or any(c in version for c in "/\\:=%*?{}[]\"'#^"):
+            raise ValueError(f"not a version name: {version!r}")
+        return f"{self.path}/version={version}"
+
+
 @dataclass
 class TargetEncoding:
     """Mean label per key, optionally smoothed towards the global mean: (sum + m·global) / (n + m)."""

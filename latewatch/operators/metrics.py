@@ -60,16 +60,18 @@ def binary_metrics(
 
 def score_counts(
     df: DataFrame, by: Sequence[str] = (), score: str = "probability", label: str = "label",
-    edges: Sequence[float] | None = None,
+    edges: Sequence[float] | None = None, weight: str | None = None,
 ) -> DataFrame:
-    """Positives and negatives per (group, distinct score), with the range number of the score.
+    """Positives and negatives per (group, distinct score), with the range number of the score; with ``weight``, a column of whole numbers,
+    each row counts that often.
 
     Without ``edges`` the counts are written first and cut from there, so an expensive input is evaluated once.
     """
-    rows = _usable(df, score, label).select(*by, F.col(score).cast("double").alias("_score"), F.col(label).alias("_y"))
-    counts = rows.groupBy(*by, "_score").agg(
-        F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") != 1).alias("neg")
-    )
+    times = F.lit(1) if weight is None else F.col(weight)
+    rows = _usable(df, score, label).select(*by, F.col(score).cast("double").alias("_score"), F.col(label).alias("_y"), times.cast("bigint").alias("_times"))
+    counts = rows.groupBy(*by, "_score").agg(*[
+        F.coalesce(F.sum(F.when(which, F.col("_times"))), F.lit(0)).alias(c) for c, which in (("pos", F.col("_y") == 1), ("neg", F.col("_y") != 1))
+    ])
     if edges is None:
         counts = pin(counts)
         edges = range_edges(counts, "_score")
@@ -78,15 +80,15 @@ def score_counts(
 
 def evaluate(
     df: DataFrame, threshold: float = 0.5, by: Sequence[str] = (), score: str = "probability", label: str = "label",
-    edges: Sequence[float] | None = None,
+    edges: Sequence[float] | None = None, weight: str | None = None,
 ) -> DataFrame:
-    """Confusion counts, accuracy, precision, recall, F1 and exact AUC per group.
+    """Confusion counts, accuracy, precision, recall, F1 and exact AUC per group; with ``weight`` each row counts that often.
 
     AUC = Σ pos · (negatives below + half the negatives at the same score) / (P · N). The sum is finished per range,
     then ranges are combined from their totals, so no join is needed; NULL when a class is absent.
     """
     by = list(by)
-    counts = score_counts(df, by, score, label, edges)
+    counts = score_counts(df, by, score, label, edges, weight)
     below = Window.partitionBy(*by, RANGE).orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
     hit = F.col("_score") >= threshold
     per_range = (

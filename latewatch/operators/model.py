@@ -68,13 +68,18 @@ _SPARK_ML = {"maxBins", "maxMemoryInMB", "checkpointInterval", "validationTol",
 _NO_EQUIVALENT = {"reg_alpha", "reg_lambda"}
 
 
-def resolve_params(preset: str | None = None, overrides: Mapping[str, object] | None = None) -> dict[str, object]:
-    """Defaults, then the preset, then the overrides. Unknown names are refused. Terms of a preset that the tree learner has no
-    equivalent for are left out with a warning; as overrides they are refused."""
+def resolve_params(
+    preset: str | None = None, overrides: Mapping[str, object] | None = None, regularised: bool = False
+) -> dict[str, object]:
+    """Defaults, then the preset, then the overrides. Unknown names are refused. Terms of a preset that the Spark ML tree learner has no
+    equivalent for are left out with a warning, and as overrides refused, unless the learner is a ``regularised`` one, which has them all."""
     merged = dict(DEFAULTS)
     for layer in (PARAMS[preset] if preset else {}, overrides or {}):
         for name, value in layer.items():
             name = _ALIASES.get(name, name)
+            if name in _NO_EQUIVALENT and regularised:
+                merged[name] = value
+                continue
             if name in _NO_EQUIVALENT and layer is not overrides:
                 warnings.warn(f"{preset}: {name}={value} has no equivalent in the Spark ML tree learner and is left out", stacklevel=2)
                 continue

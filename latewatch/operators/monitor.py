@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from latewatch.functions import hash_hex
 from latewatch.operators.metrics import evaluate, unpivot_metrics
 from latewatch.operators.splits import first_n
 from latewatch.runtime import BROADCAST_LIMIT_BYTES, BROADCAST_ROW_BYTES, pin
@@ -40,6 +42,52 @@ def suggest_constraints(
     )
 
 
+# Up to this many times a row is drawn again; more has a chance below 1e-9.
+_MOST_DRAWS = 12
+
+
+def poisson_draws(key: Column | str | Sequence[Column | str], seed: object = 0) -> Column:
+    """How often a row is in a replicate: a Poisson number of mean 1, made from a hash of ``key`` and therefore the same on every run and retry."""
+    uniform = F.conv(F.substring(hash_hex(key, seed), 1, 8), 16, 10).cast("double") / 2**32
+    shares = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(_MOST_DRAWS)]
+    return sum(((uniform >= x).cast("int") for x in shares), F.lit(0))
+
+
+def bootstrap_metrics(
+    scored: DataFrame, replicates: int = 200, by: Sequence[str] = (), key: str | Sequence[str] = "id", threshold: float = 0.5, seed: object = 0,
+    score: str = "probability", label: str = "label",
+) -> DataFrame:
+    """Full evaluation of ``replicates`` resampled versions of the rows (of each group), numbered from 1, all from one pass.
+
+    Each row draws its weight in each replicate from a hash, so nothing is sampled in order or moved before it is counted: what is shuffled are counts per
+    (group, replicate, distinct score).
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    many = scored.withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    drawn = many.withColumn("_draws", poisson_draws(["replicate", *keys], seed)).where("_draws > 0")
+    return evaluate(drawn, threshold, [*by, "replicate"], score, label, weight="_draws")
+
+
+def bounded_constraints(
+    scored: DataFrame, n: int = BASELINE_SIZE, order_by: str | Sequence[str] = "id", level: float = 0.95, replicates: int = 200, threshold: float = 0.5,
+    names: Sequence[str] = BASELINE_METRICS, by: Sequence[str] = (), seed: object = 0, score: str = "probability", label: str = "label",
+) -> DataFrame:
+    """One constraint per metric (and group) with a margin: the value that ``level`` of the resampled baselines reach.
+
+    The bare baseline value is missed by half of all samples of an unchanged model. The baseline is the first ``n`` rows in key order, as in ``baseline``.
+    A metric that no replicate has, as the AUC of one class, gives a NULL threshold.
+    """
+    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+    if by:
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(*keys))
+        first = scored.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
+    else:
+        first = first_n(scored, n, order_by)
+    drawn = bootstrap_metrics(first, replicates, by, keys, threshold, seed, score, label)
+    bounds = drawn.groupBy(*by).agg(*[F.percentile(m, 1 - level).alias(m) for m in names])
+    return suggest_constraints(bounds, names, by)
+
+
 def violations(
     current: DataFrame, constraints: DataFrame, ids: Sequence[str] = (), names: Sequence[str] = BASELINE_METRICS,
     only_violated: bool = True, by: Sequence[str] = (), missing: str = "not_violated",

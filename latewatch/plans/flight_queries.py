@@ -10,14 +10,16 @@ from latewatch.operators import clean as cl
 from latewatch.operators import profile as pf
 from latewatch.operators import splits as sp
 from latewatch.operators.encoders import (
-    COUNT_FEATURES, HOUR_RATE_FEATURES, RATE_FEATURES, KeyStatistics, MedianImputer, TargetEncoding, VolumeEncoding,
+    COUNT_FEATURES, HOUR_RATE_FEATURES, RATE_FEATURES, KeyStatistics, MedianImputer, StatisticsHistory, TargetEncoding,
+    VolumeEncoding,
 )
 from latewatch.operators.lookups import missing, with_names
 from latewatch.operators.matrix import (
-    add_distance_features, add_route, add_temporal_features, non_numeric_columns, select_matrix,
+    add_distance_features, add_route, add_temporal_features, non_numeric_columns, select_matrix, split_xy,
 )
 from latewatch.plans.registry import query, rounded
 from latewatch.plans.tables import CLEANED, FEATURED, FLIGHTS, LABELLED, cleaned, flights, labelled, table
+from latewatch.runtime import scratch_path
 from latewatch.schemas import FEATURE_SETS
 from latewatch.sources.catalog import table_counts as count_tables
 
@@ -573,3 +575,72 @@ MATRIX_QUERIES = {
 }
 for _name, _features in MATRIX_QUERIES.items():
     _register_matrix(_name, _features)
+
+
+# ---------------------------------------------------------------- statistics and sketches that grow
+
+
+def _history(spark: SparkSession, sf: str) -> StatisticsHistory:
+    """A version per month, from one pass; January is taken out again, and September added once more from its own rows."""
+    rows = add_route(labelled(spark, sf)).where("MONTH <= 9").select("MONTH", *_KEYS, "DELAYED")
+    month = F.format_string("%02d", "MONTH")
+    history = StatisticsHistory(spark, scratch_path(spark, "history"), _KEYS)
+    history.add_all(rows, month)
+    history.remove("01")
+    history.add("09", rows.where("MONTH = 9"))
+    return history
+
+
+@query("statistics_history", f"""
+WITH {FEATURED}, rows AS (SELECT * FROM featured WHERE "MONTH" BETWEEN 2 AND 9)
+SELECT '' AS key_name, CAST(NULL AS VARCHAR) AS key, SUM("DELAYED")::BIGINT AS positives, COUNT(*) AS n FROM rows
+{" ".join(f"""UNION ALL SELECT '{k}', "{k}", SUM("DELAYED")::BIGINT, COUNT(*) FROM rows GROUP BY "{k}\"""" for k in _KEYS)}""")
+def statistics_history(spark, sf):
+    """Sums of eight saved months, merged without their rows."""
+    return _history(spark, sf).current().table.select("key_name", "key", "positives", "n")
+
+
+@query("target_encode_recent", f"""
+WITH {FEATURED}, stats AS (SELECT "ROUTE", AVG("DELAYED") AS rate FROM featured WHERE "MONTH" BETWEEN 5 AND 9 GROUP BY 1),
+overall AS (SELECT AVG("DELAYED") AS rate FROM featured WHERE "MONTH" BETWEEN 5 AND 9)
+SELECT split, "ROUTE", "DELAYED", round(coalesce(s.rate, o.rate), 6) AS "ROUTE_DELAY_RATE"
+FROM (SELECT split, f."ROUTE", "DELAYED", s.rate FROM featured AS f LEFT JOIN stats AS s ON s."ROUTE" = f."ROUTE") AS s, overall AS o""")
+def target_encode_recent(spark, sf):
+    """Features from the last five saved months only."""
+    df = add_route(labelled(spark, sf)).select("split", "ROUTE", "DELAYED")
+    return rounded(_history(spark, sf).current(since="05").encode(df, {"ROUTE_DELAY_RATE": "ROUTE"}))
+
+
+_SKETCHED = ("ROUTE", "DESTINATION_AIRPORT", "SCHEDULED_DEPARTURE")
+
+
+@query("distinct_sketches", f"""
+WITH {FEATURED}, exact AS (
+  SELECT split, {", ".join(f'COUNT(DISTINCT "{c}") AS "{c}"' for c in _SKETCHED)} FROM featured GROUP BY split)
+{" UNION ALL ".join(f"""SELECT split, '{c}' AS "column", "{c}" AS exact, true AS within_bound FROM exact""" for c in _SKETCHED)}""")
+def distinct_sketches(spark, sf):
+    """Sketches stored per month, merged per split without the rows, beside the exact numbers: within three standard errors."""
+    rows = add_route(labelled(spark, sf)).select("split", "MONTH", *_SKETCHED)
+    path = scratch_path(spark, "sketches")
+    pf.distinct_sketches(rows, _SKETCHED, ["split", "MONTH"]).write.parquet(path)
+    merged = pf.sketch_counts(pf.merge_sketches(spark.read.parquet(path), _SKETCHED, ["split"]), _SKETCHED, ["split"])
+    exact = rows.groupBy("split").agg(*[F.count_distinct(c).alias(c) for c in _SKETCHED])
+    error = 3 * 1.04 / 2 ** (pf.SKETCH_BITS / 2)
+    cells = [
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("exact"), (F.abs(F.col(f"{c}_distinct") - F.col(c)) <= error * F.col(c) + 0.5).alias("within_bound"))
+        for c in _SKETCHED
+    ]
+    return exact.join(merged, "split").select("split", F.inline(F.array(*cells)))
+
+
+@query("split_xy", f"""
+WITH {LABELLED} SELECT 'features' AS part, COUNT(*) AS n, SUM("DISTANCE")::DOUBLE AS total FROM labelled
+UNION ALL SELECT 'label', COUNT(*), SUM("DELAYED")::DOUBLE FROM labelled""")
+def split_xy_query(spark, sf):
+    """Features and label as two frames: each with all rows, neither with a column of the other."""
+    x, y = split_xy(labelled(spark, sf))
+    parts = [("features", x, "DISTANCE"), ("label", y, "DELAYED")]
+    if "DELAYED" in x.columns or y.columns != ["DELAYED"]:
+        raise ValueError("a column is on the wrong side")
+    a, b = (df.agg(F.lit(name).alias("part"), F.count("*").alias("n"), F.sum(c).cast("double").alias("total")).select("part", "n", "total") for name, df, c in parts)
+    return a.unionByName(b)

@@ -7,6 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from latewatch.functions import truth_path, truth_time
 from latewatch.operators import gate as gt
 from latewatch.operators import metrics as mt
 from latewatch.operators import monitor as mo
@@ -18,6 +19,7 @@ from latewatch.plans.tables import FEATURED, FLIGHTS, LABELLED, SCORED, TRUTH, f
 from latewatch.runtime import pin, scratch_path
 from latewatch.schemas import AIRPORT_COLUMNS, FEATURE_SETS, FLIGHT_COLUMNS, matrix_schema, schema_of
 from latewatch.sources import catalog, readers, writers
+from latewatch.sources.manifest import assert_complete, finished, publish
 from latewatch.streaming import (
     alarm_stream, close_input, close_truth, coverage_stream, match_stream, matches_stream, quality_stream, run_available, scored_stream, truth_stream,
     window_quality_stream,
@@ -93,7 +95,9 @@ def io_external_table(spark, sf):
 SELECT 'LATITUDE' AS "column", COUNT(*) FILTER (c_custkey % 10 = 3) AS n_bad FROM customer
 UNION ALL SELECT 'LONGITUDE', CAST(0 AS BIGINT)
 UNION ALL SELECT 'SMALL', COUNT(*) FILTER (c_custkey % 7 = 1) FROM customer
-UNION ALL SELECT 'LARGE', COUNT(*) FILTER (c_custkey % 7 = 2) FROM customer""")
+UNION ALL SELECT 'LARGE', COUNT(*) FILTER (c_custkey % 7 = 2) FROM customer
+UNION ALL SELECT 'EXACT', CAST(0 AS BIGINT)
+UNION ALL SELECT 'FRACTION', COUNT(*) FILTER (c_custkey % 7 IN (3, 4, 5)) FROM customer""")
 def io_bad_casts(spark, sf):
     text = F.when(F.col("c_custkey") % 10 == 3, "unknown").otherwise(F.col("c_custkey").cast("string"))
     path = scratch_path(spark, "bad-casts")
@@ -101,12 +105,31 @@ def io_bad_casts(spark, sf):
     small = F.when(F.col("c_custkey") % 7 == 1, "3000000000").otherwise(number)  # too large for an int
     large = F.when(F.col("c_custkey") % 7 == 2, "12 345").when(F.col("c_custkey") % 7 == 1, "3000000000").otherwise(number)
     table(spark, sf, "customer").select(
-        text.alias("LATITUDE"), F.lit("1.5").alias("LONGITUDE"), small.alias("SMALL"), large.alias("LARGE")
+        text.alias("LATITUDE"), F.lit("1.5").alias("LONGITUDE"), small.alias("SMALL"), large.alias("LARGE"), *_exact_texts()
     ).write.csv(path)
-    columns = {"LATITUDE": "double", "LONGITUDE": "double", "SMALL": "int", "LARGE": "bigint"}
+    columns = {"LATITUDE": "double", "LONGITUDE": "double", "SMALL": "int", "LARGE": "bigint", "EXACT": "bigint", "FRACTION": "int"}
     return catalog.bad_casts(catalog.register_external(spark, "lw_bad_casts", path, list(columns), header=False), columns)
 
 
+def _exact_texts():
+    """Integers that no double holds, and numbers that are not whole, not numbers, too large, or whole in another form."""
+    n = F.col("c_custkey")
+    odd = F.when(n % 7 == 3, "12.5").when(n % 7 == 4, "NaN").when(n % 7 == 5, "1e12").when(n % 7 == 6, F.concat(n.cast("string"), F.lit("e1")))
+    return (n + 9007199254740992).cast("string").alias("EXACT"), F.coalesce(odd, F.concat(n.cast("string"), F.lit(".000"))).alias("FRACTION")
+
+
+@query("io_exact_numbers", """
+SELECT c_custkey + 9007199254740992 AS "EXACT",
+  CAST(CASE c_custkey % 7 WHEN 3 THEN NULL WHEN 4 THEN NULL WHEN 5 THEN NULL WHEN 6 THEN c_custkey * 10 ELSE c_custkey END AS INTEGER) AS "FRACTION"
+FROM customer""")
+def io_exact_numbers(spark, sf):
+    """Whole numbers of text as they are, all others NULL."""
+    path = scratch_path(spark, "exact-numbers")
+    table(spark, sf, "customer").select(*_exact_texts()).write.csv(path)
+    columns = {"EXACT": "bigint", "FRACTION": "int"}
+    return catalog.typed_view(catalog.register_external(spark, "lw_exact_numbers", path, list(columns), header=False), columns)
+
+
 @query("io_lookup_csv", f"""
 SELECT c_name AS "IATA_CODE", c_mktsegment AS "AIRPORT",
   CASE WHEN c_custkey % 10 <> 3 THEN CAST(c_custkey AS DOUBLE) END AS "LATITUDE", c_acctbal AS "LONGITUDE"
@@ -242,6 +265,18 @@ def io_rejections_json(spark, sf):
     )
 
 
+@query("io_manifest", f"""
+WITH {LABELLED} SELECT split, COUNT(*) AS n, true AS whole, false AS written_again FROM labelled GROUP BY split""")
+def io_manifest(spark, sf):
+    """Splits as one all-or-nothing output; a second write skips it because its manifest says that it is whole."""
+    path = scratch_path(spark, "published")
+    rows = labelled(spark, sf)
+    publish(rows, path, "csv", partition_by=("split",), header=True)
+    again = publish(rows, path, "csv", "skip", ("split",), header=True)
+    read = readers.read_splits(spark, assert_complete(spark, path))
+    return read.groupBy("split").agg(F.count("*").alias("n")).select("split", "n", F.lit(finished(spark, path)).alias("whole"), F.lit(again).alias("written_again"))
+
+
 # ---------------------------------------------------------------- ground truth and streams
 
 # Labels are uploaded some time of the day after the event, at any minute and second; every 53rd comes three days later.
@@ -263,6 +298,15 @@ def _write_uploads(spark: SparkSession, sf: str) -> str:
     return path
 
 
+@query("truth_paths", f"""
+WITH {_UPLOADS} SELECT strftime(truth_ts, '%Y/%m/%d/%H/%M%S') || '.jsonl' AS path, COUNT(*) AS n, strftime(truth_ts, '%Y-%m-%d %H:%M:%S') AS read_back
+FROM uploads GROUP BY ALL""")
+def truth_paths(spark, sf):
+    """The upload file that each label belongs in by its time, and the time that a reader takes from that path."""
+    paths = _uploads(spark, sf).groupBy(truth_path("at").alias("path")).agg(F.count("*").alias("n"))
+    return paths.withColumn("read_back", F.date_format(truth_time("path"), "yyyy-MM-dd HH:mm:ss"))
+
+
 @query("io_ground_truth", f"""
 WITH {_UPLOADS} SELECT id, label, strftime(truth_ts, '%Y-%m-%d %H:%M:%S') AS truth_ts FROM uploads""")
 def io_ground_truth(spark, sf):

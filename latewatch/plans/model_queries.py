@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from latewatch.operators import boosting as bo
 from latewatch.operators import gate as gt
 from latewatch.operators import metrics as mt
 from latewatch.operators import model as ml
@@ -325,6 +327,24 @@ def baseline_constraints_by_version(spark, sf):
     return mo.suggest_constraints(rounded(base), by=["version"])
 
 
+# the chance of at most k draws, for k from 0
+_POISSON = [sum(math.exp(-1) / math.factorial(j) for j in range(k + 1)) for k in range(12)]
+_UNIFORM = "('0x' || substr(md5('11|' || replicate || '|' || id), 1, 8))::UBIGINT / 4294967296.0"
+
+
+@query("baseline_constraints_bounded", f"""
+WITH {TRUTH}, base AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY version ORDER BY seq) <= 300),
+drawn AS (SELECT *, {_UNIFORM} AS u FROM (SELECT *, unnest(range(1, 61)) AS replicate FROM base)),
+boot AS (SELECT version, replicate, probability, label, unnest(range({' + '.join(f'(u >= {x!r})::INT' for x in _POISSON)})) AS again FROM drawn),
+{_evaluate_ctes('boot', 'version, replicate', name='resampled')}, long AS (
+  {" UNION ALL ".join(f"SELECT version, '{m}' AS metric, quantile_cont({m}, 0.1) AS threshold FROM resampled GROUP BY version" for m in mo.BASELINE_METRICS)})
+SELECT version, metric, round(threshold, 5) AS threshold, 'LessThanThreshold' AS comparison_operator FROM long""")
+def baseline_constraints_bounded(spark, sf):
+    """Constraints of each version that nine of ten resampled baselines meet, instead of the bare baseline value."""
+    bounds = mo.bounded_constraints(scored(spark, sf), 300, "seq", level=0.9, replicates=60, by=["version"], seed=11)
+    return rounded(bounds, 5)
+
+
 @query("ground_truth_join_reused_ids", f"""
 WITH {TRUTH}, s AS (SELECT seq % 50 AS id, ts, min(probability) AS probability FROM scored GROUP BY ALL),
 t AS (SELECT DISTINCT CAST(CAST(id AS BIGINT) % 50 AS BIGINT) AS id, label, truth_ts FROM truth),
@@ -465,6 +485,108 @@ def presets(spark, sf):
     return rounded(measured.select(F.inline(F.array(*rows))))
 
 
+# ---------------------------------------------------------------- regularised boosting: some rounds on flags have SQL twins
+
+_BOOST = {
+    "eta": 0.5, "reg_alpha": 0.5, "reg_lambda": 2.0, "gamma": 0.0, "min_child_weight": 1, "scale_pos_weight": 2.0, "subsample": 1.0, "colsample_bytree": 1.0, "seed": 7,
+}
+
+
+def _boosted_sql(rounds: int, depth: int) -> str:
+    """CTEs of level-wise boosting on flags, over counts of equal rows: ``m0`` … ``m<rounds>`` hold (split, flags, y, n, margin, gone margins)."""
+    flags = [f"f{k}" for k in range(len(_FLAGS))]
+    shrunk = lambda g: f"(sign({g}) * greatest(abs({g}) - {_BOOST['reg_alpha']}, 0))"
+    worth = lambda g, h: f"{shrunk(g)} * {shrunk(g)} / ({h} + {_BOOST['reg_lambda']})"
+    parts = [f"""m0 AS (
+  SELECT split, {', '.join(f'"{x}" AS {f}' for x, f in zip(_FLAGS, flags))}, CAST("DELAYED" AS DOUBLE) AS y, COUNT(*) AS n, CAST(0 AS DOUBLE) AS margin
+  FROM featured GROUP BY ALL)"""]
+    for r in range(1, rounds + 1):
+        parts.append(f"""d{r}_0 AS (
+  SELECT *, 1 AS node, w * (p - y) AS g, w * p * (1 - p) AS h FROM (
+    SELECT *, n * CASE WHEN y = 1 THEN {_BOOST['scale_pos_weight']} ELSE 1.0 END AS w, 1 / (1 + exp(-margin)) AS p FROM m{r - 1}))""")
+        for level in range(1, depth + 1):
+            d = f"d{r}_{level - 1}"
+            cells = " UNION ALL ".join(f"SELECT node, {k} AS k, {f} AS v, SUM(g) AS g, SUM(h) AS h FROM {d} WHERE split = 'train' GROUP BY node, {f}" for k, f in enumerate(flags))
+            parts.append(f"""c{r}_{level} AS ({cells}),
+b{r}_{level} AS (
+  SELECT a.node, a.k, round({worth('a.g', 'a.h')} + {worth('b.g', 'b.h')} - {worth('(a.g + b.g)', '(a.h + b.h)')}, 9) AS gain
+  FROM c{r}_{level} AS a JOIN c{r}_{level} AS b ON a.node = b.node AND a.k = b.k AND a.v = 0 AND b.v = 1
+  WHERE a.h >= {_BOOST['min_child_weight']} AND b.h >= {_BOOST['min_child_weight']}
+  QUALIFY gain > 1e-9 AND row_number() OVER (PARTITION BY a.node ORDER BY gain DESC, a.k) = 1),
+d{r}_{level} AS (
+  SELECT d.* EXCLUDE (node), CASE WHEN b.k IS NULL THEN d.node * 2 ELSE d.node * 2 + CASE b.k {' '.join(f'WHEN {k} THEN {f}' for k, f in enumerate(flags))} END END AS node
+  FROM {d} AS d LEFT JOIN b{r}_{level} AS b ON b.node = d.node)""")
+        parts.append(f"""l{r} AS (
+  SELECT node, -{_BOOST['eta']} * {shrunk('SUM(g)')} / (SUM(h) + {_BOOST['reg_lambda']}) AS leaf FROM d{r}_{depth} WHERE split = 'train' GROUP BY node),
+m{r} AS (SELECT d.* EXCLUDE (node, g, h, w, p, margin), margin + leaf AS margin FROM d{r}_{depth} AS d JOIN l{r} AS l ON l.node = d.node)""")
+    return ",\n".join(parts)
+
+
+def _flag_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return add_distance_features(add_temporal_features(labelled(spark, sf))).select("split", "DELAYED", *_FLAGS)
+
+
+def _boosted(spark: SparkSession, sf: str, **options):
+    df = _flag_rows(spark, sf)
+    return bo.train_boosted(df.where("split = 'train'"), list(_FLAGS), **_BOOST, **options), df
+
+
+def _boosted_scores(spark: SparkSession, sf: str, **options) -> DataFrame:
+    model, df = _boosted(spark, sf, **options)
+    return rounded(bo.score_boosted(model, df).groupBy("split", *_FLAGS).agg(F.count("*").alias("n"), F.max("probability").alias("probability")))
+
+
+def _boosted_scores_sql(rounds: int, depth: int) -> str:
+    named = ", ".join(f'f{k} AS "{x}"' for k, x in enumerate(_FLAGS))
+    return f"""WITH {FEATURED}, {_boosted_sql(rounds, depth)}
+SELECT split, {named}, SUM(n)::BIGINT AS n, round(max(1 / (1 + exp(-margin))), 6) AS probability FROM m{rounds} GROUP BY split, f0, f1, f2"""
+
+
+@query("boosted_two_rounds", _boosted_scores_sql(2, 1))
+def boosted_two_rounds(spark, sf):
+    """Two regularised stumps on flags, one upon the other, as scores of all rows."""
+    return _boosted_scores(spark, sf, num_round=2, max_depth=1)
+
+
+@query("boosted_depth_two", _boosted_scores_sql(1, 2))
+def boosted_depth_two(spark, sf):
+    """One regularised tree of depth two."""
+    return _boosted_scores(spark, sf, num_round=1, max_depth=2)
+
+
+def _auc_sql(r: int) -> str:
+    return f"""a{r} AS (
+  SELECT {r} AS round, SUM(pos * (below + neg / 2.0)) / nullif(SUM(pos) * SUM(neg), 0) AS auc FROM (
+    SELECT *, coalesce(SUM(neg) OVER (ORDER BY margin ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM (
+      SELECT round(margin, 12) AS margin, SUM(n * y) AS pos, SUM(n * (1 - y)) AS neg FROM m{r} WHERE split = 'val' GROUP BY 1)))"""
+
+
+@query("boosted_patience", f"""
+WITH {FEATURED}, {_boosted_sql(4, 1)}, {', '.join(_auc_sql(r) for r in range(1, 5))},
+aucs AS ({' UNION ALL '.join(f'SELECT * FROM a{r}' for r in range(1, 5))}),
+best AS (SELECT *, max(auc) OVER (ORDER BY round ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM aucs),
+last AS (SELECT coalesce(min(round) FILTER (before IS NOT NULL AND auc <= before), 5) - 1 AS kept FROM best)
+SELECT CAST(round AS INTEGER) AS round, round(auc, 6) AS auc, round <= kept AS kept FROM aucs, last""")
+def boosted_patience(spark, sf):
+    """Validation AUC of four stumps from one fit, and the rounds that a patience of one keeps."""
+    df = _flag_rows(spark, sf).where("split IN ('train', 'val')").withColumn("is_val", F.col("split") == "val")
+    model = bo.train_boosted(df, list(_FLAGS), val_flag="is_val", early_stopping_rounds=1, num_round=4, max_depth=1, **_BOOST)
+    kept = len(model.trees)
+    rows = [(k, a, k <= kept) for k, a in enumerate(model.auc, 1)]
+    return rounded(spark.createDataFrame(rows, "round int, auc double, kept boolean"))
+
+
+@query("train_score_boosted")
+def train_score_boosted(spark, sf):
+    """The preset with all regularisation terms on the engineered features: trained with patience on AUC, all splits evaluated side by side."""
+    df = add_distance_features(add_temporal_features(labelled(spark, sf)))
+    features = FEATURE_SETS["basic"]
+    train = df.where("split IN ('train', 'val')").withColumn("is_val", F.col("split") == "val")
+    model = bo.train_boosted(train, features, preset="smoothed", val_flag="is_val", num_round=8, max_depth=3, early_stopping_rounds=3)
+    kept = pin(bo.score_boosted(model, df).select("split", "probability", "DELAYED"))
+    return rounded(mt.evaluate_by(kept, "split", label="DELAYED"))
+
+
 # ---------------------------------------------------------------- boosting (no SQL twin: a tree learner)
 
 

@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from latewatch.functions import whole_number
+
 
 def _quote(name: str) -> str:
     return ".".join(f"`{part}`" for part in name.split("."))
@@ -47,7 +49,7 @@ replace_table = register_external
 def typed_view(df: DataFrame, columns: dict[str, str], via_double: bool = True) -> DataFrame:
     """Typed projection of an all-text table; text that does not parse becomes NULL.
 
-    ``via_double`` also accepts whole numbers printed as ``930.0``.
+    ``via_double`` also accepts whole numbers printed as ``930.0`` or ``1e3``, exactly; fractions and ``NaN`` are NULL.
     """
 
     return df.select(*[_typed(n, t, via_double).alias(n) for n, t in columns.items()])
@@ -55,7 +57,7 @@ def typed_view(df: DataFrame, columns: dict[str, str], via_double: bool = True)
 
 def _typed(name: str, kind: str, via_double: bool) -> Column:
     if kind in ("int", "bigint") and via_double:
-        return F.col(name).try_cast("double").try_cast(kind)
+        return whole_number(F.col(name), kind)
     return F.col(name).try_cast(kind)
 
 

@@ -1,12 +1,12 @@
-"""Writers. ``if_exists='skip'`` leaves an existing output alone, so a rerun only writes what is not there yet (of matrices by split: what
-is not there as a finished write)."""
+"""Writers. What they write is there as a whole or not at all (``manifest.publish``), but for ground truth, which is appended. ``if_exists='skip'`` leaves a
+whole output alone, so a rerun only writes what is not there yet."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from latewatch.functions.scalar import format_utc, truth_struct
@@ -14,22 +14,19 @@ from latewatch.operators.matrix import assert_numeric, select_matrix
 from latewatch.operators.splits import first_n
 from latewatch.runtime import pin
 from latewatch.schemas import SPLIT_COLUMNS
-
-_MODES = {"skip": "ignore", "overwrite": "overwrite", "error": "errorifexists", "append": "append"}
+from latewatch.sources.manifest import finished, publish
 
 # Folder name of each split in a matrix.
 MATRIX_FOLDERS = {"train": "train", "val": "validation", "test": "test", "prod": "production"}
 
 
-def _writer(df: DataFrame, if_exists: str) -> DataFrameWriter:
-    return df.write.mode(_MODES[if_exists])
-
-
-def _finished(df: DataFrame, path: str) -> bool:
-    """Whether an earlier write to ``path`` came to its end; what an aborted one left is written again."""
-    context = df.sparkSession.sparkContext
-    mark = context._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return mark.getFileSystem(context._jsc.hadoopConfiguration()).exists(mark)
+def _write(df: DataFrame, path: str, fmt: str, if_exists: str, partition_by: tuple[str, ...] = (), **options) -> None:
+    if if_exists == "append":
+        df.write.mode("append").format(fmt).options(**options).partitionBy(*partition_by).save(path)
+    elif if_exists in ("overwrite", "skip", "error"):
+        publish(df, path, fmt, if_exists, partition_by, **options)
+    else:
+        raise ValueError(f"unknown policy for an output that exists: {if_exists}")
 
 
 def write_splits(
@@ -37,7 +34,7 @@ def write_splits(
     if_exists: str = "overwrite",
 ) -> None:
     """Header CSV, one ``split=<name>`` folder per split, all in one job."""
-    _writer(df.select(*columns, "split"), if_exists).partitionBy("split").option("header", header).csv(directory)
+    _write(df.select(*columns, "split"), directory, "csv", if_exists, ("split",), header=header)
 
 
 def write_matrix_csv(
@@ -47,12 +44,11 @@ def write_matrix_csv(
     """Headerless CSV, label first. With ``splits`` one folder per split (train, validation, test, production)."""
     if splits is None:
         matrix = assert_numeric(select_matrix(df, features, label))
-        _writer(matrix, if_exists).option("header", False).csv(directory)
+        _write(matrix, directory, "csv", if_exists, header=False)
         return
     targets = {name: f"{directory}/{MATRIX_FOLDERS.get(name, name)}" for name in splits}
     if if_exists == "skip":
-        targets = {name: path for name, path in targets.items() if not _finished(df, path)}
-        if_exists = "overwrite"
+        targets = {name: path for name, path in targets.items() if not finished(df.sparkSession, path)}
     if not targets:
         return
     matrix = select_matrix(df.where(F.col("split").isin(*targets)), features, label, keep=["split"])
@@ -60,22 +56,22 @@ def write_matrix_csv(
     if len(targets) > 1:
         matrix = pin(matrix)  # the plan behind it runs once, not once per split
     for name, path in targets.items():
-        _writer(matrix.where(F.col("split") == name).drop("split"), if_exists).option("header", False).csv(path)
+        _write(matrix.where(F.col("split") == name).drop("split"), path, "csv", if_exists, header=False)
 
 
 def write_features(df: DataFrame, directory: str, if_exists: str = "overwrite") -> None:
     """Snappy Parquet, partitioned by split so a reader of one split skips the others."""
-    _writer(df, if_exists).partitionBy("split").option("compression", "snappy").parquet(directory)
+    _write(df, directory, "parquet", if_exists, ("split",), compression="snappy")
 
 
 def write_report(df: DataFrame, path: str, if_exists: str = "overwrite") -> None:
     """Nested evaluation or rejection reports, one JSON document per line."""
-    _writer(df, if_exists).option("ignoreNullFields", False).json(path)
+    _write(df, path, "json", if_exists, ignoreNullFields=False)
 
 
 def write_scored(df: DataFrame, path: str, if_exists: str = "overwrite", label: str = "label") -> None:
     """``probability,prediction,label`` CSV with header."""
-    _writer(df.select("probability", "prediction", label), if_exists).option("header", True).csv(path)
+    _write(df.select("probability", "prediction", label), path, "csv", if_exists, header=True)
 
 
 def write_inference_input(
@@ -87,7 +83,7 @@ def write_inference_input(
         if order_by is None:
             raise ValueError("a subset needs an order: rows have none of their own")
         df = first_n(df, n, order_by)
-    _writer(assert_numeric(select_matrix(df, features, None)), if_exists).option("header", False).csv(path)
+    _write(assert_numeric(select_matrix(df, features, None)), path, "csv", if_exists, header=False)
 
 
 def write_ground_truth(
@@ -117,5 +113,4 @@ def write_ground_truth_table(
     )
     # few files per folder, and an hour with very many labels is still written in parallel
     rows = rows.select("t.*", "uploadMicros", *folders).hint("rebalance", *folders)
-    writer = _writer(rows, if_exists)
-    writer.partitionBy(*folders).json(directory)
+    _write(rows, directory, "json", if_exists, tuple(folders))

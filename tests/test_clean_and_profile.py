@@ -129,3 +129,22 @@ def test_matrix_checks(spark):
 def test_rates_sorted_descending(raw):
     rates = [r.rate for r in pf.rate_by(raw.withColumn("k", F.col("ARRIVAL_DELAY")), "k").collect()]
     assert rates == sorted(rates, reverse=True)
+
+
+def test_sketches_merge_without_the_rows(spark, tmp_path):
+    """Sketches of parts, stored and merged, estimate as the sketch of everything does, within three standard errors."""
+    df = spark.range(60_000).select(
+        (F.col("id") % 12).cast("int").alias("m"), (F.col("id") % 2).alias("g"), (F.col("id") * 7 % 9973).alias("a"), F.concat(F.lit("x"), F.col("id") % 40).alias("b"),
+        ((F.col("id") % 500) / 10).alias("c"), F.when(F.col("id") < 0, 1).alias("nothing"),
+    )
+    names = ["a", "b", "c", "nothing"]
+    pf.distinct_sketches(df, names, ["m", "g"]).write.parquet(f"{tmp_path}/s")
+    stored = spark.read.parquet(f"{tmp_path}/s")
+    whole = pf.sketch_counts(pf.merge_sketches(stored, names), names).first()
+    exact = pf.n_distinct(df, names).first()
+    bound = 3 * 1.04 / 2 ** (pf.SKETCH_BITS / 2)
+    for c in names:
+        assert abs(whole[f"{c}_distinct"] - exact[f"{c}_distinct"]) <= bound * exact[f"{c}_distinct"] + 0.5
+    by = {r.g: r for r in pf.sketch_counts(pf.merge_sketches(stored, names, ["g"]), names, ["g"]).collect()}
+    assert {g: r.b_distinct for g, r in by.items()} == {0: 20, 1: 20} and whole.b_distinct == 40  # a union, not a sum
+    assert pf.merge_sketches(stored.limit(0), names, ["g"]).count() == 0

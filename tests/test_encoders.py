@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from latewatch.operators.encoders import KeyStatistics, MedianImputer, TargetEncoding, VolumeEncoding
+from latewatch.operators.encoders import KeyStatistics, MedianImputer, StatisticsHistory, TargetEncoding, VolumeEncoding
 
 KEY = {"RATE": "k"}
 
@@ -99,3 +99,47 @@ def test_median_imputer(spark):
     assert rows(one.where("v = 1.5").select("split")) == [("test",), ("train",)]
     per = MedianImputer.fit(df, "v", by="split").transform(df)
     assert rows(per) == [("test", 10.0), ("test", 10.0), ("train", 1.0), ("train", 1.5), ("train", 2.0)]
+
+
+# ---------------------------------------------------------------- statistics that grow
+
+
+def _history_rows(spark):
+    return spark.range(3000).select(
+        F.format_string("2024-01-%02d", F.col("id") % 7 + 1).alias("day"), F.concat(F.lit("A"), F.col("id") * 7 % 11).alias("AIRLINE"),
+        F.when(F.col("id") % 13 != 0, F.concat(F.lit("R"), F.col("id") * 31 % 101)).alias("ROUTE"), (F.col("id") * 17 % 5 == 0).cast("int").alias("DELAYED"),
+    )
+
+
+def test_history_equals_a_fit_at_once(spark, tmp_path):
+    data = _history_rows(spark)
+    same = lambda a, b: rows(a.table) == rows(b.table) and (a.positives, a.n) == (b.positives, b.n)
+    history = StatisticsHistory(spark, f"{tmp_path}/h", ["AIRLINE", "ROUTE"])
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        history.add(day, data.where(F.col("day") == day))
+    fitted = lambda where: KeyStatistics.fit(data.where(where), ["AIRLINE", "ROUTE"])
+    assert same(history.current(), fitted("day <= '2024-01-03'"))
+    history.add_all(data.where("day >= '2024-01-03'"), F.col("day"))  # replaces the third day, keeps the first two
+    assert same(history.current(), fitted("true"))
+    assert same(history.current(since="2024-01-02", until="2024-01-05"), fitted("day BETWEEN '2024-01-02' AND '2024-01-05'"))
+    assert history.remove("2024-01-04") and not history.remove("2024-01-04")
+    assert same(history.current(), fitted("day <> '2024-01-04'"))
+    wrong = data.where("day = '2024-01-06'").withColumn("DELAYED", F.lit(1))
+    history.add("2024-01-06", wrong)
+    history.add("2024-01-06", data.where("day = '2024-01-06'"))  # added again: replaced, not added up
+    assert same(history.current(), fitted("day <> '2024-01-04'"))
+
+
+def test_history_reads_only_what_it_needs(spark, tmp_path):
+    data = _history_rows(spark)
+    history = StatisticsHistory(spark, f"{tmp_path}/h", ["AIRLINE"])
+    history.add_all(data, F.col("day"))
+    recent = history.saved().where("version >= '2024-01-06'")
+    assert {f.split("version=")[1][:10] for f in recent.inputFiles()} >= {"2024-01-06", "2024-01-07"}
+    assert "PartitionFilters: [isnotnull(version" in recent._jdf.queryExecution().executedPlan().toString()
+    out = history.current(since="2024-01-06").encode(data, {"r": "AIRLINE"})
+    want = {r.AIRLINE: r.r for r in data.where("day >= '2024-01-06'").groupBy("AIRLINE").agg(F.avg("DELAYED").alias("r")).collect()}
+    assert all(r.r == pytest.approx(want[r.AIRLINE]) for r in out.collect())
+    for bad in ("", "a/b", "x=1", ".."[:0]):
+        with pytest.raises(ValueError):
+            history.add(bad, data)

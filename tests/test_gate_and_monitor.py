@@ -1,12 +1,14 @@
 """Gate, rejection, latest version, constraints, ground-truth matching, windows and alarm."""
 
 import datetime as dt
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from latewatch.operators import gate as gt
+from latewatch.operators import metrics as mt
 from latewatch.operators import monitor as mo
 
 RUN = "version int, f1_score double, precision double, recall double, auc double"
@@ -143,3 +145,42 @@ def test_windows_and_summary(spark):
     s = {r.window_start.day: (r.n, r.predicted_rate, r.delay_rate) for r in mo.stream_summary(df).collect()}
     assert s == {1: (2, 50.0, 100.0), 2: (1, 0.0, 0.0)}
     assert mo.stream_summary(df, label=None).columns == ["window_start", "n", "predicted_rate"]
+
+
+# ---------------------------------------------------------------- constraints with a margin
+
+
+def test_draws_are_poisson_and_fixed(spark):
+    df = spark.range(20_000).select("id", mo.poisson_draws(["id"], 5).alias("w"))
+    n = {r.w: r["count"] for r in df.groupBy("w").count().collect()}
+    for k in range(4):
+        assert n[k] / 20_000 == pytest.approx(math.exp(-1) / math.factorial(k), abs=0.01)
+    assert df.agg(F.avg("w"), F.variance("w")).first() == pytest.approx((1.0, 1.0), abs=0.04)
+    assert rows(df) == rows(df.repartition(7)) and rows(df.limit(50)) != rows(spark.range(50).select("id", mo.poisson_draws(["id"], 6).alias("w")))
+
+
+def test_bootstrap_equals_repeated_rows(spark):
+    """A replicate is the evaluation of the rows, each as often as it was drawn."""
+    df = spark.range(80).select("id", (F.col("id") % 2).alias("v"), ((F.col("id") * 37 % 50) / 50).alias("probability"), (F.col("id") * 13 % 3 == 0).cast("int").alias("label"))
+    got = {(r.v, r.replicate): r for r in mo.bootstrap_metrics(df, 5, ["v"], seed=3).collect()}
+    assert len(got) == 10
+    for k in (1, 4):
+        again = df.withColumn("w", mo.poisson_draws([F.lit(k), "id"], 3)).withColumn("x", F.explode(F.array_repeat(F.lit(0), F.col("w"))))
+        for r in mt.evaluate(again, by=["v"]).collect():
+            assert all(got[r.v, k][c] == pytest.approx(r[c]) for c in ("true_positive", "false_positive", "accuracy", "f1_score", "auc"))
+
+
+def test_bounds_cover_the_true_value(spark):
+    """Sixty baselines of one model: nearly all lower bounds lie below its true metrics, while half of the bare values do not."""
+    u = lambda k: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1_000_000)) / 1_000_000
+    every = spark.range(60 * 400).select("id", (F.col("id") % 60).alias("g"), u(1).alias("probability"), (u(2) < 0.2 + 0.5 * u(1)).cast("int").alias("label"))
+    true = mt.evaluate(every).first()
+    low = mo.bounded_constraints(every, 400, level=0.9, replicates=40, by=["g"]).collect()
+    bare = mo.suggest_constraints(mo.baseline(every, 400, by=["g"]), by=["g"]).collect()
+    for m in ("f1_score", "accuracy", "auc"):
+        share = lambda found: sum(r.threshold <= true[m] for r in found if r.metric == m) / 60  # noqa: B023, E731
+        assert share(low) >= 0.8 and 0.25 < share(bare) < 0.75
+    assert {r.comparison_operator for r in low} == {"LessThanThreshold"} and len(low) == 60 * 5
+    single = mo.bounded_constraints(every.where("label = 1"), 50, replicates=5).collect()
+    assert {r.metric: r.threshold for r in single}["auc"] is None
+    assert {r.metric: r.threshold for r in mo.bounded_constraints(every, 400, level=0.9, replicates=40).collect()}["auc"] < true.auc

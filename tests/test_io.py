@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from latewatch.functions import whole_number
 from latewatch.operators import gate as gt
 from latewatch.operators import metrics as mt
 from latewatch.schemas import AIRLINE_COLUMNS, FLIGHT_COLUMNS, SPLIT_COLUMNS, matrix_schema, schema_of
@@ -227,3 +228,17 @@ def test_skip_writes_what_an_aborted_write_left(spark, tmp_path):
     for _ in range(2):
         writers.write_matrix_csv(df, f"{tmp_path}/m", ["x"], splits=["train", "val"], if_exists="skip")
         assert rows(readers.read_tree(spark, f"{tmp_path}/m", "csv", matrix_schema(["x"]))) == [(0, 3.0), (1, 2.0)]
+
+
+def test_whole_numbers_are_exact(spark):
+    cells = {
+        "9007199254740993": 9007199254740993, "-9223372036854775808": -(2**63), "9223372036854775807": 2**63 - 1, "9223372036854775808": None, "12.5": None, "NaN": None,
+        "930.0": 930, "930.000": 930, "1e3": 1000, "-7": -7, "": None, "x": None, " 12 ": 12, "Infinity": None, "0.0001": None, "12 345": None, "1e400": None, "-0.0": 0,
+    }
+    df = spark.createDataFrame([(c, v) for c, v in cells.items()] + [(None, None)], "t string, want bigint")
+    got = df.select("t", "want", whole_number("t", "bigint").alias("big"), whole_number(F.col("t")).alias("small"))
+    for r in got.collect():
+        assert r.big == r.want, r.t
+        assert r.small == (r.want if r.want is not None and abs(r.want) < 2**31 else None), r.t
+    bad = {r["column"]: r.n_bad for r in catalog.bad_casts(df.select(F.col("t").alias("a"), F.col("t").alias("b")), {"a": "bigint", "b": "int"}).collect()}
+    assert bad == {"a": sum(v is None for v in cells.values()), "b": sum(v is None or abs(v) >= 2**31 for v in cells.values())}
