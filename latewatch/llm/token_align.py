@@ -3,13 +3,17 @@
 Each text is tokenised as a whole by both tokenizers: a space and the text byte-level (A), the text alone by pieces with byte fallback, which put that
 space in front themselves (B). Only where the joined bytes of both equal the space and the text is there anything to align; byte places
 of a token are then running sums of token lengths. Places where both sides start a space-marked token, so that both ended one there, are anchors: they
-cut a text into windows of a few tokens, mostly one word. The groups of a window depend on its two tuples of ids only, so each worker keeps those of the windows
-it has met; a window of over ``LONG`` tokens, as in texts without spaces, is worked out each time.
+cut a text into windows of a few tokens, mostly one word. The groups of a window depend on its two tuples of ids only, so each worker keeps the alignment of
+the windows it has met, by these tuples; all new windows of a batch of texts are aligned in one numpy step, and the results of the texts are put together from
+the kept alignments.
 
 A group is a run of A tokens and a run of B tokens between two shared ends with none in between. Its last two tokens are the one pair of it that
 ends together, hence a link, and a text has as many links as groups. Distinct links of each text are written with their numbers; Spark adds them up over
 all texts, finds the highest count of each B id, and joins both back. The table of counts is broadcast if it is measured to be small.
 
+Where the file of A is a byte-level vocabulary whose merges stand in the order of their ids, cut by the usual pattern, a faster library merges by the ranks of
+that same file; the ids are equal (tested). Other files are read by the library of their format.
+
 Null and empty texts, and those whose bytes differ (control characters that a side drops, U+2581 itself), have no tokens, groups or links. Repeated
 rows all count and each get a row; null and equal ids are allowed. Empty tables give empty results; other columns are kept by ``align``. The vocabulary files are
 read on the driver and broadcast; their size is that of a vocabulary.
@@ -19,7 +23,6 @@ from __future__ import annotations
 
 import json
 import os
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +32,14 @@ from pyspark.sql import functions as F
 
 from latewatch.llm.common import GROUP_CHARS, fits, groups, text_batches, written
 
-LONG = 64
-STORE = 250_000  # windows that a worker keeps; it starts afresh when the store is full
+STORE = 250_000  # windows that a worker keeps, and a multiple of it in tokens; it starts afresh when the store is full
+STORE_TOKENS = 12
+BLOCK = 100_000  # windows that are put together at a time
 SPACE = "▁"
 PAIR = 1 << 32
+MARK = PAIR - 1  # no id
+# Fixed value: the pattern that cuts a text before byte-level merging, as the format of A applies it.
+CUT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def byte_level() -> dict[str, int]:
@@ -43,108 +50,173 @@ def byte_level() -> dict[str, int]:
 
 
 class Vocabulary:
-    """Bytes of all tokens of one tokenizer, by id."""
+    """Byte strings by number."""
 
     def __init__(self, words: list[bytes]):
-        self.sizes = [len(w) for w in words]
-        self.lengths = np.array(self.sizes, np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
+        self.lengths = np.array([len(w) for w in words], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
         self.flat = np.frombuffer(b"".join(words), np.uint8)
         self.spaced = np.array([w.startswith(b" ") for w in words], bool)
+        self.words = words
+
+    def joined(self, ids: list[int]) -> bytes:
+        return b"".join(map(self.words.__getitem__, ids))
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of consecutive runs: from each start as many as its size."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
 
-    def joined(self, ids: np.ndarray, ends: np.ndarray) -> bytes:
-        size = self.lengths[ids]
-        return self.flat[np.repeat(self.starts[ids] - ends + size, size) + np.arange(ends[-1])].tobytes()
+class Alignments:
+    """Kept windows: by their id tuples a number, and for each number the tokens of its groups in order and the links."""
+
+    def __init__(self):
+        self.places: dict[bytes, int] = {}
+        self.items, self.links = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.item_starts = self.item_sizes = self.link_starts = self.link_sizes = np.empty(0, np.int64)
+
+    def add(self, items, item_sizes, links, link_sizes) -> None:
+        self.item_starts = np.concatenate([self.item_starts, len(self.items) + np.cumsum(item_sizes) - item_sizes])
+        self.link_starts = np.concatenate([self.link_starts, len(self.links) + np.cumsum(link_sizes) - link_sizes])
+        self.item_sizes, self.link_sizes = np.concatenate([self.item_sizes, item_sizes]), np.concatenate([self.link_sizes, link_sizes])
+        self.items, self.links = np.concatenate([self.items, items]), np.concatenate([self.links, links])
 
 
 class Aligner:
     def __init__(self, json_a: str, model_b: bytes):
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.a = Tokenizer.from_str(json_a)
-        self.a.encode_special_tokens = True
         self.b = SentencePieceProcessor(model_proto=model_b)
-        level, known = byte_level(), self.a.get_vocab(with_added_tokens=True)
-        added = {t["id"]: t["content"] for t in json.loads(json_a).get("added_tokens", [])}
-        words = [b""] * (max(known.values()) + 1)
+        raw = json.loads(json_a)
+        level, known = byte_level(), raw["model"]["vocab"]
+        added = {t["id"]: t["content"].encode() for t in raw.get("added_tokens", [])}
+        words = [b""] * (max([*known.values(), *added]) + 1)
         for w, i in known.items():
-            words[i] = added[i].encode() if i in added else bytes(level[c] for c in w)
+            words[i] = added[i] if i in added else bytes(level[c] for c in w)
+        for i, w in added.items():
+            words[i] = w
         self.bytes_a = Vocabulary(words)
+        self.encode_a = _ranked(raw, words, added) or _listed(json_a)
         ids = range(self.b.get_piece_size())
         self.bytes_b = Vocabulary([
             bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace(SPACE, " ").encode() for i in ids
         ])
-        self._start()
-
-    def _start(self) -> None:
-        self.places: dict[tuple[bytes, bytes], int] = {}
-        self.texts: list[str] = []
-        self.links: list[bytes] = []
-
-    def window(self, a: list[int], b: list[int]) -> tuple[str, bytes]:
-        """Groups of a window as text, and the packed pairs of ids that end them."""
-        size_a, size_b = self.bytes_a.sizes, self.bytes_b.sizes
-        out, pairs = [], []
-        i = j = i0 = j0 = 0
-        end_a, end_b = size_a[a[0]], size_b[b[0]]
-        while True:
-            if end_a == end_b:
-                out.append(f"{','.join(map(str, a[i0:i + 1]))}|{','.join(map(str, b[j0:j + 1]))}")
-                pairs.append(a[i] * PAIR + b[j])
-                i0, j0 = i + 1, j + 1
-                if i0 == len(a):
-                    return ";".join(out), struct.pack(f"<{len(pairs)}q", *pairs)
-                i, j = i0, j0
-                end_a, end_b = end_a + size_a[a[i]], end_b + size_b[b[j]]
-            elif end_a < end_b:
-                i += 1
-                end_a += size_a[a[i]]
-            else:
-                j += 1
-                end_b += size_b[b[j]]
-
-    def one(self, text: str, a: np.ndarray, b: np.ndarray) -> tuple:
-        """(n_a, n_b, n_groups, groups, pairs, times) of one text."""
-        nothing = (0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64))
-        if not text or not len(a) or not len(b):
-            return nothing
+        # every id as text, followed by each of the three signs that may come after it
+        shown = Vocabulary([f"{i}{sign}".encode() for i in range(max(len(words), len(ids))) for sign in ",|;"])
+        self.shown_starts, self.shown_sizes, self.shown = shown.starts, shown.lengths, shown.flat
+        self.kept = Alignments()
+
+    def align_new(self, a: np.ndarray, b: np.ndarray, wa: np.ndarray, wb: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Alignments of windows of ``wa`` and ``wb`` tokens that follow one another in ``a`` and ``b``: items, items per window, links, links per window.
+
+        An item is three times an id plus the place of the sign after it in ",|;".
+        """
         end_a, end_b = np.cumsum(self.bytes_a.lengths[a]), np.cumsum(self.bytes_b.lengths[b])
+        at = np.searchsorted(end_b, end_a)
+        last_a = np.flatnonzero(end_b[np.minimum(at, len(end_b) - 1)] == end_a)  # ends of windows are shared, so each group lies in one
+        last_b = at[last_a]
+        group_a, group_b = np.searchsorted(last_a, np.arange(len(a))), np.searchsorted(last_b, np.arange(len(b)))
+        before_b, through_a = np.concatenate([[0], last_b + 1]), last_a + 1
+        items = np.empty(len(a) + len(b), np.int64)
+        sign = np.zeros(len(a), np.int64)
+        sign[last_a] = 1
+        items[np.arange(len(a)) + before_b[group_a]] = 3 * a + sign
+        sign = np.zeros(len(b), np.int64)
+        sign[last_b] = 2
+        items[np.arange(len(b)) + through_a[group_b]] = 3 * b + sign
+        window = np.searchsorted(np.cumsum(wa), last_a, "right")
+        return items, wa + wb, a[last_a] * PAIR + b[last_b], np.bincount(window, minlength=len(wa))
+
+    def together(self, texts: list[str], a: list[list[int]], b: list[list[int]]) -> list[tuple]:
+        """(n_a, n_b, n_groups, groups, pairs, times) of texts whose bytes agree, all at once."""
+        ids_a, ids_b = (np.concatenate([np.array(x, np.int64) for x in side]) for side in (a, b))
+        start_a, start_b = (np.cumsum(v.lengths[i]) - v.lengths[i] for v, i in ((self.bytes_a, ids_a), (self.bytes_b, ids_b)))
+        # space-marked tokens of both sides at one place: the tokens before them ended there, too; a text begins with such a pair
+        cut_a, cut_b = np.flatnonzero(self.bytes_a.spaced[ids_a]), np.flatnonzero(self.bytes_b.spaced[ids_b])
+        place = np.searchsorted(start_b[cut_b], start_a[cut_a])
+        both = np.flatnonzero(np.append(start_b[cut_b], -1)[place] == start_a[cut_a])
+        cut_a, cut_b = np.append(cut_a[both], len(ids_a)), np.append(cut_b[place[both]], len(ids_b))
+        if len(self.kept.places) > STORE or len(self.kept.items) > STORE_TOKENS * STORE:
+            self.kept = Alignments()
+        # the two tuples of a window as one run of numbers: its A ids, a mark, its B ids
+        wa, wb = np.diff(cut_a), np.diff(cut_b)
+        number = np.arange(len(wa))
+        tuples = np.full(len(ids_a) + len(ids_b) + len(wa), MARK, "<u4")
+        tuples[np.arange(len(ids_a)) + np.repeat(cut_b[:-1] + number, wa)] = ids_a
+        tuples[np.arange(len(ids_b)) + np.repeat(cut_a[1:] + number + 1, wb)] = ids_b
+        packed, cuts = tuples.tobytes(), (4 * np.concatenate([[0], np.cumsum(wa + wb + 1)])).tolist()
+        keys = [packed[i:j] for i, j in zip(cuts, cuts[1:])]
+        places = self.kept.places
+        n = len(places)
+        first = []
+        window = np.array([-1 if x is None else x for x in map(places.get, keys)], np.int64)
+        for k in np.flatnonzero(window < 0).tolist():
+            at = places.setdefault(keys[k], n)
+            if at == n:
+                first.append(k)
+                n += 1
+            window[k] = at
+        first = np.array(first, np.int64)
+        if len(first):
+            wa, wb = wa[first], wb[first]
+            self.kept.add(*self.align_new(ids_a[_spread(cut_a[first], wa)], ids_b[_spread(cut_b[first], wb)], wa, wb))
+        ends = np.searchsorted(cut_a, np.cumsum([len(x) for x in a]))  # a text ends with a window
+        out, start = [], 0
+        for x, y, end in zip(a, b, ends.tolist(), strict=True):
+            shown, pairs = [], []
+            for k in range(start, end, BLOCK):
+                some = window[k : min(end, k + BLOCK)]
+                items = self.kept.items[_spread(self.kept.item_starts[some], self.kept.item_sizes[some])]
+                shown.append(self.shown[_spread(self.shown_starts[items], self.shown_sizes[items])].tobytes())
+                pairs.append(self.kept.links[_spread(self.kept.link_starts[some], self.kept.link_sizes[some])])
+            every = np.concatenate(pairs)
+            distinct, times = np.unique(every, return_counts=True)
+            out.append((len(x), len(y), len(every), b"".join(shown)[:-1].decode(), distinct, times))
+            start = end
+        return out
+
+    def agree(self, text: str, a: list[int], b: list[int]) -> bool:
+        """Whether both sides hold the bytes of a space and the text."""
+        if not text or not a or not b:
+            return False
         whole = b" " + text.encode("utf-8", "surrogatepass")
-        if end_a[-1] != len(whole) or end_b[-1] != len(whole) or self.bytes_a.joined(a, end_a) != whole or self.bytes_b.joined(b, end_b) != whole:
-            return nothing
-        start_a, start_b = end_a - self.bytes_a.lengths[a], end_b - self.bytes_b.lengths[b]
-        anchors = np.intersect1d(start_a[self.bytes_a.spaced[a]], start_b[self.bytes_b.spaced[b]], assume_unique=True)
-        anchors = anchors[anchors > 0]
-        cut_a = [0, *np.searchsorted(start_a, anchors).tolist(), len(a)]
-        cut_b = [0, *np.searchsorted(start_b, anchors).tolist(), len(b)]
-        packed_a, packed_b = a.astype("<u4").tobytes(), b.astype("<u4").tobytes()
-        if len(self.places) > STORE:
-            self._start()
-        texts, links = [], []
-        for k in range(len(cut_a) - 1):
-            key = (packed_a[4 * cut_a[k] : 4 * cut_a[k + 1]], packed_b[4 * cut_b[k] : 4 * cut_b[k + 1]])
-            place = self.places.get(key)
-            if place is not None:
-                texts.append(self.texts[place])
-                links.append(self.links[place])
-                continue
-            made = self.window(a[cut_a[k] : cut_a[k + 1]].tolist(), b[cut_b[k] : cut_b[k + 1]].tolist())
-            texts.append(made[0])
-            links.append(made[1])
-            if len(key[0]) + len(key[1]) <= 4 * LONG:
-                self.places[key] = len(self.texts)
-                self.texts.append(made[0])
-                self.links.append(made[1])
-        every = np.frombuffer(b"".join(links), "<i8")
-        pairs, times = np.unique(every, return_counts=True)
-        return len(a), len(b), len(every), ";".join(texts), pairs, times
+        return self.bytes_a.joined(a) == whole and self.bytes_b.joined(b) == whole
 
     def many(self, texts: list[str]) -> list[tuple]:
-        a = [np.array(x.ids, np.int64) for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        b = [np.array(x, np.int64) for x in self.b.encode(texts, num_threads=1)]
-        return [self.one(*x) for x in zip(texts, a, b, strict=True)]
+        a, b = self.encode_a([" " + t for t in texts]), self.b.encode(texts, num_threads=1)
+        good = [k for k in range(len(texts)) if self.agree(texts[k], a[k], b[k])]
+        out = [(0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64))] * len(texts)
+        if good:
+            for k, made in zip(good, self.together(*([x[k] for k in good] for x in (texts, a, b))), strict=True):
+                out[k] = made
+        return out
+
+
+def _ranked(raw: dict, words: list[bytes], added: dict[int, bytes]):
+    """An encoder by ranks if the file says no more than that: byte-level, the usual cut, each merge making the next id."""
+    model, cut = raw["model"], raw.get("pre_tokenizer") or {}
+    plain = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space") and not raw.get("normalizer")
+    plain = plain and model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+    vocab = model["vocab"]
+    if not plain or any(vocab.get(x + y) != 256 + k for k, (x, y) in enumerate(pairs)) or len(vocab) != 256 + len(pairs) + len(added.keys() & set(vocab.values())):
+        return None
+    import tiktoken
+
+    ranks = {w: i for i, w in enumerate(words) if i not in added}
+    encode = tiktoken.Encoding("a", pat_str=CUT, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    return lambda texts: [encode(t) for t in texts]
+
+
+def _listed(json_a: str):
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    library = Tokenizer.from_str(json_a)
+    library.encode_special_tokens = True
+    return lambda texts: [x.ids for x in library.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 _MADE: dict[tuple, Aligner] = {}

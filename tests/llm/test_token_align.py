@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import unicodedata
 from collections import Counter, defaultdict
 
 import public_tokenizers as P
@@ -98,16 +99,46 @@ def test_any_text(text):
 def test_byte_level_is_complete():
     level = token_align.byte_level()
     assert level == UNITS and sorted(level.values()) == list(range(256))
-    assert json.loads(open(A_PATH, encoding="utf-8").read())["model"]["vocab"].keys() <= {"".join(x) for x in A.get_vocab()}
+
+
+def test_ranks_of_the_file_give_its_ids(monkeypatch):
+    """The faster encoder is used for the file, and gives the ids of the library of its format: on texts, and on every letter, number, mark and space there is."""
+    raw = open(A_PATH, encoding="utf-8").read()
+    calls = []
+    monkeypatch.setattr(token_align, "_listed", lambda j: calls.append(j))
+    token_align.Aligner(raw, open(B_PATH, "rb").read())
+    assert not calls
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) not in ("Cn", "Co")]
+    texts = [" " + "".join(f"a{c}{c}1{c} {c}'s{c}\n" for c in every[k : k + 200]) for k in range(0, len(every), 200)]
+    texts += [" " + t for t in ODD] + [" don't WE'LL  it's  \t\n x", " 12ab34", " ...a"]
+    want = [x.ids for x in A.encode_batch_fast(texts, add_special_tokens=False)]
+    wrong = [t for t, x, y in zip(texts, OURS.encode_a(texts), want, strict=True) if x != y]
+    assert wrong == []
+
+
+def test_other_files_are_read_by_their_library():
+    raw = json.loads(open(A_PATH, encoding="utf-8").read())
+    raw["model"]["merges"] = [raw["model"]["merges"][1], raw["model"]["merges"][0], *raw["model"]["merges"][2:]]
+    other = token_align.Aligner(json.dumps(raw), open(B_PATH, "rb").read())
+    assert other.encode_a([" the cat"]) == [Tokenizer.from_str(json.dumps(raw)).encode(" the cat").ids]
 
 
 def test_store_starts_afresh(monkeypatch):
     monkeypatch.setattr(token_align, "STORE", 3)
-    monkeypatch.setattr(token_align, "LONG", 4)
+    monkeypatch.setattr(token_align, "BLOCK", 2)
     for text in ODD * 2:
         check(text)
 
 
+def test_batches_are_the_texts_one_by_one():
+    for k in range(len(ODD)):
+        batch = ODD[k:] + ODD[:k]
+        got = OURS.many(batch)
+        for text, x in zip(batch, got, strict=True):
+            alone = OURS.many([text])[0]
+            assert x[:4] == alone[:4] and x[4].tolist() == alone[4].tolist() and x[5].tolist() == alone[5].tolist()
+
+
 def test_query(spark, sf):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     out = queries.op13_token_align(spark, sf)
