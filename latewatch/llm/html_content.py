@@ -1,13 +1,13 @@
 """Main text of web pages by a tree-structured graphical model over DOM nodes.
 
 Every block element and every run of text is a node with a hidden state, content or not. Node potentials are log-linear
-in what is seen at the node (tag, words of class, id and role, length, links, punctuation); parent-child potentials tie
+in what is seen at the node (tag, words of class, id and role, length, links, punctuation) and at the elements around it; parent-child potentials tie
 a node to its parent. Sum-product messages go up the tree and down again, one numpy step for all nodes of one depth of
 all pages in a batch, and give each run's content marginal; runs with at least one half are the main text. The
 potentials are trained by gradient ascent on the likelihood of hand-labelled pages, the same messages giving the gradient.
 
-Inline elements belong to the block around them. A line break is white space. Scripts, styles, comments and the like
-have no nodes. Null, empty or markup-only pages give an empty text; broken markup is repaired as browsers do (open
+Inline elements belong to the block around them, formulas, too, and amid text also what stands in for a video and the like. A line break is white space.
+Scripts, styles, comments, frames and form controls amid text have no nodes and do not end a block. Null, empty or markup-only pages give an empty text; broken markup is repaired as browsers do (open
 paragraphs and items are closed by the next one, stray end tags are dropped, an unclosed comment or script ends with the page).
 Repeated rows give equal results, the table may be empty, other columns stay as they are.
 """
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,13 +29,18 @@ from latewatch.llm.common import groups, text_batches
 from latewatch.llm.labelled_pages import PAGES
 
 INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike "
-             "strong sub sup time tt u var wbr".split())
+             "strong sub sup time tt u var wbr "
+             "math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle msub msup msubsup munder mover munderover mmultiscripts mpadded menclose mspace semantics".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title noscript iframe xmp noembed template svg math select object canvas audio video".split())
+RAW = set("script style textarea title iframe xmp noembed template svg select annotation annotation-xml".split())
+# what is shown if something else cannot be: part of the block where it stands amid text, else an element of its own, of this kind
+FALLBACK = {"noscript": ["other", "w_notice"], "object": ["figure"], "audio": ["figure"], "video": ["figure"], "canvas": ["figure"]}
+INLINE |= {f"~{t}" for t in FALLBACK}  # as they are called where they are part of a block
+CONTROLS = {"button", "label"}  # amid text they are left out, the block goes on
 # a start tag closes an open element of these kinds, but not beyond the given borders
 BORDERS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": set()}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-KEEPS_P = INLINE | VOID - {"hr"} | {"label", "button", "option"}
+KEEPS_P = INLINE | VOID - {"hr"} | set(FALLBACK) | {"label", "button", "option"}
 
 TAG_KINDS = {
     "top": "html body root", "nav": "nav menu", "header": "header", "footer": "footer", "aside": "aside", "article": "article", "main": "main",
@@ -57,10 +63,14 @@ KINDS_OF_WORD: dict[str, list[str]] = {}
 for _k, _ws in WORD_KINDS.items():
     for _w in _ws.split():
         KINDS_OF_WORD.setdefault(_w, []).append(_k)
+# what is seen at an element and holds for all that lies in it
+INHERITED = ["nav", "header", "footer", "aside", "article", "main", "form", "hidden", *WORD_KINDS]
 FEATURES = {f: i for i, f in enumerate([
-    "element", "other", "hidden", *TAG_KINDS, *WORD_KINDS, "run", "len0", "len1", "len2", "len3", "links0", "links1", "links2", "stop", "sign",
+    "element", "other", "hidden", *TAG_KINDS, *WORD_KINDS, *[f"in_{f}" for f in INHERITED], "run", "len0", "len1", "len2", "len3", "links0", "links1", "links2", "stop", "sign",
 ])}
 
+_GIVES = {f: FEATURES[f"in_{f}"] for f in INHERITED}
+_NOWHERE: frozenset[int] = frozenset()
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 _PLAIN = re.compile(r"[^\"'>]*")
 _ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -78,6 +88,7 @@ class Forest:
         self.text: dict[int, str] = {}
         self.marked: list[bool] = []
         self.page: list[int] = []
+        self.inside: list[frozenset[int]] = []  # inherited features, as numbers
 
     def add(self, page: int, parent: int, features: list[str], run: bool, marked: bool) -> int:
         k = len(self.parent)
@@ -86,18 +97,25 @@ class Forest:
         self.run.append(run)
         self.marked.append(marked)
         self.page.append(page)
+        inside = self.inside[parent] if parent >= 0 else _NOWHERE
         self.cells.extend((k, FEATURES[f]) for f in features)
+        self.cells.extend((k, f) for f in inside)
+        given = [_GIVES[f] for f in features if f in _GIVES]
+        self.inside.append(inside | set(given) if given else inside)
         return k
 
     def read(self, page: int, source: str) -> None:
         root = self.add(page, -1, ["element", "top"], False, False)
         stack: list[tuple[str, int]] = [("root", root)]  # open elements; inline ones have the node of their block
+        opened: Counter[str] = Counter()  # how many elements of a name are open; a search for none is not begun
         buffer: list[str] = []
+        filled = False
         links, linked, at, n = 0, 0, 0, len(source)
         missing: set[str] = set()
 
         def flush() -> None:
-            nonlocal linked
+            nonlocal linked, filled
+            filled = False
             if buffer:
                 text = " ".join("".join(buffer).split())
                 if text:
@@ -117,8 +135,24 @@ class Forest:
             if any(t not in INLINE for t, _ in stack[depth:]):
                 flush()
             links -= sum(t == "a" for t, _ in stack[depth:])
+            opened.subtract(t for t, _ in stack[depth:])
             del stack[depth:]
 
+        def end_inline(tag: str) -> None:  # at most what is open inside the block
+            nonlocal links
+            for d in range(len(stack) - 1, 0, -1):
+                if stack[d][0] not in INLINE:
+                    break
+                if stack[d][0] == tag:
+                    links -= tag == "a"
+                    opened[tag] -= 1
+                    del stack[d]
+                    break
+
+        def push(tag: str, node: int) -> None:
+            opened[tag] += 1
+            stack.append((tag, node))
+
         while at < n:
             lt = source.find("<", at)
             end = n if lt < 0 else lt
@@ -126,6 +160,7 @@ class Forest:
                 piece = source[at:end]
                 piece = html.unescape(piece) if "&" in piece else piece
                 buffer.append(piece)
+                filled = filled or not piece.isspace()
                 if links:
                     linked += len(piece.strip())
             if lt < 0:
@@ -146,6 +181,7 @@ class Forest:
                     at = n if stop < 0 else stop + 1
                 else:
                     buffer.append("<")
+                    filled = True
                     at = lt + 1
                 continue
             tag, p = name.group().lower(), name.end()
@@ -162,14 +198,12 @@ class Forest:
                     p = stop + 1
             attributes, at = source[name.end() : p], min(n, p + 1)
             if after == "/":
-                if tag in INLINE:  # ends at most what is open inside the block
-                    for d in range(len(stack) - 1, 0, -1):
-                        if stack[d][0] not in INLINE:
-                            break
-                        if stack[d][0] == tag:
-                            links -= tag == "a"
-                            del stack[d]
-                            break
+                if opened[f"~{tag}"]:
+                    end_inline(f"~{tag}")
+                elif not opened[tag]:
+                    pass
+                elif tag in INLINE:
+                    end_inline(tag)
                 elif tag not in VOID:
                     for d in range(len(stack) - 1, 0, -1):
                         if stack[d][0] == tag:
@@ -180,9 +214,12 @@ class Forest:
                 if not attributes.endswith("/") or tag in ("script", "style", "textarea", "title"):
                     found = _raw_end(tag).search(source, at)
                     at = n if not found else found.end()
-                if tag not in ("svg", "math"):
-                    flush()
                 continue
+            if tag in CONTROLS and filled:
+                found = _raw_end(tag).search(source, at)
+                if found:
+                    at = found.end()
+                    continue
             if tag == "br":
                 buffer.append(" ")
                 continue
@@ -190,14 +227,14 @@ class Forest:
                 if tag == "hr":
                     flush()
                 continue
-            if tag not in KEEPS_P:
+            if tag not in KEEPS_P and opened["p"]:
                 for d in range(len(stack) - 1, 0, -1):
                     if stack[d][0] == "p":
                         close_to(d)
                         break
                     if stack[d][0] not in INLINE:
                         break
-            if tag in CLOSES:
+            if tag in CLOSES and any(opened[t] for t in CLOSES[tag]):
                 for d in range(len(stack) - 1, 0, -1):
                     if stack[d][0] in CLOSES[tag]:
                         close_to(d)
@@ -206,18 +243,21 @@ class Forest:
                         break
             if tag in INLINE and tag != "label":
                 links += tag == "a"
-                stack.append((tag, stack[-1][1]))
+                push(tag, stack[-1][1])
+                continue
+            if tag in FALLBACK and filled:
+                push(f"~{tag}", stack[-1][1])
                 continue
             flush()
-            features, marked = ["element", KIND_OF_TAG.get(tag, "other")], self.marked[stack[-1][1]]
+            features, marked = ["element", *FALLBACK.get(tag, [KIND_OF_TAG.get(tag, "other")])], self.marked[stack[-1][1]]
             if attributes.strip(" /"):
                 values = {a[0].lower(): a[1] or a[2] or a[3] for a in _ATTRIBUTE.findall(attributes)}
                 marked = marked or "data-content" in values
                 words = _WORDS.findall(" ".join(values.get(k, "") for k in ("class", "id", "role")).lower())
-                features += sorted({k for w in words for k in KINDS_OF_WORD.get(w, ())})
+                features += sorted({k for w in words for k in KINDS_OF_WORD.get(w, ())} - set(features))
                 if "hidden" in values or values.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", values.get("style", "")):
                     features.append("hidden")
-            stack.append((tag, self.add(page, stack[-1][1], features, False, marked)))
+            push(tag, self.add(page, stack[-1][1], features, False, marked))
         flush()
 
     def arrays(self) -> tuple[np.ndarray, ...]:
@@ -263,11 +303,11 @@ def messages(parent, depth, run, score, ties):
     return marginal, inner, joint
 
 
-@lru_cache(maxsize=1)
-def train(steps: int = 400, rate: float = 0.05, decay: float = 0.01) -> tuple[np.ndarray, np.ndarray]:
-    """Potentials from the labelled pages. An element's label is the mark, or that most of its text below is marked."""
+@lru_cache(maxsize=16)
+def train(pages: tuple[str, ...] = tuple(PAGES), steps: int = 400, rate: float = 0.05, decay: float = 0.01) -> tuple[np.ndarray, np.ndarray]:
+    """Potentials from labelled pages. An element's label is the mark, or that most of its text below is marked."""
     forest = Forest()
-    for k, page in enumerate(PAGES):
+    for k, page in enumerate(pages):
         forest.read(k, page)
     parent, depth, run, cells = forest.arrays()
     n = len(parent)

@@ -61,6 +61,81 @@ def test_marginals_match_enumeration():
     assert np.allclose(p, on / total) and np.allclose(joint.sum((1, 2)), 1) and len(inner) == 4
 
 
+PLAIN = "<article><h1>Head</h1><p>A plain first paragraph of the article.</p>%s<p>And the last one, which is plain, too.</p></article>"
+
+
+@pytest.mark.parametrize("middle, want", [
+    *[(f"<p>First half {x} second half.</p>", f"First half {y}second half.") for x, y in [
+        ("<script>x</script>", ""), ("<style>x</style>", ""), ("<iframe src=x>n</iframe>", ""), ("<select><option>a<option>b</select>", ""), ("<button>Go</button>", ""),
+        ("<textarea>x</textarea>", ""), ("<label>Name</label>", ""), ("<!-- x -->", ""), ("<img src=x>", ""), ("<video src=v>told</video>", "told "),
+        ("<object><b>shown</b></object>", "shown "), ("<canvas>drawn</canvas>", "drawn "), ("<noscript>said</noscript>", "said "),
+        ("<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>\\x</annotation></math>", "x=2 "),
+    ]],
+    ("<p><a href=x>Read the full report of the harbour authority here.</a></p>", "Read the full report of the harbour authority here."),
+    ("<ul><li><a href=1>First source of it</a></li><li><a href=2>The second source</a></li></ul>", "First source of it\nThe second source"),
+    ("<h2><a href=x>A linked heading</a></h2>", "A linked heading"), ("<object><p>A paragraph that stands in for something else.</p></object>", "A paragraph that stands in for something else."),
+    ("<details><summary>How it was done</summary><p>By hand.</p></details>", "How it was done\nBy hand."),
+    ("<table><tr><th>Year</th><td>1993</td></tr></table>", "Year\n1993"), ("<p>Open <object>never closed</p>", "Open never closed"),
+])
+def test_blocks_of_the_article(middle, want):
+    assert text(wrap(PLAIN % middle)) == f"Head\nA plain first paragraph of the article.\n{want}\nAnd the last one, which is plain, too."
+
+
+def test_held_out_pages():
+    """Each fourth of the labelled pages by a model of the others: the runs that it takes for main text, by their length."""
+    hit = wrong = missed = 0
+    for fold in range(4):
+        theta, ties = H.train(tuple(p for k, p in enumerate(PAGES) if k % 4 != fold))
+        for page in PAGES[fold::4]:
+            forest = H.Forest()
+            forest.read(0, page)
+            want = {t for k, t in forest.text.items() if forest.marked[k]}
+            got = set(H.main_texts([page], theta, ties)[0].split("\n")) - {""}
+            hit += sum(len(t) for t in got & want)
+            wrong += sum(len(t) for t in got - want)
+            missed += sum(len(t) for t in want - got)
+    assert hit / (hit + wrong) > 0.9 and hit / (hit + missed) > 0.9
+
+
+def plain_text(page):
+    """The whole operator on a small page, by adding up all assignments of states."""
+    import itertools
+
+    import numpy as np
+
+    forest = H.Forest()
+    forest.read(0, page)
+    n = len(forest.parent)
+    score = np.zeros(n)
+    for k, f in forest.cells:
+        score[k] += THETA[f]
+    total, on = 0.0, np.zeros(n)
+    for y in itertools.product((0, 1), repeat=n):
+        w = np.exp(sum(score[k] for k in range(n) if y[k]) + sum(TIES[int(forest.run[k])][y[forest.parent[k]], y[k]] for k in range(1, n)))
+        total, on = total + w, on + w * np.array(y)
+    return "\n".join(t for k, t in forest.text.items() if on[k] / total >= 0.5)
+
+
+@pytest.mark.parametrize("page", [
+    "<nav><a href=1>Home</a></nav><article><p>A text of some length stands here, as it should.</p></article>", "<p>x", "<div class=ad>Buy it</div><p>Plain words of a page.</p>",
+    "<ul><li><a href=1>One</a><li>Two</ul>", "<footer><p>A long sentence that an owner of a page wrote.</p></footer><main><h1>T</h1></main>", "<aside><p>a</aside><div class=content>b<div>c</div></div>",
+])
+def test_whole_operator_by_enumeration(page):
+    assert text(page) == plain_text(page)
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 20_000 + "x" + "</section></b>" * 20_000, "<b>" * 20_000 + "<div></div></p></li>" * 5_000, "<p>a<button>b" * 5_000, "<li><b>" * 3_000 + "</ul>" * 10_000,
+    "<p>x <video>" * 3_000,
+])
+def test_stray_ends_take_linear_time(page):
+    import time
+
+    start = time.process_time()
+    text(page)
+    assert time.process_time() - start < 20
+
+
 def test_training_pages_are_fitted():
     marked = [H.main_texts([p.replace(" data-content", "")], THETA, TIES)[0] for p in PAGES]
     assert all(marked) and all("©" not in t for t in marked)
