@@ -35,6 +35,7 @@ WEAK = {
 PART = {"assign": "secret", "hex": "secret", "access": "id", "weak_id": "id", "weak_secret": "secret", "weak_endpoint": "endpoint"}
 COMPLEMENTS = {"id": ("secret",), "secret": ("id", "endpoint"), "endpoint": ("secret",)}
 SCOPE = 160
+PART_SIZE = 256  # matches whose places are counted together
 _RANK = {k: i for i, k in enumerate([*KINDS, *WEAK])}
 
 
@@ -48,15 +49,29 @@ def places(text: Column, kind: str) -> Column:
     counted = sizes if group == 0 else F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), lambda m: F.length(m))
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
     steps = F.arrays_zip(sizes.alias("size"), counted.alias("counted"), F.slice(gaps, 1, F.size(sizes)).alias("gap"))
-    zero = F.struct(F.lit(0).alias("at"), F.slice(F.array(span), 1, 0).alias("out"))
+    none = F.slice(F.array(span), 1, 0)
+    zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
     def step(a: Column, s: Column) -> Column:
         start = a["at"] + s["gap"]
         one = F.struct(start.alias("start"), F.lit(_RANK[kind]).alias("rank"), (start + s["size"]).alias("end"), F.lit(kind).alias("kind"))
         return F.struct((start + s["size"]).alias("at"), F.when(s["counted"] >= least, F.concat(a["out"], F.array(one))).otherwise(a["out"]).alias("out"))
 
-    found = F.aggregate(steps, zero, step, lambda a: a["out"])
-    return F.when(text.rlike(pattern), found).otherwise(F.slice(F.array(span), 1, 0))
+    def moved(x: Column, by: Column) -> Column:
+        return F.struct((x["start"] + by).alias("start"), x["rank"].alias("rank"), (x["end"] + by).alias("end"), x["kind"].alias("kind"))
+
+    def whole(parts: Column) -> Column:
+        joined = lambda a, p: F.struct(
+            (a["at"] + p["at"]).alias("at"), F.concat(a["out"], F.array(F.transform(p["out"], lambda x: moved(x, a["at"])))).alias("out"))
+        return F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.slice(F.array(none), 1, 0).alias("out")), joined, lambda a: F.flatten(a["out"]))
+
+    # an array grows by copies: places are counted from the start of every PART_SIZE matches, then moved to where that lies
+    def in_parts(all_: Column) -> Column:
+        cuts = F.sequence(F.lit(0), F.greatest(F.size(all_) - 1, F.lit(0)), F.lit(PART_SIZE))
+        return whole(F.transform(cuts, lambda c: F.aggregate(F.slice(all_, c + 1, F.lit(PART_SIZE)), zero, step)))
+
+    found = F.transform(F.array(steps), in_parts)[0]
+    return F.when(text.rlike(pattern), found).otherwise(none)
 
 
 def scan(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -67,7 +82,7 @@ def scan(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFr
 
 
 def link(scanned: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Weak spans with a complementary part in scope: id, key, ``found``."""
+    """Weak spans with a complementary part in scope that overlap no base span: id, key, ``found``."""
     parts = (
         scanned.where(F.size("weak") > 0).select(id_column, "key", F.explode(F.concat("base", "weak")).alias("s")).distinct()
         .select(id_column, "key", "s", F.coalesce(*[F.when(F.col("s.kind") == k, F.lit(p)) for k, p in PART.items()]).alias("part"))
@@ -79,12 +94,15 @@ def link(scanned: DataFrame, id_column: str = "doc_id") -> DataFrame:
         before = F.max(F.when(F.col("part") == p, F.col("s.end"))).over(so_far)
         after = F.min(F.when(F.col("part") == p, F.col("s.start"))).over(from_here)
         close[p] = F.coalesce(F.col("s.start") - before <= SCOPE, F.lit(False)) | F.coalesce(after - F.col("s.end") <= SCOPE, F.lit(False))
-    near = parts.select("*", *[c.alias(f"near_{p}") for p, c in close.items()])
+    # base spans that start before one, the furthest end, and after it, the nearest start
+    base = lambda c: F.when(F.col("s.kind").isin(*BASE), F.col(c))
+    apart = F.coalesce(F.max(base("s.end")).over(so_far) <= F.col("s.start"), F.lit(True)) & F.coalesce(F.min(base("s.start")).over(from_here) >= F.col("s.end"), F.lit(True))
+    near = parts.select("*", apart.alias("apart"), *[c.alias(f"near_{p}") for p, c in close.items()])
     wanted = F.lit(False)
     for p, others in COMPLEMENTS.items():
         for o in others:
             wanted = wanted | ((F.col("part") == p) & F.col(f"near_{o}"))
-    return near.where(F.col("s.kind").isin(*WEAK) & wanted).groupBy(id_column, "key").agg(F.collect_list("s").alias("found"))
+    return near.where(F.col("s.kind").isin(*WEAK) & wanted & F.col("apart")).groupBy(id_column, "key").agg(F.collect_list("s").alias("found"))
 
 
 def find(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -93,8 +111,7 @@ def find(df: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFr
     scanned = written(scan(df, id_column, text), "secrets")
     linked = link(scanned, id_column).select(F.col(id_column).alias("_id"), F.col("key").alias("_key"), "found")
     joined = scanned.join(linked, scanned[id_column].eqNullSafe(F.col("_id")) & (scanned["key"] == F.col("_key")), "left")
-    apart = F.filter("found", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return joined.select(id_column, "base", F.coalesce(apart, F.slice("weak", 1, 0)).alias("found"))
+    return joined.select(id_column, "base", F.coalesce("found", F.slice("weak", 1, 0)).alias("found"))
 
 
 def spans_text(spans: Column) -> Column:
