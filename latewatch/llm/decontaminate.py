@@ -41,25 +41,36 @@ _NUMBER = r"^[0-9][0-9.,]*%?$"
 OUTER = ".,;:!?()[]{}<>\"'`*#$&|_-+=/\\~^@\u2026\u2013\u2014\u00ab\u00bb\u201c\u201d\u201e\u2018\u2019\u00bf\u00a1"
 
 
+def _small_letter(w: Column) -> Column:
+    """Starts with a to z; a comparison of bytes, which costs less than cutting the letter off."""
+    return (w >= "a") & (w < "{")
+
+
 def tokens(text: Column) -> Column:
-    """Array of (c: template token, r: word, o: template token if capitalised words that open a sentence are names too) of a text."""
+    """Array of (c: template token, r: word, o: template token if capitalised words that open a sentence are names too, NULL if that is the same) of a
+    text."""
     words = F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+")
 
     def of(raw: Column) -> Column:
-        cores = F.transform(raw, lambda w: F.btrim(w, F.lit(OUTER)))
+        # most words start and end with a small letter, and have nothing to cut off
+        bare = lambda w: _small_letter(w) & F.substring(w, -1, 1).between("a", "z")
+        cores = F.transform(raw, lambda w: F.when(bare(w), w).otherwise(F.btrim(w, F.lit(OUTER))))
         return F.transform(F.array(cores), lambda core: typed(raw, core))[0]
 
     def typed(raw: Column, cores: Column) -> Column:
         # cheap tests of the first letter stand before the patterns: most words are plain ones
         def one(core: Column, i: Column) -> Column:
-            first, before = F.substring(core, 1, 1), F.get(raw, i - 1)
+            first, before, last = F.substring(core, 1, 1), F.get(raw, i - 1), F.get(cores, i - 1)
+            large = F.lower(first) != first
+            unit = (last >= "0") & (last < ":") & last.rlike(_NUMBER) & F.lower(core).isin(UNITS)
+            word = F.when(unit, F.lit(UNIT)).otherwise(F.lower(core))
             kind = (
-                F.when(first.between("0", "9") & core.rlike(_NUMBER), F.lit(NUM))
-                .when((F.lower(first) != first) & (i > 0) & ~before.rlike(r"^$|[.!?:]$"), F.lit(NAME))
-                .when((i > 0) & F.substring(F.get(cores, i - 1), 1, 1).between("0", "9") & F.get(cores, i - 1).rlike(_NUMBER) & F.lower(core).isin(UNITS), F.lit(UNIT))
-                .otherwise(F.lower(core))
+                F.when(_small_letter(core), word)
+                .when((core >= "0") & (core < ":") & core.rlike(_NUMBER), F.lit(NUM))
+                .when(large & (i > 0) & ~before.rlike(r"^$|[.!?:]$"), F.lit(NAME))
+                .otherwise(word)
             )
-            return F.struct(kind.alias("c"), core.alias("r"), F.when(F.lower(first) != first, F.lit(NAME)).otherwise(kind).alias("o"))
+            return F.struct(kind.alias("c"), core.alias("r"), F.when(~_small_letter(core) & large & ((i == 0) | before.rlike(r"^$|[.!?:]$")), F.lit(NAME)).alias("o"))
 
         return F.filter(F.transform(cores, one), lambda x: x["c"] != "")
 
@@ -73,15 +84,24 @@ def _places(n: Column, size: int, step: int) -> Column:
 
 
 def _seeds(text: Column, step: int) -> Column:
+    """Hashes of the seeds at every ``step``-th place, and of those that a second reading changes, under both readings."""
+
     def of(t: Column) -> Column:
-        readings = F.struct(F.transform(t, lambda x: x["c"]).alias("c"), F.transform(t, lambda x: x["o"]).alias("o"))
+        # places of words with a second reading; few words have one
+        other = F.filter(F.transform(t, lambda x, j: F.when(x["o"].isNotNull(), j + 1)), lambda j: j.isNotNull())
+        readings = F.struct(F.transform(t, lambda x: x["c"]).alias("c"), F.transform(t, lambda x: F.coalesce(x["o"], x["c"])).alias("o"), other.alias("j"))
         return F.transform(F.array(readings), hashed)[0]
 
     def hashed(a: Column) -> Column:
-        places = _places(F.size(a["c"]), SEED, step)
-        other = F.filter(places, lambda i: F.slice(a["c"], i, SEED) != F.slice(a["o"], i, SEED))
+        n = F.size(a["c"])
+        last = n - SEED + 1
+        # the seeds that hold word j start at j - SEED + 1 to j, on the grid of 1, 1 + step, ...
+        least = lambda j: F.greatest(F.ceil((j - SEED) / step), F.lit(0)).cast("int") * step + 1
+        most = lambda j: (F.floor((F.least(j, last) - 1) / step) * step + 1).cast("int")
+        none = F.slice(F.array(F.lit(1)), 1, 0)
+        held = F.transform(a["j"], lambda j: F.when((last >= 1) & (least(j) <= most(j)), F.sequence(least(j), F.greatest(most(j), least(j)), F.lit(step))).otherwise(none))
         at = lambda p, c: F.transform(p, lambda i: F.xxhash64(F.slice(c, i, SEED)))
-        return F.concat(at(places, a["c"]), at(other, a["o"]))
+        return F.concat(at(_places(n, SEED, step), a["c"]), at(F.array_distinct(F.flatten(held)), a["o"]))
 
     return F.transform(F.array(tokens(text)), of)[0]
 
@@ -94,16 +114,22 @@ def _windows(text: Column) -> Column:
         return F.flatten(F.transform(_places(F.size(t), WINDOW, 1), one))
 
     def readings(i: Column, part: Column) -> Column:
-        differ = F.exists(part, lambda x: x["c"] != x["o"])
+        differ = F.exists(part, lambda x: x["o"].isNotNull())
         return F.when(differ, F.array(read(i, part, "c"), read(i, part, "o"))).otherwise(F.array(read(i, part, "c")))
 
     def read(i: Column, part: Column, how: str) -> Column:
-        slots = F.transform(F.filter(part, lambda x: x[how].isin(NUM, UNIT, NAME)), lambda x: F.concat_ws(" ", x[how], F.lower(x["r"])))
-        return F.struct(i.alias("at"), F.array_join(F.transform(part, lambda x: x[how]), " ").alias("template"), slots.alias("slots"), F.lit(how == "o").alias("open"))
+        kind = (lambda x: x["c"]) if how == "c" else (lambda x: F.coalesce(x["o"], x["c"]))
+        slots = F.transform(F.filter(part, lambda x: kind(x).isin(NUM, UNIT, NAME)), lambda x: F.concat_ws(" ", kind(x), F.lower(x["r"])))
+        return F.struct(i.alias("at"), F.array_join(F.transform(part, kind), " ").alias("template"), slots.alias("slots"), F.lit(how == "o").alias("open"))
 
     return F.transform(F.array(tokens(text)), of)[0]
 
 
+def _join_key(template: Column, slots: Column) -> Column:
+    """What two windows must share: the template, and the slots, too, where it has few words of its own. Rows of numbers meet equal rows only."""
+    return F.when(F.size(slots) > WINDOW - OWN_WORDS, F.concat_ws("|", template, F.array_join(slots, "|"))).otherwise(template)
+
+
 def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: str = "item_id", text: str = "text") -> DataFrame:
     """One row per (document, item) that leaks: id, ``text_key`` (hash of the text), item id, ``n_windows``, ``n_matched``, ``changed`` (some slot
     has another value than in the item)."""
@@ -111,7 +137,7 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
     items = items.select(F.col(item_id).alias("b"), F.col(text).alias("t")).distinct()
     item_windows = written(
         items.select("b", _windows(F.col("t")).alias("w")).select("b", F.array_max(F.col("w.at")).cast("long").alias("n"), F.explode("w").alias("w"))
-        .select("b", "n", F.col("w.at").alias("item_at"), F.col("w.template").alias("template"), F.col("w.slots").alias("item_slots"), F.col("w.open").alias("item_open")),
+        .select("b", "n", F.col("w.at").alias("item_at"), _join_key(F.col("w.template"), F.col("w.slots")).alias("key"), F.col("w.slots").alias("item_slots"), F.col("w.open").alias("item_open")),
         "benchmark-windows",
     )
     item_seeds = written(
@@ -123,8 +149,8 @@ def leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_id: st
     )
     found = docs.join(small(hits).select(F.col("d").alias("hd"), F.col("k").alias("hk")), F.col("d").eqNullSafe(F.col("hd")) & (F.col("k") == F.col("hk")), "left_semi")
     matched = written(
-        found.distinct().select("d", "k", F.explode(_windows(F.col("t"))).alias("w")).select("d", "k", "w.*").join(small(item_windows), "template")
-        .where((F.size("slots") <= WINDOW - OWN_WORDS) | (F.col("slots") == F.col("item_slots")))
+        found.distinct().select("d", "k", F.explode(_windows(F.col("t"))).alias("w")).select("d", "k", "w.*")
+        .withColumn("key", _join_key(F.col("template"), F.col("slots"))).join(small(item_windows), "key")
         .select("d", "k", "b", "n", "item_at", (F.col("at") - F.col("item_at")).alias("diagonal"), "slots", "item_slots", (F.col("open") | F.col("item_open")).alias("open")),
         "matched-windows",
     )
