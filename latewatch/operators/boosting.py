@@ -38,6 +38,8 @@ from latewatch.runtime import pin
 # Trees after which margins are written, and validation rows are looked at.
 BLOCK = 8
 MAX_BINS = 64
+# Nodes up to which a model is scored as an expression.
+EXPRESSION_NODES = 1_000
 
 
 @dataclass(frozen=True)
@@ -262,18 +264,37 @@ def _aucs(held: DataFrame) -> list[float]:
     return [r["auc"] for r in sorted(found, key=lambda r: r["round"])] if found and all(r["auc"] is not None for r in found) else []
 
 
-def score_boosted(model: BoostedTrees, df: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Every input row with its probability of class 1 and the class at ``threshold``; runs on streams, too. Trees are flat arrays that Arrow batches of rows walk together."""
-    shared = df.sparkSession.sparkContext.broadcast(model)
+def _leaf_of(tree: Sequence[Node], values: Sequence[Column], at: int = 0) -> Column:
+    """The weight that a tree gives to raw feature values, as one conditional. NULL and NaN are not below any threshold."""
+    n = tree[at]
+    if n.feature < 0:
+        return F.lit(n.value)
+    return F.when(values[n.feature] <= n.threshold, _leaf_of(tree, values, n.left)).otherwise(_leaf_of(tree, values, n.left + 1))
 
-    @F.pandas_udf("double")
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-        m = shared.value
-        for part in parts:
-            yield pd.Series(1 / (1 + np.exp(-m.margins(part.to_numpy(np.float64, na_value=np.nan)))))
 
-    values = F.struct(*[F.col(f).cast("double").alias(f"_{k}") for k, f in enumerate(model.features)])
-    return df.withColumn("probability", run(values)).withColumn("prediction", classify("probability", threshold))
+def score_boosted(model: BoostedTrees, df: DataFrame, threshold: float = 0.5, expression_nodes: int = EXPRESSION_NODES) -> DataFrame:
+    """Every input row with its probability of class 1 and the class at ``threshold``; runs on streams, too.
+
+    Up to ``expression_nodes`` nodes the model is an expression; a larger one would be more than the code of a stage may hold, and Arrow batches of rows walk
+    its trees as flat arrays instead. Both ways give the same values.
+    """
+    if sum(map(len, model.trees)) <= expression_nodes:
+        values = [F.col(f).cast("double") for f in model.features]
+        margin = F.lit(0.0)
+        for tree in model.trees:
+            margin = margin + _leaf_of(tree, values)
+        probability = 1 / (1 + F.exp(-margin))
+    else:
+        shared = df.sparkSession.sparkContext.broadcast(model)
+
+        @F.pandas_udf("double")
+        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+            m = shared.value
+            for part in parts:
+                yield pd.Series(1 / (1 + np.exp(-m.margins(part.to_numpy(np.float64, na_value=np.nan)))))
+
+        probability = run(F.struct(*[F.col(f).cast("double").alias(f"_{k}") for k, f in enumerate(model.features)]))
+    return df.withColumn("probability", probability).withColumn("prediction", classify("probability", threshold))
 
 
 def gain_importances(model: BoostedTrees, spark: SparkSession, top: int | None = None) -> DataFrame:
