@@ -20,11 +20,9 @@ import json
 import math
 import random
 import sys
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,7 +36,7 @@ from latewatch.runtime import pin
 # Trees after which margins are written, and validation rows are looked at.
 BLOCK = 8
 MAX_BINS = 64
-# Nodes up to which a model is scored as an expression.
+# Nodes up to which a model is scored by conditionals.
 EXPRESSION_NODES = 1_000
 
 
@@ -85,20 +83,6 @@ class BoostedTrees:
         raw = json.loads(spark.read.text(path, wholetext=True).first()[0])
         return cls(tuple(raw["features"]), tuple(tuple(Node(**n) for n in t) for t in raw["trees"]), tuple(raw["auc"]))
 
-    def margins(self, values: np.ndarray) -> np.ndarray:
-        """Sums of leaves for rows of raw feature values."""
-        out = np.zeros(len(values))
-        for tree in self.trees:
-            feature, threshold, left, value = (np.array([getattr(n, k) for n in tree]) for k in ("feature", "threshold", "left", "value"))
-            at = np.zeros(len(values), np.int64)
-            open_ = np.flatnonzero(feature[at] >= 0)
-            while len(open_):
-                here = at[open_]
-                at[open_] = left[here] + ~(values[open_, feature[here]] <= threshold[here])
-                open_ = open_[feature[at[open_]] >= 0]
-            out += value[at]
-        return out
-
 
 def _shrunk(g: Column, alpha: float) -> Column:
     return F.signum(g) * F.greatest(F.abs(g) - alpha, F.lit(0.0)) if alpha else g
@@ -272,29 +256,49 @@ def _leaf_of(tree: Sequence[Node], values: Sequence[Column], at: int = 0) -> Col
     return F.when(values[n.feature] <= n.threshold, _leaf_of(tree, values, n.left)).otherwise(_leaf_of(tree, values, n.left + 1))
 
 
+def _flat(values: Sequence[float], kind: str) -> Column:
+    """An array that the optimizer folds into one literal, whatever its length."""
+    words = {math.inf: "Infinity", -math.inf: "-Infinity"}
+    shown = ["NaN" if v != v else words.get(v, repr(v)) for v in values]
+    return F.split(F.lit(",".join(shown)), ",").cast(f"array<{kind}>")
+
+
+def _walked(model: BoostedTrees, values: Sequence[Column]) -> Column:
+    """The margin from flat arrays of all nodes: each tree is walked from its root, as many steps as the deepest tree has levels."""
+    nodes, roots, deepest = [], [], 0
+    for tree in model.trees:
+        base = len(nodes)
+        roots.append(base)
+        level = [0] * len(tree)
+        for k, n in enumerate(tree):
+            nodes.append((n.feature, n.threshold, base + n.left, n.value))
+            if n.feature >= 0:
+                level[n.left] = level[n.left + 1] = level[k] + 1
+        deepest = max(deepest, *level)
+    feature, threshold, left, value = (_flat([n[k] for n in nodes], kind) for k, kind in enumerate(("int", "double", "int", "double")))
+    steps = _flat(range(max(1, deepest)), "int")  # a step at a leaf goes nowhere
+
+    def margin(x: Column) -> Column:
+        down = lambda at, _: F.when(feature[at] < 0, at).otherwise(left[at] + F.when(F.get(x, feature[at]) <= threshold[at], 0).otherwise(1))
+        return F.aggregate(_flat(roots, "int"), F.lit(0.0), lambda sum_, root: sum_ + value[F.aggregate(steps, root, down)])
+
+    return F.transform(F.array(F.array(*values)), margin)[0]
+
+
 def score_boosted(model: BoostedTrees, df: DataFrame, threshold: float = 0.5, expression_nodes: int = EXPRESSION_NODES) -> DataFrame:
     """Every input row with its probability of class 1 and the class at ``threshold``; runs on streams, too.
 
-    Up to ``expression_nodes`` nodes the model is an expression; a larger one would be more than the code of a stage may hold, and Arrow batches of rows walk
-    its trees as flat arrays instead. Both ways give the same values.
+    Up to ``expression_nodes`` nodes the trees are conditionals, which are compiled; more would be too much code for a stage, and the trees are walked in
+    flat arrays instead. Both ways give the same values.
     """
+    values = [F.col(f).cast("double") for f in model.features]
     if sum(map(len, model.trees)) <= expression_nodes:
-        values = [F.col(f).cast("double") for f in model.features]
         margin = F.lit(0.0)
         for tree in model.trees:
             margin = margin + _leaf_of(tree, values)
-        probability = 1 / (1 + F.exp(-margin))
     else:
-        shared = df.sparkSession.sparkContext.broadcast(model)
-
-        @F.pandas_udf("double")
-        def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-            m = shared.value
-            for part in parts:
-                yield pd.Series(1 / (1 + np.exp(-m.margins(part.to_numpy(np.float64, na_value=np.nan)))))
-
-        probability = run(F.struct(*[F.col(f).cast("double").alias(f"_{k}") for k, f in enumerate(model.features)]))
-    return df.withColumn("probability", probability).withColumn("prediction", classify("probability", threshold))
+        margin = _walked(model, values)
+    return df.withColumn("probability", 1 / (1 + F.exp(-margin))).withColumn("prediction", classify("probability", threshold))
 
 
 def gain_importances(model: BoostedTrees, spark: SparkSession, top: int | None = None) -> DataFrame:
