@@ -141,25 +141,50 @@ def join_ground_truth(
 
     Ids may repeat from run to run, so time is part of the match. A truth row belongs to the latest scored row before it (of
     several at one time to the one that is greatest by its columns); equal truth rows count once. Without ``latest_only`` it is paired
-    with every scored row in range. It is also part of the join key: the time axis is
-    cut into pieces of ``max_delay``, each truth row is looked for in the two pieces it can belong to, and an id that
-    is reused millions of times is thereby spread over its pieces and never compared across the whole history.
+    with every scored row in range. The time axis is cut into pieces of ``max_delay``, and an id that
+    is reused millions of times is thereby spread over its pieces and never compared across the whole history. The latest row is found by
+    walking both sides of a piece in the order of time: pairs in range, whose number grows with the square of an id's rows, are never made.
     """
     step = F.lit(float(_seconds(max_delay)))
     at, arrived = _epoch(F.col(ts)), _epoch(F.col(truth_ts))
-    left = scored.withColumn("_piece", F.floor(at / step))
     last = F.floor(arrived / step)
+    if latest_only:
+        return _latest_before(scored, truth, F.floor(at / step), last, step, id, ts, truth_ts)
+    left = scored.withColumn("_piece", F.floor(at / step))
     right = truth.withColumnRenamed(id, "_id").withColumn("_piece_r", F.explode(F.array(last - 1, last)))
     within = (F.col(truth_ts) >= F.col(ts)) & (arrived <= at + step)
-    pairs = left.join(
+    return left.join(
         right, (F.col(id) == F.col("_id")) & (F.col("_piece") == F.col("_piece_r")) & within, "inner"
-    ).drop("_piece", "_piece_r")
-    if not latest_only:
-        return pairs.drop("_id")
+    ).drop("_piece", "_piece_r", "_id")
+
+
+def _latest_before(
+    scored: DataFrame, truth: DataFrame, piece: Column, truth_piece: Column, step: Column, id: str, ts: str, truth_ts: str
+) -> DataFrame:
+    """Each distinct truth row with the greatest scored row of its id up to its time, if that is within ``step`` seconds.
+
+    A scored row stands in its own piece of the time axis and in the next one, a truth row in its own; one sort of each (id, piece) by time
+    brings a truth row behind all scored rows it can belong to, and the greatest so far is kept in passing.
+    """
     others, own = [c for c in truth.columns if c != id], list(scored.columns)
     row = F.struct(F.col(ts).alias("_ts"), F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"))
-    last = pairs.groupBy("_id", *[F.col(f"`{c}`") for c in others]).agg(F.max(row).alias("_last"))
-    return last.select("_last._row.*", *[F.col(f"`{c}`") for c in others])
+    runs = scored.select(F.col(id).alias("_id"), F.explode(F.array(piece, piece + 1)).alias("_piece"), _instant(scored, ts).alias("_at"), row.alias("_run"))
+    asked = truth.select(
+        F.col(id).alias("_id"), truth_piece.alias("_piece"), _instant(truth, truth_ts).alias("_at"),
+        F.struct(*[F.col(f"`{c}`") for c in others]).alias("_truth"))
+    both = runs.unionByName(asked, allowMissingColumns=True).where("_id IS NOT NULL AND _piece IS NOT NULL")
+    order = Window.partitionBy("_id", "_piece").orderBy("_at", "_truth")  # at one time scored rows, without truth, come first
+    found = both.select(
+        "_truth", F.max("_run").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_last"), F.lag("_truth").over(order).alias("_twin"))
+    found = found.where(
+        F.col("_truth").isNotNull() & ~F.col("_truth").eqNullSafe(F.col("_twin"))
+        & (_epoch(F.col("_truth")[truth_ts]) <= _epoch(F.col("_last._ts")) + step))
+    return found.select("_last._row.*", *[F.col("_truth")[c].alias(c) for c in others])
+
+
+def _instant(df: DataFrame, c: str) -> Column:
+    """A column to sort by time: as it is, or made a timestamp."""
+    return F.col(c) if df.schema[c].dataType.typeName().startswith("timestamp") else F.col(c).cast("timestamp")
 
 
 def _epoch(c: Column) -> Column:

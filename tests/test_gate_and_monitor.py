@@ -2,6 +2,8 @@
 
 import datetime as dt
 import math
+import random
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -184,3 +186,37 @@ def test_bounds_cover_the_true_value(spark):
     single = mo.bounded_constraints(every.where("label = 1"), 50, replicates=5).collect()
     assert {r.metric: r.threshold for r in single}["auc"] is None
     assert {r.metric: r.threshold for r in mo.bounded_constraints(every, 400, level=0.9, replicates=40).collect()}["auc"] < true.auc
+
+
+def _pairs_of(spark, scored, truth, delay):
+    """The latest scored row of each distinct truth row, by a double loop."""
+    out = []
+    for t in set(truth):
+        before = [s for s in scored if t[0] is not None and s[0] == t[0] and None not in (s[1], t[2]) and s[1] <= t[2] <= s[1] + delay]
+        if before:
+            out.append((*max(before, key=lambda s: (s[1], s[2] is not None, s[2] or 0)), *t[1:]))
+    return sorted(out, key=repr)
+
+
+def test_latest_match_with_ties_nulls_and_piece_borders(spark):
+    rng = random.Random(3)
+    at = lambda: _ts(1, 0) + timedelta(minutes=10 * rng.randrange(300))
+    scored = [(rng.choice(["0", "1", None]), at() if rng.random() < 0.95 else None, rng.choice([0.1, 0.5, None])) for _ in range(150)]
+    truth = [(rng.choice(["0", "1", "2", None]), rng.choice([0, 1, None]), at() if rng.random() < 0.95 else None) for _ in range(150)]
+    truth += [*truth[:20], ("0", 1, _ts(1, 0)), ("0", 1, _ts(3, 0))]
+    a = spark.createDataFrame(scored, "id string, ts timestamp, probability double").repartition(3)
+    b = spark.createDataFrame(truth, "id string, label int, truth_ts timestamp").repartition(3)
+    for words, delay in (("1 day", timedelta(days=1)), ("30 minutes", timedelta(minutes=30)), ("2 weeks", timedelta(weeks=2))):
+        got = mo.join_ground_truth(a, b, words)
+        assert got.columns == ["id", "ts", "probability", "label", "truth_ts"]
+        assert rows(got) == _pairs_of(spark, scored, truth, delay)
+
+
+def test_latest_match_makes_no_pairs(spark):
+    """One id, 40,000 scored and 40,000 truth rows within the delay: 800 million pairs in range, which a plan must not make."""
+    scored = spark.range(40_000).select(F.lit("0").alias("id"), F.timestamp_seconds("id").alias("ts"), (F.col("id") % 100 / 100).alias("probability"))
+    truth = spark.range(40_000).select(F.lit("0").alias("id"), (F.col("id") % 2).cast("int").alias("label"), F.timestamp_millis(F.col("id") * 1000 + 500).alias("truth_ts"))
+    joined = mo.join_ground_truth(scored, truth, "1 day")
+    assert "Join" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    got = joined.agg(F.count("*"), F.min(F.col("truth_ts") - F.col("ts")), F.max(F.col("truth_ts") - F.col("ts"))).first()
+    assert tuple(got) == (40_000, timedelta(milliseconds=500), timedelta(milliseconds=500))
