@@ -242,3 +242,20 @@ def test_batch_evaluation_agrees(spark):
     got = window_quality_stream(df, "1 day", 0.4).first()
     want = mt.evaluate(df, 0.4).first()
     assert got.auc == pytest.approx(want.auc) and got.f1_score == pytest.approx(want.f1_score)
+
+
+def test_match_of_a_dense_id_joins_pieces_not_rows(spark, tmp_path):
+    """One id, 3,000 scored and 3,000 truth rows within the delay: the join sees a few gathered rows, and the matches are those of the batch."""
+    base = F.lit(1704067200)
+    scored = spark.range(3000).select(F.lit("0").alias("id"), F.timestamp_seconds(base + F.col("id") * 20).alias("ts"), (F.col("id") % 7 / 7).alias("probability"))
+    truth = spark.range(3000).select(F.lit("0").alias("id"), (F.col("id") % 2).cast("int").alias("label"), F.timestamp_seconds(base + F.col("id") * 20 + 9).alias("at"))
+    scored.write.parquet(f"{tmp_path}/scored")
+    writers.write_ground_truth_table(truth, f"{tmp_path}/truth", "at", by_hour=False)
+    want = batch_matches(spark, str(tmp_path), "12 hours")
+    want = rows(want.select("id", "ts", "probability", "truth_ts", "label"))
+    for at in ENDS:
+        close_input(spark, f"{tmp_path}/scored", SCORED_SCHEMA, at)
+        close_truth(spark, f"{tmp_path}/truth", at)
+    query = match(spark, str(tmp_path), str(tmp_path))
+    assert rows(spark.read.schema(MATCHES).parquet(f"{tmp_path}/matches").where("id <> ''")) == want and len(want) == 3000
+    assert sum(o.numRowsUpdated for p in query.recentProgress for o in p.stateOperators if o.operatorName == "symmetricHashJoin") <= 100
