@@ -110,3 +110,11 @@ def test_save_and_load(data, model, tmp_path):
 def test_non_numeric_features_are_refused(data):
     with pytest.raises(ValueError, match="s"):
         ml.train_gbt(data.withColumn("s", F.lit("x")), ["a", "s"])
+
+
+def test_parts_of_the_rows_do_not_grow_with_them(spark):
+    for n, parts in ((10, 2), (1000, 20), (4000, 80)):
+        df = spark.range(n).select("id", (F.col("id") * 2).alias("b"))
+        dealt = ml.even_parts(df, 2, cells=100)
+        sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+        assert dealt.rdd.getNumPartitions() == parts and max(sizes) <= 60 and sum(sizes) == n
