@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -346,6 +347,55 @@ def _truth_folder(spark: SparkSession, rows: DataFrame, name: str, ends: int = 1
     return path
 
 
+# Rows of a stream that are worth a batch of their own.
+_SLICE_ROWS = 1_000_000
+
+
+def _cuts(rows: DataFrame, ts: str, apart: int) -> list[int]:
+    """Times (microseconds) that cut ``rows`` into slices of at least ``_SLICE_ROWS``, about, and ``apart`` seconds."""
+    n = rows.count() // _SLICE_ROWS
+    if n < 2:
+        return []
+    cuts: list[int] = []
+    for t in rows.agg(F.percentile_approx(F.unix_micros(ts), [i / n for i in range(1, n)])).first()[0] or []:
+        if not cuts or t - cuts[-1] >= apart * 1_000_000:
+            cuts.append(t)
+    return cuts
+
+
+def _sliced(spark: SparkSession, rows: DataFrame, ts: str, cuts: list[int], name: str) -> list[DataFrame]:
+    """``rows`` in slices, in the order of time. With cuts they are written once, by slice."""
+    if not cuts:
+        return [rows]
+    path, time = scratch_path(spark, name), F.unix_micros(F.col(ts).cast("timestamp"))
+    rows.withColumn("_slice", F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.coalesce(time, F.lit(0))))).write.partitionBy("_slice").parquet(path)
+    written = spark.read.schema(rows.select("*", F.lit(0).alias("_slice")).schema).parquet(path)
+    return [written.where(F.col("_slice") == k).drop("_slice") for k in range(len(cuts) + 1)]
+
+
+def _emitted_in_slices(
+    spark: SparkSession, rows: DataFrame, labels: DataFrame, build: Callable[[str, str], DataFrame], name: str, delay: int,
+) -> DataFrame:
+    """What the stream ``build`` of a folder of scored rows and one of truth emits when both fill up over time, and it is run for each slice.
+
+    No row of a slice is before one of a slice before, so none is late, and the state is that of one slice and the ``delay`` (seconds) before it, not of all
+    rows. A slice takes at least twice the delay, as every batch walks through the state.
+    """
+    source, uploads = scratch_path(spark, f"{name}-scored"), scratch_path(spark, f"{name}-truth")
+    out, state = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-state")
+    cuts = _cuts(rows, "ts", 2 * delay)
+    parts = [*zip(_sliced(spark, rows, "ts", cuts, f"{name}-rows"), _sliced(spark, labels, "truth_ts", cuts, f"{name}-labels"), strict=True)]
+    for k, (some, truths) in enumerate(parts):
+        some.write.mode("append").parquet(source)
+        writers.write_ground_truth_table(truths, uploads, "truth_ts", by_hour=False)
+        if k == len(parts) - 1:
+            close_input(spark, source, rows.schema, _ENDS[0])
+            close_truth(spark, uploads, _ENDS[0])
+        stream = build(source, uploads)
+        run_available(stream, out, state, state_partitions=spark.sparkContext.defaultParallelism)
+    return spark.read.schema(stream.schema).parquet(out)
+
+
 def _at(column: str = "ts"):
     return F.col(column).cast("timestamp").alias(column)
 
@@ -361,10 +411,12 @@ SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, {_FOUR}, acc
 def stream_quality(spark, sf):
     """Scored rows and late labels as streams, joined and evaluated per day with AUC; windows as Parquet files."""
     rows = scored(spark, sf).select("id", _at(), "probability")
-    uploads = _truth_folder(spark, _uploads(spark, sf).withColumnRenamed("at", "truth_ts"), "stream-truth")
-    source = _scored_folder(spark, rows, "stream-scored")
-    quality = quality_stream(scored_stream(spark, source, fmt="parquet"), truth_stream(spark, uploads), "1 day", "2 days")
-    return _printed(rounded(_emitted(spark, quality, "quality")), "window_start")
+    labels = _uploads(spark, sf).withColumnRenamed("at", "truth_ts")
+
+    def quality(source: str, uploads: str) -> DataFrame:
+        return quality_stream(scored_stream(spark, source, fmt="parquet"), truth_stream(spark, uploads), "1 day", "2 days")
+
+    return _printed(rounded(_emitted_in_slices(spark, rows, labels, quality, "quality", 2 * 86400)), "window_start")
 
 
 @query("stream_summary_live", f"""

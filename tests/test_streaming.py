@@ -8,6 +8,7 @@ from latewatch.operators import model as ml
 from latewatch.operators import monitor as mo
 from latewatch.operators.metrics import binary_metrics
 from latewatch.operators.splits import capture_sample
+from latewatch.plans import QUERIES, io_queries
 from latewatch.schemas import schema_of
 from latewatch.sources import readers, writers
 from latewatch.streaming import join_streams, quality_stream, run_available, scored_stream, truth_stream
@@ -86,3 +87,55 @@ def test_summary_runs_on_a_stream(spark, folders, tmp_path):
     closed = rows(spark.read.schema(s.schema).parquet(f"{tmp_path}/out"))
     batch = spark.read.schema("id string, ts timestamp, probability double").json(f"{folders}/scored")
     assert set(closed) < set(rows(mo.stream_summary(batch, "1 day", label=None))) and len(closed) == 3
+
+
+def test_state_is_on_disk_whatever_the_session_says(spark, folders, tmp_path):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    heap = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    before = spark.conf.get(key)
+    spark.conf.set(key, heap)
+    try:
+        stream = quality_stream(
+            scored_stream(spark, f"{folders}/scored"), truth_stream(spark, f"{folders}/truth"), "6 hours", "6 hours")
+        query = run_available(stream, f"{tmp_path}/out", f"{tmp_path}/state", state_partitions=2)
+        assert spark.conf.get(key) == heap
+    finally:
+        spark.conf.set(key, before)
+    operators = query.lastProgress["stateOperators"]
+    assert len(operators) == 3 and all("rocksdbPutCount" in o["customMetrics"] for o in operators)
+    assert not [f for f in (tmp_path / "state").rglob("*.delta")]
+
+
+def test_quality_of_many_rows_is_streamed_in_slices_of_time(spark, tmp_path, monkeypatch):
+    """Forty days, one file in no order, with a time that is missing, rows that come twice and an id without truth: slices give the rows of one run, and
+    the state of the join never holds more than a part of them."""
+    n = 2400
+    events = spark.range(n).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 301 != 7, F.timestamp_seconds(F.lit(1704067200) + F.pmod(F.col("id") * 1009, F.lit(n)) * 1440)).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") * 31 % 97).alias("user_id"), F.when(F.col("id") % 5 == 0, "error").otherwise("view").alias("event_type"),
+        (F.col("id") * 17 % 1000 / 100).alias("value"), F.lit("{}").alias("props"))
+    events.union(events.where("event_id % 50 = 3")).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    runs = []
+
+    def run(*args, **kwargs):
+        runs.append(run_available(*args, **kwargs))
+        return runs[-1]
+
+    def held(queries):
+        """The most rows that the state of the join has at the end of a batch."""
+        now, most = 0, 0
+        for progress in (p for q in queries for p in q.recentProgress if p["stateOperators"]):
+            join = next(o for o in progress["stateOperators"] if o["operatorName"] == "symmetricHashJoin")
+            now += join["numRowsUpdated"] - join["numRowsRemoved"]
+            most = max(most, now)
+        return most
+
+    monkeypatch.setattr(io_queries, "run_available", run)
+    want = rows(QUERIES["stream_quality"](spark, str(tmp_path)))
+    whole = held(runs)
+    runs.clear()
+    monkeypatch.setattr(io_queries, "_SLICE_ROWS", 240, raising=False)
+    got = rows(QUERIES["stream_quality"](spark, str(tmp_path)))
+    assert got == want and len(got) == 40
+    assert len(runs) > 5 and 0 < held(runs) < whole / 3
